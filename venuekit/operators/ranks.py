@@ -1,13 +1,14 @@
 """Running totals and exact quantiles over ordered values, without sorting a group in one task.
 
 Rows are first reduced to one per distinct value. The values are then cut into ranges of about equal size; each
-range is summed on its own, and a row's running total is the total of the ranges before it (a short array) plus
-the running total inside its range. A group that holds most of the data is thus spread over ``ranges`` tasks.
+range is summed on its own, and a row's running total is the total of the ranges before it (an entry of a short
+array) plus the running total inside its range. A group that holds most of the data is thus spread over ``ranges``
+tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,56 +34,89 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return df.filter(known).groupBy(*by, (v + F.lit(0.0)).alias("v")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def running_totals(
-    freq: DataFrame, weights: Sequence[str], by: Sequence[str] = (), ranges: int = RANGES
-) -> DataFrame:
-    """Add ``before_<w>`` (total of smaller values) and ``all_<w>`` (group total) for each weight column.
+def _position(cuts: Column, value: Column, first: int, last: int) -> Column:
+    """Number of the sorted ``cuts[first:last]`` below ``value``, plus ``first``: a search tree, so that generated
+    code makes log2(ranges) comparisons per row."""
+    if first == last:
+        return F.lit(first)
+    middle = (first + last) // 2
+    return F.when(
+        F.get(cuts, F.lit(middle)) < value, _position(cuts, value, middle + 1, last)
+    ).otherwise(_position(cuts, value, first, middle))
 
-    ``freq`` holds one row per group and ``v``.
-    """
-    by = list(by)
+
+def _ranged(freq: DataFrame, by: list[str], ranges: int) -> DataFrame:
+    """Add each value's range number; ranges hold about equally many distinct values of their group."""
     probabilities = [i / ranges for i in range(1, ranges)]
     cuts = freq.groupBy(*by).agg(F.percentile_approx("v", probabilities, 1000).alias("_cuts"))
-    ranged = (
-        attach(freq, cuts, by)
-        .withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("v"))))
-        .drop("_cuts")
-    )
+    number = _position(F.col("_cuts"), F.col("v"), 0, ranges - 1)
+    return attach(freq, cuts, by).withColumn("_range", number).drop("_cuts")
+
+
+def _range_totals(ranged: DataFrame, weights: Sequence[str], by: list[str], ranges: int) -> DataFrame:
+    """One row per group: for each weight the totals before every range (an array) and the group total."""
     per_range = ranged.groupBy(*by, "_range").agg(*[F.sum(w).alias(w) for w in weights])
     # at most `ranges` entries per group
-    totals = per_range.groupBy(*by).agg(F.collect_list(F.struct("_range", *weights)).alias("_totals"))
-    inside = Window.partitionBy(*by, "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    listed = per_range.groupBy(*by).agg(F.collect_list(F.struct("_range", *weights)).alias("_totals"))
 
-    def sum_where(weight: str, keep) -> Column:
-        kind = freq.schema[weight].dataType
-        kept = F.filter("_totals", keep)
-        return F.aggregate(kept, F.lit(0).cast(kind), lambda acc, x: (acc + x[weight]).cast(kind))
+    def upto(weight: str) -> Column:
+        def before(i: Column) -> Column:
+            smaller = F.filter("_totals", lambda x: x["_range"] < i)
+            return F.aggregate(smaller, F.lit(0).cast("long"), lambda acc, x: acc + x[weight].cast("long"))
 
-    running = ranged.select(
-        *by, "v", *weights, "_range",
-        *[F.coalesce(F.sum(w).over(inside), F.lit(0)).alias(f"_in_{w}") for w in weights],
-    )
-    return attach(running, totals, by).select(
+        return F.transform(F.sequence(F.lit(0), F.lit(ranges)), before)
+
+    return listed.select(*by, *[upto(w).alias(f"_upto_{w}") for w in weights])
+
+
+def _inside(ranged: DataFrame, weights: Sequence[str], by: list[str]) -> DataFrame:
+    """Turn the range arrays into ``before_<w>`` and ``all_<w>`` columns, running inside each range."""
+    smaller = Window.partitionBy(*by, "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.select(
         *by,
         "v",
         *weights,
         *[
-            (F.col(f"_in_{w}") + sum_where(w, lambda x: x["_range"] < F.col("_range"))).alias(f"before_{w}")
+            (F.get(f"_upto_{w}", F.col("_range")) + F.coalesce(F.sum(w).over(smaller), F.lit(0))).alias(f"before_{w}")
             for w in weights
         ],
-        *[sum_where(w, lambda x: F.lit(True)).alias(f"all_{w}") for w in weights],
+        *[F.element_at(f"_upto_{w}", -1).alias(f"all_{w}") for w in weights],
     )
 
 
+def running_totals(
+    freq: DataFrame, weights: Sequence[str], by: Sequence[str] = (), ranges: int = RANGES
+) -> DataFrame:
+    """Add ``before_<w>`` (total of smaller values) and ``all_<w>`` (group total) for each whole-number weight.
+
+    ``freq`` holds one row per group and ``v``.
+    """
+    by = list(by)
+    ranged = _ranged(freq, by, ranges)
+    return _inside(attach(ranged, _range_totals(ranged, weights, by, ranges), by), weights, by)
+
+
 def exact_quantiles(
     freq: DataFrame, probabilities: dict[str, float], by: Sequence[str] = (), ranges: int = RANGES
 ) -> DataFrame:
-    """Linearly interpolated quantiles per group from ``value_counts`` rows, one column per name."""
-    ranked = running_totals(freq, ["n"], by, ranges)
-    first, last = F.col("before_n"), F.col("before_n") + F.col("n") - 1
+    """Linearly interpolated quantiles per group from ``value_counts`` rows, one column per name.
+
+    Only the ranges that hold a wanted rank are sorted.
+    """
+    by = list(by)
+    ranged = _ranged(freq, by, ranges)
+    placed = attach(ranged, _range_totals(ranged, ["n"], by, ranges), by)
+    last = F.element_at("_upto_n", -1) - 1
+    start, end = F.get("_upto_n", F.col("_range")), F.get("_upto_n", F.col("_range") + 1)
+    wanted = F.lit(False)
+    for p in probabilities.values():
+        low = F.floor(last * F.lit(float(p)))
+        wanted = wanted | ((start <= low + 1) & (low < end))
+    ranked = _inside(placed.filter(wanted), ["n"], by)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= last), F.col("v")))
+        held = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
+        return F.max(F.when(held, F.col("v")))
 
     parts = []
     for name, p in probabilities.items():
