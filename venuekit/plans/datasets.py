@@ -45,10 +45,10 @@ MODEL_OPTIONAL = [
 ]
 
 
-def normalize_business(business: DataFrame) -> DataFrame:
+def normalize_business(business: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The canonical flat form of either input shape: nested or flat place, category array or text.
 
-    Adds ``category_array``; fields the input lacks come out null.
+    Adds ``category_array``; fields the input lacks come out null. Columns named in ``keep`` come along.
     """
     categories = optional_column(business, "categories")
     if "categories" in business.columns and isinstance(business.schema["categories"].dataType, ArrayType):
@@ -73,7 +73,7 @@ def normalize_business(business: DataFrame) -> DataFrame:
             given = business.schema[field.name].dataType if field.name in business.columns else StringType()
             value = value.try_cast(field.dataType) if isinstance(given, StringType) else value.cast(field.dataType)
         columns.append(value.alias(field.name))
-    return business.select(*columns, as_array.alias("category_array"))
+    return business.select(*columns, as_array.alias("category_array"), *keep)
 
 
 def business_features(business: DataFrame, strip_prefix: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -29,7 +29,8 @@ def check_lines(
     """Parse one JSON object per line and add ``_reason``: null when good, else why the record is corrupt.
 
     A required name may be a path into a struct (``location.city``). A line is corrupt when it does not parse
-    into the schema or when a required value is missing.
+    into the schema or when a required value is missing. To count and keep records in one pass over the text, store
+    the result with its reasons; ``valid_records`` and ``corrupt_counts`` then read that copy.
     """
     parse_as = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
     parsed = lines.select(
@@ -61,17 +62,6 @@ def corrupt_counts(checked: DataFrame) -> DataFrame:
     )
 
 
-def valid_records_counted(checked: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Good rows plus counters filled by whichever action consumes them, so the input is read once."""
-    seen = Observation(name)
-    observed = checked.observe(
-        seen,
-        F.count(F.lit(1)).alias("records"),
-        F.count(F.col(REASON)).alias("corrupted_records"),
-    )
-    return valid_records(observed), seen
-
-
 def _path_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
