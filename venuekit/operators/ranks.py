@@ -1,14 +1,14 @@
 """Running totals and exact quantiles over ordered values, without sorting a group in one task.
 
-Rows are first reduced to one per distinct value. The values are then cut into ranges of about equal size; each
-range is summed on its own, and a row's running total is the total of the ranges before it (an entry of a short
-array) plus the running total inside its range. A group that holds most of the data is thus spread over ``ranges``
-tasks.
+Rows are first reduced to one per distinct value and group. The value axis is then cut into ranges of about equally
+many such rows, the same cuts for all groups. Each (group, range) is summed and sorted on its own, and a row's running
+total is the total of the group's ranges before it plus the running total inside its range. No task thus handles more
+than about one ``ranges``-th of the rows, however large a group is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,42 +45,48 @@ def _position(cuts: Column, value: Column, first: int, last: int) -> Column:
     ).otherwise(_position(cuts, value, first, middle))
 
 
-def _ranged(freq: DataFrame, by: list[str], ranges: int) -> DataFrame:
-    """Add each value's range number; ranges hold about equally many distinct values of their group."""
+def _ranged(freq: DataFrame, weights: Sequence[str], ranges: int) -> DataFrame:
+    """Add each value's range number.
+
+    The cuts are taken together with the weights' totals, so that their plan reads the same columns as the main one
+    and both share one shuffle of ``freq``.
+    """
     probabilities = [i / ranges for i in range(1, ranges)]
-    cuts = freq.groupBy(*by).agg(F.percentile_approx("v", probabilities, 1000).alias("_cuts"))
+    cuts = freq.agg(
+        F.percentile_approx("v", probabilities, 1000).alias("_cuts"), *[F.sum(w).alias(f"_sum_{w}") for w in weights]
+    )
     number = _position(F.col("_cuts"), F.col("v"), 0, ranges - 1)
-    return attach(freq, cuts, by).withColumn("_range", number).drop("_cuts")
-
-
-def _range_totals(ranged: DataFrame, weights: Sequence[str], by: list[str], ranges: int) -> DataFrame:
-    """One row per group: for each weight the totals before every range (an array) and the group total."""
-    per_range = ranged.groupBy(*by, "_range").agg(*[F.sum(w).alias(w) for w in weights])
-    # at most `ranges` entries per group
-    listed = per_range.groupBy(*by).agg(F.collect_list(F.struct("_range", *weights)).alias("_totals"))
+    return attach(freq, cuts, ()).withColumn("_range", number).select(*freq.columns, "_range")
 
-    def upto(weight: str) -> Column:
-        def before(i: Column) -> Column:
-            smaller = F.filter("_totals", lambda x: x["_range"] < i)
-            return F.aggregate(smaller, F.lit(0).cast("long"), lambda acc, x: acc + x[weight].cast("long"))
 
-        return F.transform(F.sequence(F.lit(0), F.lit(ranges)), before)
-
-    return listed.select(*by, *[upto(w).alias(f"_upto_{w}") for w in weights])
+def _range_totals(ranged: DataFrame, weights: Sequence[str], by: list[str]) -> DataFrame:
+    """Per group and range, for each weight: the total of the ranges before (``_upto_``), the range's own
+    (``_here_``) and the group's (``all_``)."""
+    sums = ranged.groupBy(*by, "_range").agg(*[F.sum(w).alias(f"_here_{w}") for w in weights])
+    # at most one row per range and group
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select(
+        *by,
+        "_range",
+        *[F.col(f"_here_{w}") for w in weights],
+        *[F.coalesce(F.sum(f"_here_{w}").over(earlier), F.lit(0)).alias(f"_upto_{w}") for w in weights],
+        *[F.sum(f"_here_{w}").over(group).alias(f"all_{w}") for w in weights],
+    )
 
 
-def _inside(ranged: DataFrame, weights: Sequence[str], by: list[str]) -> DataFrame:
-    """Turn the range arrays into ``before_<w>`` and ``all_<w>`` columns, running inside each range."""
+def _inside(placed: DataFrame, weights: Sequence[str], by: list[str]) -> DataFrame:
+    """Running totals inside each range, on top of the ranges before it."""
     smaller = Window.partitionBy(*by, "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    return ranged.select(
+    return placed.select(
         *by,
         "v",
         *weights,
         *[
-            (F.get(f"_upto_{w}", F.col("_range")) + F.coalesce(F.sum(w).over(smaller), F.lit(0))).alias(f"before_{w}")
+            (F.col(f"_upto_{w}") + F.coalesce(F.sum(w).over(smaller), F.lit(0))).alias(f"before_{w}")
             for w in weights
         ],
-        *[F.element_at(f"_upto_{w}", -1).alias(f"all_{w}") for w in weights],
+        *[f"all_{w}" for w in weights],
     )
 
 
@@ -92,8 +98,8 @@ def running_totals(
     ``freq`` holds one row per group and ``v``.
     """
     by = list(by)
-    ranged = _ranged(freq, by, ranges)
-    return _inside(attach(ranged, _range_totals(ranged, weights, by, ranges), by), weights, by)
+    ranged = _ranged(freq, weights, ranges)
+    return _inside(ranged.join(_range_totals(ranged, weights, by), [*by, "_range"]), weights, by)
 
 
 def exact_quantiles(
@@ -104,15 +110,17 @@ def exact_quantiles(
     Only the ranges that hold a wanted rank are sorted.
     """
     by = list(by)
-    ranged = _ranged(freq, by, ranges)
-    placed = attach(ranged, _range_totals(ranged, ["n"], by, ranges), by)
-    last = F.element_at("_upto_n", -1) - 1
-    start, end = F.get("_upto_n", F.col("_range")), F.get("_upto_n", F.col("_range") + 1)
+    ranged = _ranged(freq, ["n"], ranges)
+    totals = _range_totals(ranged, ["n"], by)
+
+    def place(p: float) -> Column:
+        return (F.col("all_n") - 1) * F.lit(float(p))
+
     wanted = F.lit(False)
     for p in probabilities.values():
-        low = F.floor(last * F.lit(float(p)))
-        wanted = wanted | ((start <= low + 1) & (low < end))
-    ranked = _inside(placed.filter(wanted), ["n"], by)
+        low, end = F.floor(place(p)), F.col("_upto_n") + F.col("_here_n")
+        wanted = wanted | ((F.col("_upto_n") <= low + 1) & (low < end))
+    ranked = _inside(ranged.join(totals.filter(wanted), [*by, "_range"]), ["n"], by)
 
     def at(rank: Column) -> Column:
         held = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
@@ -120,10 +128,9 @@ def exact_quantiles(
 
     parts = []
     for name, p in probabilities.items():
-        place = (F.col("all_n") - 1) * F.lit(float(p))
-        low = F.floor(place)
+        low = F.floor(place(p))
         high = F.least(low + 1, F.col("all_n") - 1)
-        parts += [at(low).alias(f"{name}_lo"), at(high).alias(f"{name}_hi"), F.max(place - low).alias(f"{name}_f")]
+        parts += [at(low).alias(f"{name}_lo"), at(high).alias(f"{name}_hi"), F.max(place(p) - low).alias(f"{name}_f")]
     found = ranked.groupBy(*by).agg(*parts, F.max("all_n").alias("n"))
     return found.select(
         *by,
