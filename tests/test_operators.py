@@ -18,6 +18,7 @@ from venuekit.operators import ranks as N
 from venuekit.operators import reviews as R
 from venuekit.operators import sampling as SM
 from venuekit.operators import success as U
+from venuekit.sources.tables import corrupt_counts, valid_records
 
 
 # ---- growth -----------------------------------------------------------------------------------------------------
@@ -153,6 +154,43 @@ def test_routing(spark):
     ]
 
 
+def test_mixed_lines(spark, rows):
+    lines = spark.createDataFrame(
+        [('{"business_id":"r","date":"2020-01-06 09:30:00"}',),
+         ('{"business_id":"c","time":{"2020-01-07 10:00:00":2,"2020-01-08 11:00:00":1,"soon":5}}',),
+         ('{"business_id":"both","date":"2020-01-06 00:00:00","time":{"2020-01-07 10:00:00":2}}',),
+         ('{"business_id":"month","date":"2020-13-06 00:00:00"}',),
+         ('{"business_id":"text","time":"not a map"}',), ('{"date":"2020-01-06 09:30:00"}',),
+         ('{"business_id":"neither"}',), ("{cut",)],
+        "value string",
+    )
+    checked = A.check_activity(lines)
+    assert {r["reason"]: r["n"] for r in rows(corrupt_counts(checked))} == {"parse_error": 2, "bad_date": 1}
+    assert sorted(tuple(r) for r in A.route_records(valid_records(checked)).collect()) == [
+        ("both", "review", "Monday", 0, 1), ("c", "checkin", "Tuesday", 10, 2), ("c", "checkin", "Wednesday", 11, 1),
+        ("r", "review", "Monday", 9, 1),
+    ]
+
+
+def test_profile_of_a_hot_business(spark):
+    """One business with a third of the records comes out as under brute force."""
+    rng = random.Random(4)
+    data = [("hot" if rng.random() < 0.33 else f"b{rng.randrange(30)}", rng.choice(["review", "checkin", "other"]),
+             rng.choice(S.WEEKDAYS), rng.randrange(24)) for _ in range(4000)]
+    activity = spark.createDataFrame(data, "business_id string, kind string, day_of_week string, hour_of_day int")
+    for n in (1, 16):
+        got = {r.business_id: r for r in A.temporal_profile(activity.repartition(n)).collect()}
+        for b in ("hot", "b3"):
+            mine = [r for r in data if r[0] == b]
+            assert [(s.reviews, s.checkins) for s in got[b].day_profile] == [
+                (sum(r[1] == "review" and r[2] == d for r in mine), sum(r[1] == "checkin" and r[2] == d for r in mine))
+                for d in S.WEEKDAYS
+            ]
+            assert [s.reviews for s in got[b].hour_profile] == [
+                sum(r[1] == "review" and r[3] == h for r in mine) for h in range(24)
+            ]
+
+
 def test_profile_is_zero_filled_and_sums_up(spark):
     data = [("b", "review", "Monday", 9), ("b", "checkin", "Sunday", 23), ("b", "checkin", "Sunday", 0),
             ("c", "review", "Friday", 12)]

@@ -12,6 +12,7 @@ from venuekit.operators import places as P
 from venuekit.operators import reviews as R
 from venuekit.plans import datasets as D
 from venuekit.sinks.text import sentiment_line as to_line
+from venuekit.sources.tables import corrupt_counts, valid_records
 
 WEEK = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -128,6 +129,37 @@ def route_activity(spark, d):
     return routed(spark, d)
 
 
+def activity_lines(spark, d):
+    """Events as mixed JSON lines: purchases carry a date, views a time map, the rest neither.
+
+    Every 40th line is cut short and every 30th date has a 13th month.
+    """
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    number = F.col("event_id")
+    bad = F.concat(F.year("ts").cast("string"), F.lit("-13-01 00:00:00"))
+    date = F.when(F.col("event_type") == "purchase", F.when(number % 30 == 0, bad).otherwise(at))
+    time = F.when(F.col("event_type") == "view", F.create_map(at, number % 3 + 1))
+    line = F.to_json(F.struct(F.col("user_id").cast("string").alias("business_id"), date.alias("date"), time.alias("time")))
+    cut = F.substring(line, 1, 12)
+    return V.table(spark, d, "events").select(F.when(number % 40 == 0, cut).otherwise(line).alias("value"))
+
+
+@query("activity_corrupt_counts", """
+select case when event_id % 40 = 0 then 'parse_error' else 'bad_date' end as reason, count(*) as n from events
+where event_id % 40 = 0 or (event_id % 30 = 0 and event_type = 'purchase') group by 1""")
+def activity_corrupt_counts(spark, d):
+    return corrupt_counts(A.check_activity(activity_lines(spark, d)))
+
+
+@query("route_records", """
+select user_id::varchar as business_id, case event_type when 'purchase' then 'review' else 'checkin' end as kind,
+       dayname(ts) as day_of_week, cast(hour(ts) as int) as hour_of_day,
+       case event_type when 'purchase' then 1 else event_id % 3 + 1 end as weight
+from events where event_id % 40 <> 0 and (event_type = 'view' or (event_type = 'purchase' and event_id % 30 <> 0))""")
+def route_records(spark, d):
+    return A.route_records(valid_records(A.check_activity(activity_lines(spark, d))))
+
+
 _SLOTS = ", ".join(f"('day', '{day}')" for day in WEEK) + ", " + ", ".join(f"('hour', '{h:02d}')" for h in range(24))
 
 

@@ -6,7 +6,7 @@ from venue_queries import views as V
 from venue_queries.growth import metrics as growth_metrics
 from venue_queries.profiles import analysis
 from venue_queries.registry import query, r, rounded
-from venuekit.functions.encode import clip, open_label, success_label
+from venuekit.functions.encode import clip, open_label, success_label, success_or_null
 from venuekit.operators import distribution as X
 from venuekit.operators.growth import clip_growth
 from venuekit.plans import datasets as D
@@ -131,10 +131,14 @@ def scatter_growth(spark, d):
 
 
 @query("scatter_reviews_stars", """
-select business_id, review_count, stars, is_open from business_v order by md5('42:' || business_id), business_id limit 1000""",
-       "business_v")
+select business_id, review_count, stars, is_open, success from feature_v
+order by md5('42:' || business_id), business_id limit 1000""", "feature_v")
 def scatter_reviews_stars(spark, d):
-    return X.scatter_sample(V.businesses(spark, d), "business_id", ["review_count", "stars", "is_open"], 1000)
+    business = V.businesses(spark, d).select(
+        "business_id", "review_count", "stars", F.col("is_open").cast("double").alias("is_open"),
+        success_or_null("stars").alias("success"),
+    )
+    return X.scatter_sample(business, "business_id", ["review_count", "stars", "is_open", "success"], 1000)
 
 
 @query("scatter_bins", """

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from venuekit.schema import WEEKDAYS
+
 # Fixed value: the input pattern of dates.
 PATTERN = "yyyy-MM-dd HH:mm:ss"
 
@@ -31,4 +33,5 @@ def with_time_parts(df: DataFrame, column: str, prefix: str = "review") -> DataF
 
 
 def weekday_name(ts: Column) -> Column:
-    return F.date_format(ts, "EEEE")
+    """English weekday name, by lookup: formatting each date costs several times as much."""
+    return F.get(F.array(*[F.lit(day) for day in WEEKDAYS]), F.weekday(ts))

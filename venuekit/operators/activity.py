@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType
 
-from venuekit.functions.timeparts import as_timestamp, weekday_name, with_time_parts
-from venuekit.schema import WEEKDAYS
+from venuekit.functions.timeparts import PATTERN, as_timestamp, weekday_name, with_time_parts
+from venuekit.schema import ACTIVITY, WEEKDAYS
+from venuekit.sources.tables import REASON, check_lines
 
 KINDS = ["review", "checkin"]
 HOURS = [f"{h:02d}" for h in range(24)]
@@ -62,6 +63,35 @@ def route_activity(records: DataFrame, key: str = "business_id") -> DataFrame:
     )
 
 
+def check_activity(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Parse mixed activity records and say which are corrupt: undecodable, or a review whose date does not parse.
+
+    Records of another type (no business, or neither ``date`` nor ``time``) are left out and not counted as corrupt.
+    """
+    checked = check_lines(lines, ACTIVITY, [], line)
+    dated = F.col("date").isNotNull()
+    bad_date = F.col("business_id").isNotNull() & dated & as_timestamp(checked, "date", PATTERN).isNull()
+    return checked.withColumn(REASON, F.coalesce(REASON, F.when(bad_date, "bad_date"))).filter(
+        F.col(REASON).isNotNull() | (F.col("business_id").isNotNull() & (dated | F.col("time").isNotNull()))
+    )
+
+
+def route_records(records: DataFrame, key: str = "business_id") -> DataFrame:
+    """One row per review and per check-in stamp of parsed mixed records, with kind, weekday, hour and weight."""
+    is_review = F.col("date").isNotNull()
+    one = F.array(F.struct(F.col("date").alias("stamp"), F.lit(1).cast("long").alias("weight")))
+    several = F.transform(
+        F.map_entries("time"), lambda e: F.struct(e["key"].alias("stamp"), e["value"].alias("weight"))
+    )
+    stamps = records.select(
+        key, F.when(is_review, KINDS[0]).otherwise(KINDS[1]).alias("kind"),
+        F.inline(F.when(is_review, one).otherwise(several)),
+    ).withColumn("ts", F.try_to_timestamp("stamp", F.lit(PATTERN)))
+    return stamps.filter(F.col("ts").isNotNull()).select(
+        key, "kind", weekday_name(F.col("ts")).alias("day_of_week"), F.hour("ts").alias("hour_of_day"), "weight"
+    )
+
+
 def activity_from(reviews: DataFrame, checkin_rows: DataFrame, key: str = "business_id") -> DataFrame:
     """The routed form built from a review table and expanded check-ins; a check-in weighs its count."""
     ts = as_timestamp(reviews, "date")
@@ -76,19 +106,35 @@ def activity_from(reviews: DataFrame, checkin_rows: DataFrame, key: str = "busin
 
 
 def _slot_counts(activity: DataFrame, key: str, weight: str | None) -> DataFrame:
-    """All 62 weekday and hour counters per business in one aggregation, so a row is read once."""
-    amount = F.col(weight) if weight else F.lit(1)
-
-    def total(kind: str, slot: Column) -> Column:
-        return F.coalesce(F.sum(F.when((F.col("kind") == kind) & slot, amount)), F.lit(0)).cast("long")
+    """All 62 weekday and hour counters per business.
 
+    Rows are first counted by business and (kind, weekday, hour) code, at most 336 per business, and only those narrow
+    counts are brought together by business. The 62 wide counters are built after that exchange and never shuffled,
+    and a very popular business arrives as 336 rows.
+    """
+    amount = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+
+    def position(values: list[str], column: str) -> Column:
+        return F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column)).cast("int") - 1
+
+    code = (position(KINDS, "kind") * 7 + position(WEEKDAYS, "day_of_week")) * 24 + F.col("hour_of_day")
+    counted = (
+        activity.filter(F.col("kind").isin(KINDS) & F.col("day_of_week").isin(WEEKDAYS))
+        .groupBy(key, code.alias("code"))
+        .agg(F.sum(amount).alias("n"))
+        .repartition(key)
+        .select(
+            key, "n", (F.col("code") / 168).cast("int").alias("kind"),
+            (F.col("code") / 24 % 7).cast("int").alias("day"), (F.col("code") % 24).alias("hour"),
+        )
+    )
     counters = [
-        total(kind, F.col(column) == value).alias(f"{kind}_{value}")
-        for column, values in (("day_of_week", WEEKDAYS), ("hour_of_day", list(range(24))))
-        for value in values
-        for kind in KINDS
+        F.coalesce(F.sum(F.when((F.col("kind") == k) & (F.col(unit) == i), F.col("n"))), F.lit(0)).alias(f"{kind}_{value}")
+        for unit, values in (("day", WEEKDAYS), ("hour", list(range(24))))
+        for i, value in enumerate(values)
+        for k, kind in enumerate(KINDS)
     ]
-    return activity.groupBy(key).agg(*counters)
+    return counted.groupBy(key).agg(*counters)
 
 
 def temporal_profile(activity: DataFrame, key: str = "business_id", weight: str | None = None) -> DataFrame:

@@ -194,6 +194,8 @@ def add_noise(
     return attach(df, ranges, ()).withColumns(noisy).select(*df.columns)
 
 
-def chart_frame(business: DataFrame, other: DataFrame, extra: Iterable[str]) -> DataFrame:
-    """Businesses joined with the wanted columns of a second derived table."""
+def chart_frame(business: DataFrame, other: DataFrame | None, extra: Iterable[str]) -> DataFrame:
+    """Businesses joined with the wanted columns of a second derived table; without one, the businesses alone."""
+    if other is None:
+        return business
     return business.join(other.select("business_id", *extra), "business_id")
