@@ -6,6 +6,7 @@ narrow, year-partitioned table that results.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -37,6 +38,9 @@ from venuekit.sources.tables import (
     valid_records,
 )
 
+# Reports are small and independent: a few are written at a time, so that executors do not idle between them.
+CONCURRENT_WRITES = 8
+
 REQUIRED_REVIEW = ["business_id", "user_id", "stars", "text"]
 REQUIRED_BUSINESS = ["business_id", "name", "stars", "review_count"]
 
@@ -136,8 +140,10 @@ def reports(
         "map_points": P.map_points(geo),
         "map_centroid": P.map_centroid(P.plotted_points(geo)),
     }
-    for name, table in tables.items():
-        K.write_table(table, run.path(f"reports/{name}"))
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        jobs = [pool.submit(K.write_table, table, run.path(f"reports/{name}")) for name, table in tables.items()]
+    for job in jobs:
+        job.result()
 
 
 def fit_models(run: Run, analysis: DataFrame, model_data: DataFrame) -> dict[str, M.Fit]:
