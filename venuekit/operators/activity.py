@@ -129,7 +129,7 @@ def _slot_counts(activity: DataFrame, key: str, weight: str | None) -> DataFrame
         )
     )
     counters = [
-        F.coalesce(F.sum(F.when((F.col("kind") == k) & (F.col(unit) == i), F.col("n"))), F.lit(0)).alias(f"{kind}_{value}")
+        F.expr(f"coalesce(sum(if(kind = {k} and {unit} = {i}, n, null)), 0) as {kind}_{value}")
         for unit, values in (("day", WEEKDAYS), ("hour", list(range(24))))
         for i, value in enumerate(values)
         for k, kind in enumerate(KINDS)
@@ -141,16 +141,11 @@ def temporal_profile(activity: DataFrame, key: str = "business_id", weight: str
     """Per business, two arrays of (slot, reviews, checkins): weekdays from Monday and hours 00 to 23, zero-filled."""
 
     def slots(labels: list[str], values: list) -> Column:
-        return F.array(
-            *[
-                F.struct(
-                    F.lit(label).alias("slot"),
-                    F.col(f"review_{value}").alias("reviews"),
-                    F.col(f"checkin_{value}").alias("checkins"),
-                )
-                for label, value in zip(labels, values)
-            ]
-        )
+        cells = [
+            f"named_struct('slot', '{label}', 'reviews', review_{value}, 'checkins', checkin_{value})"
+            for label, value in zip(labels, values)
+        ]
+        return F.expr(f"array({', '.join(cells)})")
 
     counts = _slot_counts(activity, key, weight)
     return counts.select(

@@ -34,15 +34,13 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return df.filter(known).groupBy(*by, (v + F.lit(0.0)).alias("v")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _position(cuts: Column, value: Column, first: int, last: int) -> Column:
-    """Number of the sorted ``cuts[first:last]`` below ``value``, plus ``first``: a search tree, so that generated
-    code makes log2(ranges) comparisons per row."""
+def _position(first: int, last: int) -> str:
+    """SQL for the number of sorted ``_cuts`` below ``v``: a search tree, so that generated code makes log2(ranges)
+    comparisons per row."""
     if first == last:
-        return F.lit(first)
+        return str(first)
     middle = (first + last) // 2
-    return F.when(
-        F.get(cuts, F.lit(middle)) < value, _position(cuts, value, middle + 1, last)
-    ).otherwise(_position(cuts, value, first, middle))
+    return f"if(_cuts[{middle}] < v, {_position(middle + 1, last)}, {_position(first, middle)})"
 
 
 def _ranged(freq: DataFrame, weights: Sequence[str], ranges: int) -> DataFrame:
@@ -55,7 +53,7 @@ def _ranged(freq: DataFrame, weights: Sequence[str], ranges: int) -> DataFrame:
     cuts = freq.agg(
         F.percentile_approx("v", probabilities, 1000).alias("_cuts"), *[F.sum(w).alias(f"_sum_{w}") for w in weights]
     )
-    number = _position(F.col("_cuts"), F.col("v"), 0, ranges - 1)
+    number = F.expr(_position(0, ranges - 1))
     return attach(freq, cuts, ()).withColumn("_range", number).select(*freq.columns, "_range")
 
 

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # no call-site capture on every column operation: it dominates the time to build wide expressions
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
