@@ -322,6 +322,21 @@ def test_density_matches_brute_force(spark):
     assert [r.density for r in got] == pytest.approx(want)
 
 
+def test_density_without_spread_is_unknown(spark):
+    for values in ([2.0], [3.0, 3.0, 3.0]):
+        assert {r.density for r in X.density_curve(numbers(spark, values), "x", 5).collect()} == {None}
+
+
+def test_empty_input(spark):
+    none = numbers(spark, [])
+    assert sum(r.n for r in X.histogram(none, "x", 3).collect()) == 0
+    assert X.density_curve(none, "x", 3).count() == 0
+    assert N.running_totals(N.value_counts(none, "x"), ["n"]).count() == 0
+    assert X.scatter_bins(none.withColumn("y", F.col("x")), "x", "y", 2, 2).count() == 0
+    assert E.regression_metrics(none.withColumn("prediction", F.col("x")), "x").first().n == 0
+    assert E.auc(none.withColumn("y", F.col("x")), "y", "x").first().auc is None
+
+
 @pytest.mark.parametrize("ranges", [2, 64])
 def test_box_stats_match_numpy(spark, ranges):
     rng = random.Random(ranges)

@@ -54,6 +54,30 @@ def scan_jsonl(spark, d):
     return T.read_json_table(spark, path, S.REVIEW).drop("text")
 
 
+@query("scan_business_jsonl", """
+select cast(business_id as varchar) as business_id, name, city, state, postal_code, stars, review_count,
+       cast(is_open as bigint) as is_open, categories, attr_wifi as wifi, attr_credit as credit,
+       case when has_hours and business_id % 2 <> 0 then '9:0-17:0' end as monday,
+       case when has_hours and business_id % 9 <> 0 then '9:0-17:0' end as sunday from business_v""", "business_v")
+def scan_business_jsonl(spark, d):
+    path = new_path(spark, "business-jsonl")
+    V.businesses(spark, d).drop("category_array").write.json(path)
+    return T.read_json_table(spark, path, S.BUSINESS).select(
+        "business_id", "name", "city", "state", "postal_code", "stars", "review_count", "is_open", "categories",
+        F.col("attributes.WiFi").alias("wifi"), F.col("attributes.BusinessAcceptsCreditCards").alias("credit"),
+        F.col("hours.Monday").alias("monday"), F.col("hours.Sunday").alias("sunday"),
+    )
+
+
+@query("scan_checkin_jsonl", """
+select cast(business_id as varchar) as business_id,
+       strftime(t1, '%Y-%m-%d %H:%M:%S') || ', ' || strftime(t2, '%Y-%m-%d %H:%M:%S') as date from checkin_v""", "checkin_v")
+def scan_checkin_jsonl(spark, d):
+    path = new_path(spark, "checkin-jsonl")
+    V.checkin_stamps(spark, d).select("business_id", F.concat_ws(", ", "t1", "t2").alias("date")).write.json(path)
+    return T.read_json_table(spark, path, S.CHECKIN_LIST)
+
+
 @query("valid_records", _GOOD + " where review_id % 10 <> 0 and review_id % 15 <> 0 and review_id % 21 <> 0", "review_v")
 def valid_records(spark, d):
     checked = T.check_lines(review_lines(spark, d), S.REVIEW, REQUIRED)

@@ -54,7 +54,7 @@ def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     """Gaussian density over [min, max] on a grid, bandwidth by Scott's rule.
 
     Each distinct value adds its weight to every grid point and the sums are combined before the shuffle, so the
-    exchange carries ``points`` rows per task.
+    exchange carries ``points`` rows per task. Without spread there is no bandwidth and the density is null.
     """
     values = _known(df, column)
     spread = values.agg(
@@ -70,8 +70,9 @@ def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
     )
     x = F.col("lo") + F.col("step") * F.col("point")
-    z = (x - F.col("v")) / F.col("bandwidth")
-    kernel = F.col("n") * F.exp(-0.5 * z * z) / (F.col("total") * F.col("bandwidth") * math.sqrt(2 * math.pi))
+    z = F.try_divide(x - F.col("v"), F.col("bandwidth"))
+    scale = F.col("total") * F.col("bandwidth") * math.sqrt(2 * math.pi)
+    kernel = F.try_divide(F.col("n") * F.exp(-0.5 * z * z), scale)
     return spread_out.groupBy("point").agg(F.max(x).alias("x"), F.sum(kernel).alias("density"))
 
 

@@ -25,13 +25,13 @@ def kpis(business: DataFrame) -> DataFrame:
 
 
 def reviews_by_star(business: DataFrame) -> DataFrame:
-    """Mean number of reviews by star level."""
-    return business.groupBy("stars").agg(F.avg("review_count").alias("avg_review_count"))
+    """Mean number of reviews by star level; unrated places are left out."""
+    return business.filter(F.col("stars").isNotNull()).groupBy("stars").agg(F.avg("review_count").alias("avg_review_count"))
 
 
 def success_by_star(business: DataFrame) -> DataFrame:
-    """Percentage successful by star level."""
-    return business.groupBy("stars").agg((F.avg("success") * 100.0).alias("success_pct"))
+    """Percentage successful by star level; unrated places are left out."""
+    return business.filter(F.col("stars").isNotNull()).groupBy("stars").agg((F.avg("success") * 100.0).alias("success_pct"))
 
 
 def success_by(business: DataFrame, level: str) -> DataFrame:

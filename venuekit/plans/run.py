@@ -90,7 +90,7 @@ def text_jobs(run: Run, business: DataFrame, reviews: DataFrame, checkins: DataF
     whole = reviews.withColumn("stars", F.col("stars").try_cast("int"))
     scored = _store(run, "sentiment", R.sentiment_rollup(whole))
     K.write_grouped_lines(sentiment_line(scored), run.path("review_sentiment"), "business_id", "line")
-    profile = A.temporal_profile(A.activity_from(reviews, A.expand_checkins(checkins)), weight="weight")
+    profile = A.temporal_profile(A.activity_from(reviews, checkins), weight="weight")
     K.write_grouped_lines(A.profile_line(profile), run.path("temporal_patterns"), "business_id", "line")
     return scored
 
@@ -111,7 +111,7 @@ def reports(
         "reviews_by_month": A.rollup_calendar(calendar, "review_month"),
         "reviews_by_weekday": A.name_weekdays(A.rollup_calendar(calendar, "review_day")),
         "reviews_by_hour": A.rollup_calendar(calendar, "review_hour"),
-        "checkins_by_weekday": A.checkins_by_weekday(A.expand_checkins(checkins)),
+        "checkins_by_weekday": A.checkins_by_weekday(checkins),
         "hours_coverage": H.hours_coverage(business),
         "open_by_weekday": H.open_by_weekday(business),
         "rating_by_days_open": H.rating_by_days_open(business),
@@ -178,7 +178,7 @@ def run_all(
     all_reviews = load_reviews(spark, run, review_path)
     corrupt_report(run, business=all_business, review=all_reviews)
     business, reviews = valid_records(all_business), valid_records(all_reviews)
-    checkins = read_json_table(spark, checkin_path, checkin_schema)
+    checkins = _store(run, "checkins", A.expand_checkins(read_json_table(spark, checkin_path, checkin_schema)))
     scored = text_jobs(run, business, reviews, checkins)
 
     analysis = _store(run, "business_analysis", D.analysis_from(business, reviews, scored))
