@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from venue_queries import QUERIES
 from tools.check_oracles import compare, connect
 
 FITTED = {"linreg_stars", "rf_success", "rf_success_wide", "rf_stars", "logit_open", "rf_holdout"}
@@ -13,14 +14,14 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, sf_dir, name):
     verdict = compare(spark, con, name, queries()[name], oracle_sql().get(name), sf_dir)
     assert verdict.startswith(("ok", "rows-only")), verdict
 
 
 def test_only_fitted_models_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == FITTED
+    assert set(QUERIES) - set(oracle_sql()) == FITTED
     assert set(oracle_sql()) <= set(queries())
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,24 +31,37 @@ def get_session(app_name: str = "venuekit", master: str | None = None, **conf: s
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``. A machine-local one is made only in local mode."""
+    """Folder that every executor can reach, by one rule on every master.
+
+    ``spark.checkpoint.dir`` if it is set, else a folder in the warehouse, which the driver and the executors share too.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="venuekit-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    return shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_venuekit"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the work folder that no other run uses."""
-    return os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write once and read back: reused results survive the loss of executors, unlike cached blocks."""
+    """Write once and read back: reused results survive the loss of executors, unlike cached blocks.
+
+    ``discard`` removes the files when nothing derived from the frame will run again.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_path = path
+    return stored
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the folders of frames that came from ``materialize``; other frames are left alone."""
+    for frame in frames:
+        path = getattr(frame, "_stored_path", None)
+        if path:
+            spark = frame.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
