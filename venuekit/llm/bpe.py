@@ -6,7 +6,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venuekit.llm.language import slices
+
 PIECE_CHARS = 1 << 15
+#: ids in Python take many times the room of the text
 BATCH_CHARS = 1 << 20
 
 
@@ -133,25 +136,13 @@ def _encode_rows(path: str | None):
     def encode(batches):
         codec = Codec(path or vocabulary_file())
         for rows in batches:
-            for b in _slices(rows.text):
+            for b in slices(rows.text, BATCH_CHARS):
                 part = rows.iloc[b]
                 yield part.drop(columns="text").assign(ids=[codec.encode(t) for t in part.text])
 
     return encode
 
 
-def _slices(texts):
-    """Runs of rows of about BATCH_CHARS characters: ids in Python take many times the room of the text."""
-    begin = total = 0
-    for i, n in enumerate(texts.str.len()):
-        if total + n > BATCH_CHARS and i > begin:
-            yield slice(begin, i)
-            begin, total = i, 0
-        total += n
-    if begin < len(texts):
-        yield slice(begin, len(texts))
-
-
 def _join_pairs(path: str | None):
     loaded: list[Codec] = []  # one for all groups of a task
 

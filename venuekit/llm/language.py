@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-GRAMS = (1, 2, 3, 4)
-BUCKETS = 1 << 15
+GRAMS = (2, 3, 4)
+BUCKET_BITS = 15
+BUCKETS = 1 << BUCKET_BITS
 SAMPLE_DOCS = 4000
 SWITCH = 12.0
 UNKNOWN = "und"
+#: a word counts for or against a language by this much at most
+LEAST = -20.0
 
 # First and last code point of the main blocks of scripts that set languages apart.
 SCRIPTS = (
@@ -22,31 +27,73 @@ SCRIPTS = (
 )
 
 
-def script_of(word: str) -> str:
-    """The script of most letters of a word ('' if it has no letter, 'other' outside the ranges)."""
-    counts: dict[str, int] = {}
-    for c in word:
-        if c.isalpha():
-            code = ord(c)
-            name = next((n for n, low, high in SCRIPTS if low <= code <= high), "other")
-            counts[name] = counts.get(name, 0) + 1
-    return max(counts, key=counts.get) if counts else ""
+SCRIPT_NAMES = [*dict.fromkeys(name for name, _, _ in SCRIPTS), "other"]
+
 
+class Speller:
+    """Cuts batches of texts into words of letters and their character n-grams, as flat arrays."""
 
-def letters_of(word: str) -> str:
-    """The word in lower case, without what is not a letter."""
-    return word.lower() if word.isalpha() else "".join(c for c in word.lower() if c.isalpha())
+    def __init__(self) -> None:
+        import sys
 
+        import numpy as np
 
-def grams_of(word: str) -> list[int]:
-    """Buckets of the character n-grams of a word with its ends marked."""
-    import zlib
+        # what a code point is: 0 nothing, 1 a letter, 2 white space; and the script of a letter
+        every = [chr(i) for i in range(sys.maxunicode + 1)]
+        self.kind = np.fromiter((1 if c.isalpha() else 2 if c.isspace() else 0 for c in every), np.uint8, len(every))
+        self.script = np.full(len(every), len(SCRIPT_NAMES) - 1, dtype=np.uint8)
+        for name, low, high in SCRIPTS:
+            self.script[low : high + 1] = SCRIPT_NAMES.index(name)
 
-    marked = f"<{word}>"
-    return [
-        zlib.crc32(marked[i : i + n].encode()) % BUCKETS
-        for n in GRAMS for i in range(len(marked) - n + 1) if n > 1 or marked[i] not in "<>"
-    ]
+    def words(self, texts: list[str]) -> dict:
+        """codes (letters in lower case, one space before, between and after words), begins (of words in codes, at the
+        space), doc (of each word), first and last (of each word in its text, in code points, end exclusive)."""
+        import numpy as np
+
+        low = [t.lower() for t in texts]
+        low = [x if len(x) == len(t) else "".join(c.lower()[:1] for c in t) for x, t in zip(low, texts, strict=True)]
+        joined = f" {' '.join(low)} "
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        starts = np.cumsum([1, *[len(x) + 1 for x in low[:-1]]]) if low else np.zeros(0, int)
+        kind = self.kind[codes]
+        kept = np.flatnonzero(kind)
+        gap = kind[kept] == 2
+        once = np.ones(len(kept), dtype=bool)
+        once[1:] = ~(gap[1:] & gap[:-1])
+        place, gap = kept[once], gap[once]
+        # a space after a dropped sign may still follow a space
+        codes = np.where(gap, np.uint32(32), codes[place])
+        edges = np.flatnonzero(gap)
+        begins, ends = edges[:-1], edges[1:]
+        first, last = place[begins + 1] if len(begins) else begins, place[ends - 1] + 1 if len(ends) else ends
+        doc = np.searchsorted(starts, first, side="right") - 1
+        return {"codes": codes, "gap": gap, "begins": begins, "doc": doc, "first": first - starts[doc], "last": last - starts[doc]}
+
+    def scripts(self, words: dict):
+        """The script of each word's first letter."""
+        return self.script[words["codes"][words["begins"] + 1]]
+
+
+def grams_of(words: dict):
+    """For each n in ``GRAMS``: the bucket of the n-gram that begins at each place, ``BUCKETS`` where it leaves its word.
+
+    A gram may begin or end with the space next to its word."""
+    import numpy as np
+
+    codes, gap = words["codes"], words["gap"]
+    value, size = codes.copy(), len(codes)
+    crosses = np.zeros(size, dtype=bool)
+    for n in range(2, max(GRAMS) + 1):
+        if n > size:
+            return
+        value[: size - n + 1] = value[: size - n + 1] * np.uint32(0x01000193) + codes[n - 1 :]
+        if n > 2:
+            crosses[: size - n + 2] |= gap[n - 2 :]
+        if n in GRAMS:
+            bucket = ((value ^ np.uint32(n)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)
+            bucket[crosses] = BUCKETS
+            bucket[size - n + 1 :] = BUCKETS
+            yield bucket
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -55,21 +102,24 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 
 
 def _count(batches):
-    from collections import Counter
+    """(lang, script, gram, n): n-grams of the different words of each text, and the scripts of these words."""
+    import numpy as np
 
+    speller = Speller()
     for rows in batches:
-        grams, scripts = {}, {}
-        for lang, text in zip(rows.lang, rows.text, strict=True):
-            own, seen = grams.setdefault(lang, Counter()), scripts.setdefault(lang, Counter())
-            for word, n in Counter(text.split()).items():
-                letters = letters_of(word)
-                if letters:
-                    seen[script_of(letters)] += n
-                    # a word counts by the root of its number, so that one line said over and over is not the language
-                    for g in grams_of(letters):
-                        own[g] += n**0.5
-        out = [(lang, "", g, float(n)) for lang, c in grams.items() for g, n in c.items()]
-        out += [(lang, s, -1, float(n)) for lang, c in scripts.items() for s, n in c.items()]
+        out = []
+        for lang, texts in rows.groupby("lang").text:
+            total, scripts = np.zeros(BUCKETS + 1), np.zeros(len(SCRIPT_NAMES))
+            for text in texts:
+                # a text's words once each, so that one line said over and over is not the language
+                words = speller.words([" ".join(sorted(set(text.split())))])
+                if not len(words["begins"]):
+                    continue
+                for bucket in grams_of(words):
+                    total += np.bincount(bucket, minlength=BUCKETS + 1)
+                scripts += np.bincount(speller.scripts(words), minlength=len(SCRIPT_NAMES))
+            out += [(lang, -1, int(g), float(total[g])) for g in np.flatnonzero(total[:BUCKETS])]
+            out += [(lang, int(k), -1, float(scripts[k])) for k in np.flatnonzero(scripts)]
         yield pd.DataFrame(out, columns=["lang", "script", "gram", "n"])
 
 
@@ -85,164 +135,173 @@ def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict:
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(totals)
+    model = {"langs": langs, "scores": np.zeros((BUCKETS, len(langs))), "scripts": np.ones((len(SCRIPT_NAMES), len(langs)), bool)}
     if not langs:
-        return {"langs": [], "scores": np.zeros((BUCKETS, 0)), "scripts": {}, "prior": np.zeros(0)}
+        return model
     draw = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003
     share = F.create_map(*[x for k, n in totals.items() for x in (F.lit(k), F.lit(min(1.0, sample_docs / n)))])
     sample = known.where(draw < F.element_at(share, F.col("lang")))
-    counts = sample.mapInPandas(_count, "lang string, script string, gram int, n double").groupBy("lang", "script", "gram").agg(
+    counts = sample.mapInPandas(_count, "lang string, script int, gram int, n double").groupBy("lang", "script", "gram").agg(
         F.sum("n").alias("n")
     )
-    table, scripts = np.zeros((BUCKETS, len(langs))), {}
+    table, scripts = np.zeros((BUCKETS, len(langs))), np.zeros((len(SCRIPT_NAMES), len(langs)))
     for r in counts.collect():  # bounded by BUCKETS and the scripts of a language
         if r["gram"] >= 0:
             table[r["gram"], langs.index(r["lang"])] = round(r["n"], 6)
         else:
-            scripts.setdefault(r["lang"], {})[r["script"]] = r["n"]
+            scripts[r["script"], langs.index(r["lang"])] = round(r["n"], 6)
     smooth = 0.5
-    scores = np.log((table + smooth) / (table.sum(axis=0) + smooth * BUCKETS))
-    allowed: dict[str, list[int]] = {}
-    for lang, seen in scripts.items():
-        for script, n in seen.items():
-            if n >= 0.01 * sum(seen.values()):
-                allowed.setdefault(script, []).append(langs.index(lang))
-    return {"langs": langs, "scores": scores, "scripts": {s: sorted(x) for s, x in allowed.items()}, "prior": np.zeros(len(langs))}
+    model["scores"] = np.log((table + smooth) / (table.sum(axis=0) + smooth * BUCKETS))
+    used = scripts >= 0.01 * scripts.sum(axis=0)
+    used &= scripts > 0
+    # no language for a script: all are candidates
+    model["scripts"] = np.where(used.any(axis=1, keepdims=True), used, True)
+    return model
 
 
-def word_scores(model: dict, word: str):
-    """Log score of a word in each language against the best one (0 is the best); None if it has no letter.
+def word_scores(model: dict, speller: Speller, words: dict):
+    """(words, languages) log scores against each word's best language (0 is the best).
 
     Only languages that use the word's script are candidates; if none does, all are.
     """
     import numpy as np
 
-    letters = letters_of(word)
-    if not letters:
-        return None
-    scores = model["scores"][grams_of(letters)].sum(axis=0)
-    candidates = model["scripts"].get(script_of(letters))
-    if candidates and len(candidates) < len(scores):
-        low = np.full(len(scores), scores.min() - 50.0)
-        low[candidates] = scores[candidates]
-        scores = low
+    table = model["table"]
+    total = np.zeros((len(words["codes"]), table.shape[1]), dtype=np.float32)
+    for bucket in grams_of(words):
+        total += table[bucket]
+    scores = np.add.reduceat(total, words["begins"], axis=0)
+    scores[~model["scripts"][speller.scripts(words)]] = -np.inf
     # one strange word must not outweigh a sentence
-    return np.maximum(scores - scores.max(), -20.0)
+    return np.maximum(scores - scores.max(axis=1, keepdims=True), np.float32(LEAST))
+
+
+def gains(scores, best, begins):
+    """For each text, the most that a run of its words scores better in other languages than in its best one.
+
+    ``scores`` has the words of all texts, which begin at ``begins``; ``best`` is the best language of each word's text.
+    """
+    import numpy as np
+
+    rows = np.arange(len(scores))
+    own = scores[rows, best]
+    others = scores.copy()
+    others[rows, best] = -np.inf
+    rival = others.max(axis=1).astype(np.float64) - own if scores.shape[1] > 1 else np.full(len(scores), -1.0)
+    # a deep drop before each text makes it begin a new lowest sum
+    marked = np.insert(rival, begins, -1e7)
+    total = np.cumsum(marked)
+    rise = total - np.minimum.accumulate(total)
+    return np.maximum.reduceat(rise, begins + np.arange(len(begins)))
 
 
 def viterbi(scores: list, switch: float = SWITCH) -> list:
     """For each of several texts, the best language of each word: sum of scores, less ``switch`` for each change.
 
-    ``scores`` has a (words, languages) array for each text. Texts go step by step together.
+    ``scores`` has a (words, languages) array for each text. Texts of similar length go step by step together.
     """
     import numpy as np
 
-    order = sorted(range(len(scores)), key=lambda i: -len(scores[i]))
-    lengths = np.array([len(scores[i]) for i in order])
     paths = [np.zeros(len(s), dtype=np.int16) for s in scores]
-    if not len(lengths) or not lengths[0]:
-        return paths
-    width = scores[order[0]].shape[1]
-    begin = 0
-    while begin < len(order):
-        # texts of similar length together; a group's table stays small
-        size = lengths[begin]
-        if not size:
-            break
-        end = begin
-        while end < len(order) and lengths[end] * 2 >= size and (end - begin + 1) * size <= max(size, 400_000):
-            end += 1
-        group = order[begin:end]
-        count = lengths[begin:end]
-        table = np.zeros((size, len(group), width), dtype=np.float32)
+    order = sorted((i for i in range(len(scores)) if len(scores[i])), key=lambda i: -len(scores[i]))
+    while order:
+        size = len(scores[order[0]])
+        room = max(1, 2_000_000 // size)
+        group = [i for i in order[:room] if 2 * len(scores[i]) > size]
+        order = order[len(group) :]
+        value = np.zeros((size, len(group), scores[group[0]].shape[1]), dtype=np.float32)
         for k, i in enumerate(group):
-            table[: count[k], k] = scores[i]
-        stay = np.empty((size, len(group), width), dtype=bool)
-        from_best = np.empty((size, len(group)), dtype=np.int16)
-        value = table[0].copy()
-        for t in range(1, size):
-            top = value.max(axis=1)
-            from_best[t] = value.argmax(axis=1)
-            moved = (top - switch)[:, None]
-            stay[t] = value >= moved
-            value = np.maximum(value, moved)
-            value += table[t]  # zero beyond the end of a text
-        state = value.argmax(axis=1).astype(np.int16)
-        rows = np.arange(len(group))
+            value[: len(scores[i]), k] = scores[i]
+        for t in range(1, size):  # each step adds the best way to come here; beyond a text's end nothing changes
+            before = value[t - 1]
+            value[t] += np.maximum(before, before.max(axis=1, keepdims=True) - np.float32(switch))
+        best = value.argmax(axis=2).astype(np.int16)
+        stays = value >= value.max(axis=2, keepdims=True) - np.float32(switch)
+        rows, state = np.arange(len(group)), best[-1]
         chosen = np.empty((size, len(group)), dtype=np.int16)
-        for t in range(size - 1, -1, -1):
+        chosen[-1] = state
+        for t in range(size - 2, -1, -1):
+            state = np.where(stays[t, rows, state], state, best[t])
             chosen[t] = state
-            if t:
-                state = np.where(stay[t, rows, state], state, from_best[t])
         for k, i in enumerate(group):
-            paths[i] = chosen[: count[k], k].copy()
-        begin = end
+            paths[i] = chosen[: len(scores[i]), k].copy()
     return paths
 
 
-def _predict(model: dict, switch: float):
-    def predict(batches):
-        import numpy as np
+def _verdict(langs: list, scores, path, first, last) -> tuple:
+    """(lang_pred, score, spans) of a text by its words' scores, the path through them, and their places."""
+    import numpy as np
 
-        langs = model["langs"]
+    weight = np.bincount(path, minlength=len(langs))
+    top = int(weight.argmax())
+    used = int(weight[top])
+    own = scores[path == top].mean(axis=0, dtype=np.float64)
+    # how clearly the words of this language beat the runner-up, by their mean margin
+    rival = max((x for k, x in enumerate(own) if k != top), default=LEAST)
+    margin = (own[top] - rival) * min(used, 50)
+    edges = [0, *(np.flatnonzero(np.diff(path)) + 1), len(path)]
+    spans = [
+        {"begin": int(first[x]), "end": int(last[y - 1]), "lang": langs[path[x]]}
+        for x, y in zip(edges[:-1], edges[1:], strict=True)
+    ]
+    return langs[top], used / len(path) / (1 + math.exp(-max(-30.0, min(30.0, margin)))), spans
 
-        class Words(dict):
-            """Number of each word seen, and with it its scores: -1 for a word without letters."""
 
-            def __init__(self):
-                super().__init__()
-                self.table: list = []
+def _predict(model: dict, switch: float):
+    def predict(batches):
+        import numpy as np
 
-            def __missing__(self, word):
-                scores = word_scores(model, word)
-                if scores is None:
-                    self[word] = -1
+        langs, speller = model["langs"], Speller()
+        model["table"] = np.vstack([model["scores"], np.zeros((1, len(langs)))]).astype(np.float32)
+
+        def label(texts: list[str], found: list, at: int, open_: list) -> None:
+            """Fill in the texts whose language never changes; leave the others, with their scores, in ``open_``."""
+            words = speller.words(texts)
+            if not langs or not len(words["begins"]):
+                return
+            scores = word_scores(model, speller, words)
+            begins = np.flatnonzero(np.diff(words["doc"], prepend=-1))
+            docs, ends = words["doc"][begins], np.append(begins[1:], len(scores))
+            best = np.add.reduceat(scores.astype(np.float64), begins, axis=0).argmax(axis=1)
+            change = gains(scores, np.repeat(best, ends - begins), begins) > switch
+            for doc, b, e, top, hard in zip(docs, begins, ends, best, change, strict=True):
+                own, first, last = scores[b:e], words["first"][b:e], words["last"][b:e]
+                if hard:
+                    open_.append((at + doc, own.copy(), first.copy(), last.copy()))
                 else:
-                    self[word] = len(self.table)
-                    self.table.append(scores.astype(np.float32))
-                return self[word]
+                    found[at + doc] = _verdict(langs, own, np.full(e - b, top), first, last)
 
-        words = Words()
         for rows in batches:
-            for begin in range(0, len(rows), 512):
-                part = rows.iloc[begin : begin + 512]
-                if len(words) > 500_000:
-                    words = Words()
-                texts = [(t or "").split() for t in part.text]
-                numbers = [np.array([words[w] for w in t], dtype=np.int64) for t in texts]
-                table = np.array(words.table, dtype=np.float32).reshape(len(words.table), len(langs))
-                known = [n[n >= 0] for n in numbers]
-                paths = viterbi([table[n] for n in known], switch) if langs else [np.zeros(0, np.int16)] * len(known)
-                out = []
-                for t, n, k, path in zip(texts, numbers, known, paths, strict=True):
-                    if not langs or not len(k):
-                        out.append((UNKNOWN, 0.0, []))
-                        continue
-                    at = np.flatnonzero(n >= 0)
-                    weight = np.bincount(path, minlength=len(langs)).astype(float)
-                    best = int(weight.argmax())
-                    # how sure the words of this language are against the runner-up, by their mean margin
-                    own = table[k[path == best]].astype(float)
-                    rival = np.delete(own.mean(axis=0), best).max() if len(langs) > 1 else -20.0
-                    margin = own.mean(axis=0)[best] - rival
-                    sure = 1 / (1 + np.exp(-max(-30.0, min(30.0, margin * min(len(own), 50)))))
-                    change = np.flatnonzero(np.diff(path)) + 1
-                    edges = [0, *change, len(path)]
-                    spans = [
-                        {"begin": int(at[b]), "end": int(at[e - 1]) + 1, "lang": langs[path[b]]}
-                        for b, e in zip(edges[:-1], edges[1:], strict=True)
-                    ]
-                    out.append((langs[best], float(weight[best] / len(k) * sure), spans))
-                made = pd.DataFrame(out, columns=["lang_pred", "score", "spans"], index=part.index)
-                yield pd.concat([part.drop(columns="text"), made], axis=1)
+            texts = rows.text.fillna("")
+            found, open_ = [(UNKNOWN, 0.0, [])] * len(rows), []
+            for piece in slices(texts):
+                label(list(texts.iloc[piece]), found, piece.start, open_)
+            paths = viterbi([x[1] for x in open_], switch)
+            for (i, own, first, last), path in zip(open_, paths, strict=True):
+                found[i] = _verdict(langs, own, path, first, last)
+            made = pd.DataFrame(found, columns=["lang_pred", "score", "spans"], index=rows.index)
+            yield pd.concat([rows.drop(columns="text"), made], axis=1)
 
     return predict
 
 
+def slices(texts: pd.Series, chars: int = 1 << 21):
+    """Runs of rows of about ``chars`` characters, so that arrays over a run stay small; a longer text is a run of its own."""
+    begin = total = 0
+    for i, n in enumerate(texts.str.len()):
+        if total + n > chars and i > begin:
+            yield slice(begin, i)
+            begin, total = i, 0
+        total += n
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 def identify(docs: DataFrame, model: dict, switch: float = SWITCH, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and lang_pred, score, spans of every whole text.
 
     Each word has a score in each language from its character n-grams, among the languages that use its script. The best
-    path through the words pays ``switch`` for each change of language; its runs are the spans (word numbers, end
+    path through the words pays ``switch`` for each change of language; its runs are the spans (code points, end
     exclusive). lang_pred has most words; ``und`` (score 0, no spans) if the text is null or has no letter, or nothing was
     learned. The score, 0 to 1, is the share of its words times how clearly they beat the next language.
 

@@ -10,9 +10,9 @@ from venuekit.llm.registry import query, table
 
 TOP_K_SQL = """
 with v as (
-    select vec_id, list_transform(embedding, x -> floor(256 * cast(x as double))) as q from embeddings
+    select vec_id, [floor(256 * cast(x as double)) for x in embedding] as q from embeddings
     where embedding is not null and len(embedding) > 0 and vec_id is not null
-      and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ), s as (
     select a.vec_id as query_id, b.vec_id as vec_id, cast(list_inner_product(a.q, b.q) as bigint) as score
     from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0

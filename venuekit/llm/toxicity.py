@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuekit.llm.language import held_out
-from venuekit.session import materialize
+from venuekit.session import discard, materialize
 
-SAMPLE_DOCS = 6000
+SAMPLE_DOCS = 2500
 PREFIXES = (4, 5, 6)
 
 # Letters of other scripts that look like Latin ones, and digits and signs written for letters.
@@ -182,20 +182,58 @@ def _cut(values: list[tuple[float, int]]) -> float:
     return max(at, 1e-6)
 
 
+def _unmatched(model: dict):
+    """Toxic texts that no pattern matches, and all clean ones."""
+
+    def rest(batches):
+        fold, matcher = folder(), automaton(model)
+        for rows in batches:
+            open_ = [not toxic or not hits(matcher, fold(text)) for text, toxic in zip(rows.text, rows.toxic, strict=True)]
+            yield rows[pd.Series(open_, index=rows.index, dtype=bool)]
+
+    return rest
+
+
+def _strong(texts: DataFrame, least_share: float, least_odds: float, chance: float) -> dict[str, float]:
+    """Patterns that are far more common in toxic texts than chance allows, with the logarithm of how much."""
+    import math
+
+    sizes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bad, good = sizes.get(1, 0), sizes.get(0, 0)
+    if not bad or not good:
+        return {}
+    counts = texts.mapInPandas(_patterns, "pattern string, toxic bigint, clean bigint").groupBy("pattern").agg(
+        F.sum("toxic").cast("double").alias("toxic"), F.sum("clean").cast("double").alias("clean")
+    )
+    n, base = F.col("toxic") + F.col("clean"), bad / (bad + good)
+    share = F.col("toxic") / n
+    # Chernoff's bound on the chance that so many of the n texts with the pattern are toxic
+    surprise = n * (
+        share * F.log(share / base)
+        + F.when(F.col("clean") > 0, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(F.lit(0.0))
+    )
+    odds = ((F.col("toxic") + 0.5) / (bad + 1)) / ((F.col("clean") + 0.5) / (good + 1))
+    support = max(3, math.ceil(least_share * bad))
+    # few: a text has a bounded number of patterns, and each of these is in least_share of the toxic texts
+    found = counts.where((F.col("toxic") >= support) & (odds >= least_odds) & (share > base) & (surprise >= -math.log(chance)))
+    return {r["pattern"]: round(r["weight"], 6) for r in found.select("pattern", F.log(odds).alias("weight")).collect()}
+
+
 def train(
     docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, least_share: float = 0.004, least_odds: float = 12.0,
+    chance: float = 1e-5, rounds: int = 4,
 ) -> dict:
     """A lexicon with weights, exception phrases and the burden at which a text is toxic, from (doc_id, text) and (doc_id,
     toxic).
 
     Fitted on a bounded sample: at most ``sample_docs`` rows of each label, picked by a hash of doc_id; only they are
-    broadcast. Near copies in the sample count once. A pattern (a word, or the beginning of words) enters the
-    lexicon if it is in a share ``least_share`` of the toxic texts, and 3 at least, and ``least_odds`` times as common there
-    as in clean ones; its weight is the logarithm of that. A pair of words around a hit is an exception if 3 clean
-    texts or more have it and at most one in ten of the texts that have it is toxic. Null labels and texts do not count.
+    broadcast. Near copies in the sample count once. A pattern (a word, or the beginning of words) enters the lexicon if
+    it is in a share ``least_share`` of the toxic texts, and 3 at least, is ``least_odds`` times as common there as in clean ones,
+    and would be so by chance less often than ``chance``; its weight is the logarithm of that ratio. Toxic texts without
+    any pattern so far are then held against the clean ones in the same way, up to ``rounds`` times: so rarer insults, as of
+    a language with few texts, are found. A pair of words around a hit is an exception if 3 clean texts or more have it and at
+    most one in ten of the texts that have it is toxic. Null labels and texts do not count.
     """
-    import math
-
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic").distinct()
     picked = [
         known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for y in (0, 1)
@@ -206,28 +244,23 @@ def train(
     # among near copies the one of the smallest hash stays, so that the choice does not depend on partitions
     chosen = families.groupBy("family", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "toxic")
     chosen = materialize(chosen, "toxic-sample")
-    sizes = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bad, good = sizes.get(1, 0), sizes.get(0, 0)
-    model = {"lexicon": {}, "exceptions": [], "cut": 0.5}
-    if not bad:
-        return model
-    counts = chosen.mapInPandas(_patterns, "pattern string, toxic bigint, clean bigint").groupBy("pattern").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
-    )
-    support = max(3, math.ceil(least_share * bad))
-    odds = ((F.col("toxic") + 0.5) / (bad + 1)) / ((F.col("clean") + 0.5) / (good + 1))
-    # few: each text has a bounded number of patterns of which a share must come back in least_share of the texts
-    strong = counts.where((F.col("toxic") >= support) & (odds >= least_odds)).withColumn("weight", F.log(odds))
-    model["lexicon"] = {r["pattern"]: round(r["weight"], 6) for r in strong.orderBy("pattern").collect()}
-    if not model["lexicon"]:
-        return model
-    pairs = chosen.mapInPandas(_phrases(model), "phrase string, toxic bigint, clean bigint").groupBy("phrase").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
-    )
-    spared = pairs.where((F.col("clean") >= 3) & (F.col("toxic") * 10 <= F.col("clean") + F.col("toxic")))
-    model["exceptions"] = [r["phrase"] for r in spared.orderBy("phrase").collect()]
-    weighed = chosen.mapInPandas(_burdens(model), "toxic int, burden double").collect()  # the bounded sample
-    model["cut"] = _cut([(r["burden"], r["toxic"]) for r in weighed])
+    model: dict = {"lexicon": {}, "exceptions": [], "cut": 0.5}
+    for _ in range(rounds):
+        rest = chosen.mapInPandas(_unmatched(model), "text string, toxic int") if model["lexicon"] else chosen
+        more = _strong(rest, least_share, least_odds, chance)
+        if not more:
+            break
+        model["lexicon"] |= more
+    model["lexicon"] = dict(sorted(model["lexicon"].items()))
+    if model["lexicon"]:
+        pairs = chosen.mapInPandas(_phrases(model), "phrase string, toxic bigint, clean bigint").groupBy("phrase").agg(
+            F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
+        )
+        spared = pairs.where((F.col("clean") >= 3) & (F.col("toxic") * 10 <= F.col("clean") + F.col("toxic")))
+        model["exceptions"] = [r["phrase"] for r in spared.orderBy("phrase").collect()]
+        weighed = chosen.mapInPandas(_burdens(model), "toxic int, burden double").collect()  # the bounded sample
+        model["cut"] = _cut([(r["burden"], r["toxic"]) for r in weighed])
+    discard(chosen)
     return model
 
 
