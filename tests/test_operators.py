@@ -461,3 +461,43 @@ def test_regression_metrics_match_evaluator(spark):
     evaluator = RegressionEvaluator(labelCol="stars", predictionCol="prediction")
     assert got.rmse == pytest.approx(evaluator.evaluate(df))
     assert got.r2 == pytest.approx(evaluator.setMetricName("r2").evaluate(df))
+
+
+def test_histogram_of_a_tiny_range(spark):
+    from venuekit.operators import distribution
+
+    values = spark.createDataFrame([(1e-11 * i,) for i in range(100)], "v double")
+    assert [r.n for r in distribution.histogram(values, "v", 10).orderBy("bin").collect()] == [10] * 10
+
+
+def test_null_business_has_no_growth(spark):
+    from venuekit.operators import growth
+
+    yearly = spark.createDataFrame([(None, 2019, 2, 3.0), (None, 2020, 4, 3.5), ("b", 2019, 1, 4.0), ("b", 2020, 3, 5.0)],
+                                   "business_id string, review_year int, yearly_reviews long, yearly_avg_stars double")
+    assert [r.business_id for r in growth.growth_metrics(growth.year_pairs(yearly)).collect()] == ["b"]
+
+
+def test_unknown_levels_states_and_businesses_are_left_out(spark):
+    from venuekit.operators import activity, places, success
+
+    rated = spark.createDataFrame([(float("nan"), 1.0), (2.0, 1.0), (None, 0.0)], "price_level double, success double")
+    assert [r.price_level for r in success.success_by(rated, "price_level").collect()] == [2.0]
+    states = spark.createDataFrame([(None,), (None,), ("AZ",)], "state string")
+    assert [r.state for r in places.top_counts(states, "state", k=2, keep_null=False).collect()] == ["AZ"]
+    assert [r.state for r in places.top_counts(states, "state", k=2).collect()] == [None, "AZ"]
+    records = spark.createDataFrame([(None, "2020-03-08 02:30:00", None), ("b", "2020-03-08 02:30:00", None)],
+                                    "business_id string, date string, time string")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert [(r.business_id, r.hour_of_day) for r in activity.route_activity(records).collect()] == [("b", 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_scatter_has_all_points(spark):
+    from venuekit.operators import distribution
+
+    points = spark.range(2500).selectExpr("id", "double(id) x", "if(id % 100 = 0, null, double(id)) y")
+    assert distribution.scatter_points(points, "id", ["x", "y"]).count() == 2475
+    assert distribution.scatter_points(points, "id", ["x", "y"], n=10).count() == 10

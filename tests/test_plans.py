@@ -17,7 +17,7 @@ LAZY = [
     "checkin_expand", "route_activity", "temporal_profile_long", "sentiment_score", "sentiment_by_business",
     "analysis_dataset", "geo_dataset", "kpis", "attribute_corr", "state_profile", "postal_density",
     "location_directory", "geojson_rows", "hist_growth", "kde_growth", "box_stars_status", "auc", "confusion_matrix",
-    "top_state_places", "category_profile", "density_sentiment", "feature_noise", "valid_records",
+    "top_state_places", "category_profile", "density_sentiment", "feature_noise", "valid_records", "model_dataset",
 ]
 
 
@@ -56,7 +56,7 @@ def test_text_does_not_enter_the_shuffle(spark, sf_dir):
 def test_filters_reach_the_scan(spark, sf_dir):
     plan = plan_of(A.route_activity(V.table(spark, sf_dir, "events").select(
         F.col("user_id").alias("business_id"), F.col("ts").alias("date"), F.col("ts").alias("time"))))
-    assert "PushedFilters: [IsNotNull(ts)]" in plan
+    assert "PushedFilters: [IsNotNull(user_id), IsNotNull(ts)]" in plan
     stored = V.table(spark, sf_dir, "lineitem").filter(F.col("l_quantity") > 40)
     assert "GreaterThan(l_quantity,40.0)" in plan_of(stored)
 
@@ -76,3 +76,28 @@ def test_same_rows_under_any_partitioning(spark, sf_dir):
         votes = R.review_votes(part)
         results.append(sorted(tuple(round(x, 9) for x in r) for r in votes.collect()))
     assert results[0] == results[1] == results[2]
+
+
+def test_values_meet_the_fences_by_range(spark, sf_dir):
+    """With no broadcast, only summed rows are brought together by the group alone."""
+    from venuekit.operators import distribution
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = V.table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("grp"), "l_extendedprice")
+        plan = plan_of(distribution.box_stats(lines, "l_extendedprice", ["grp"]))
+        assert "SortMergeJoin [grp" in plan
+        joined = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+        assert "_range" in joined[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_density_lays_out_no_row_for_each_value_and_point(spark, sf_dir):
+    assert "Generate" not in plan_of(QUERIES["kde_growth"](spark, sf_dir))
+
+
+def test_auc_reads_its_input_once(spark, sf_dir):
+    df = QUERIES["auc"](spark, sf_dir)
+    df.collect()
+    assert plan_of(df).split("== Initial Plan ==")[0].count("Scan parquet") <= 1

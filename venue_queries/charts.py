@@ -15,10 +15,10 @@ from venuekit.plans import datasets as D
 def _histogram_sql(expression, view, bins):
     return f"""
 with v as (select cast({expression} as double) as v from {view}),
-k as (select round(v, 9) as v from v where v is not null and not isnan(v)),
+k as (select v from v where v is not null and not isnan(v)),
 b as (select min(v) - case when min(v) = max(v) then 0.5 else 0 end as lo,
              max(v) + case when min(v) = max(v) then 0.5 else 0 end as hi from k),
-c as (select cast(least(floor({bins} * (v - lo) / (hi - lo)) + 1, {bins}) as int) as bin, count(*) as n from k, b group by 1)
+c as (select cast(least(floor(round((v - lo) * {bins} / (hi - lo), 9)) + 1, {bins}) as int) as bin, count(*) as n from k, b group by 1)
 select cast(i.bin as int) as bin, {r(f'lo + (hi - lo) / {bins} * (i.bin - 1)')} as bin_start,
        {r(f'lo + (hi - lo) / {bins} * i.bin')} as bin_end, coalesce(n, 0) as n
 from range(1, {bins} + 1) i(bin) cross join b left join c on c.bin = i.bin"""
@@ -121,30 +121,31 @@ def box_price_linestatus(spark, d):
 
 @query("scatter_growth", f"""
 select business_id, {r('avg_star_change')} as avg_star_change, {r('avg_growth_rate')} as avg_growth_rate, stars
-from clipped_v join business_v using (business_id) order by md5('42:' || business_id), business_id limit 1000""",
+from clipped_v join business_v using (business_id)
+where avg_star_change is not null and avg_growth_rate is not null""",
        "clipped_v", "business_v")
 def scatter_growth(spark, d):
     joined = D.chart_frame(
         V.businesses(spark, d), clip_growth(growth_metrics(spark, d)), ["avg_star_change", "avg_growth_rate"]
     )
-    return rounded(X.scatter_sample(joined, "business_id", ["avg_star_change", "avg_growth_rate", "stars"], 1000))
+    return rounded(X.scatter_points(joined, "business_id", ["avg_star_change", "avg_growth_rate", "stars"]))
 
 
 @query("scatter_reviews_stars", """
 select business_id, review_count, stars, is_open, success from feature_v
-order by md5('42:' || business_id), business_id limit 1000""", "feature_v")
+where review_count is not null and stars is not null""", "feature_v")
 def scatter_reviews_stars(spark, d):
     business = V.businesses(spark, d).select(
         "business_id", "review_count", "stars", F.col("is_open").cast("double").alias("is_open"),
         success_or_null("stars").alias("success"),
     )
-    return X.scatter_sample(business, "business_id", ["review_count", "stars", "is_open", "success"], 1000)
+    return X.scatter_points(business, "business_id", ["review_count", "stars", "is_open", "success"])
 
 
 @query("scatter_bins", """
 with b as (select min(review_count)::double as xl, max(review_count)::double as xh, min(stars) as yl, max(stars) as yh from business_v)
-select cast(least(floor(20 * (review_count::double - xl) / (xh - xl)) + 1, 20) as int) as x_bin,
-       cast(least(floor(9 * (stars - yl) / (yh - yl)) + 1, 9) as int) as y_bin, count(*) as n
-from business_v, b group by 1, 2""", "business_v")
+select cast(least(floor(round((review_count::double - xl) * 20 / (xh - xl), 9)) + 1, 20) as int) as x_bin,
+       cast(least(floor(round((stars - yl) * 9 / (yh - yl), 9)) + 1, 9) as int) as y_bin, count(*) as n
+from business_v, b where stars is not null and review_count is not null group by 1, 2""", "business_v")
 def scatter_bins(spark, d):
     return X.scatter_bins(V.businesses(spark, d), "review_count", "stars", 20, 9)

@@ -11,6 +11,8 @@ from venue_queries.profiles import analysis
 from venue_queries.registry import query, r, rounded
 from venuekit.operators import metrics as E
 from venuekit.operators import success as S
+from venuekit.operators.ranks import attach
+from venuekit.operators.sampling import split
 from venuekit.plans import datasets as D
 from venuekit.plans import models as M
 from venuekit.session import materialize, new_path
@@ -37,8 +39,7 @@ def model_dataset(spark, d):
 
 @query("state_index", "select state, state_idx from state_rank_v", "state_rank_v")
 def state_index(spark, d):
-    places = geo(spark, d).select("business_id", "state")
-    return D.fit_state_index(places).transform(places).select("state", "state_idx").distinct()
+    return D.state_index(geo(spark, d).select("business_id", "state"))
 
 
 @query("fallback_dataset", f"""
@@ -210,48 +211,101 @@ def linreg_one(spark, d):
     )
 
 
-def _ranked(fit, name):
-    """Metrics of a fit next to its ranked features."""
-    return fit.ranking.select(F.lit(name).alias("model"), "feature", "importance").join(
-        fit.metrics.select(F.lit(name).alias("model"), F.to_json(F.struct("*")).alias("metrics")), "model"
+def _weights(fit):
+    """What holds for the feature weights of any forest: one a feature, none negative, sum 1."""
+    return fit.ranking.agg(
+        F.count("feature").alias("n_features"), F.round(F.sum("importance"), 6).alias("importance_sum"),
+        (F.min("importance") >= 0).alias("none_negative"),
     )
 
 
-@query("linreg_stars")
+def _forest_facts(fit, low, high):
+    """Test rows, those with a prediction in the label's range, and the facts about the weights."""
+    scored = fit.predictions.agg(
+        F.count(F.lit(1)).alias("n_test"),
+        F.count_if(F.col("prediction").between(low, high)).alias("n_in_range"),
+    )
+    return attach(scored, _weights(fit), ())
+
+
+def _forest_sql(view, features):
+    test = f"count(*) filter ({_U.format(seed=42, key='business_id')} >= 0.8)"
+    return f"""
+select {test} as n_test, {test} as n_in_range, cast({features} as bigint) as n_features, 1.0::double as importance_sum,
+       true as none_negative from {view}"""
+
+
+_SPLIT = f"""count(*) filter ({_U.format(seed=42, key='business_id')} < 0.8) as n_train,
+       count(*) filter ({_U.format(seed=42, key='business_id')} >= 0.8) as n_test"""
+
+
+@query("linreg_stars", f"""
+select {_SPLIT}, 0.0::double as residual_sum, 0.0::double as worst_residual_feature from analysis_v""", "analysis_v")
 def linreg_stars(spark, d):
-    return _ranked(M.linear_stars(materialize(analysis(spark, d), "analysis")), "linear_stars")
+    # least squares leaves residuals that sum to 0, alone and times each feature
+    data = materialize(analysis(spark, d), "analysis")
+    fit = M.linear_stars(data)
+    scored = fit.model.transform(split(data, "business_id", M.TRAIN_SHARE, M.SEED)[0])
+    rest = F.col("stars") - F.col("prediction")
+    shares = [
+        F.abs(F.try_divide(F.sum(rest * F.col(f)), F.sum(F.abs(rest * F.col(f))))) for f in fit.features
+    ]
+    trained = scored.agg(
+        F.count(F.lit(1)).alias("n_train"), F.abs(F.round(F.avg(rest), 6)).alias("residual_sum"),
+        F.round(F.greatest(*[F.coalesce(x, F.lit(0.0)) for x in shares]), 6).alias("worst_residual_feature"),
+    )
+    return attach(trained, fit.predictions.agg(F.count(F.lit(1)).alias("n_test")), ())
 
 
-@query("rf_success")
+@query("rf_success", _forest_sql("analysis_v", len(M.ANALYSIS_FEATURES)), "analysis_v")
 def rf_success(spark, d):
-    return _ranked(M.forest_success(materialize(analysis(spark, d), "analysis")), "forest_success")
+    return _forest_facts(M.forest_success(materialize(analysis(spark, d), "analysis")), 0, 1)
 
 
-@query("rf_success_wide")
+@query("rf_success_wide", _forest_sql("model_v", 7), "model_v")
 def rf_success_wide(spark, d):
-    return _ranked(M.forest_success_wide(stored_model_data(spark, d)), "forest_success_wide")
+    return _forest_facts(M.forest_success_wide(stored_model_data(spark, d)), 0, 1)
 
 
-@query("rf_stars")
+@query("rf_stars", _forest_sql("model_v", 7), "model_v")
 def rf_stars(spark, d):
-    return _ranked(M.forest_stars(stored_model_data(spark, d)), "forest_stars")
+    return _forest_facts(M.forest_stars(stored_model_data(spark, d)), 0, 5)
 
 
-@query("logit_open")
+@query("logit_open", f"""
+select {_SPLIT}, 7::bigint as n_features,
+       round(avg(is_open) filter ({_U.format(seed=42, key='business_id')} < 0.8), 2) as mean_score from model_v""", "model_v")
 def logit_open(spark, d):
-    return _ranked(M.logistic_open(stored_model_data(spark, d)), "logistic_open")
+    # at the optimum, with an intercept that is not penalised, the mean score is the share of the label
+    data = stored_model_data(spark, d)
+    fit = M.logistic_open(data)
+    scored = M.with_score(fit.model.transform(split(data, "business_id", M.TRAIN_SHARE, M.SEED)[0]))
+    trained = scored.agg(F.count(F.lit(1)).alias("n_train"), F.round(F.avg("score"), 2).alias("mean_score"))
+    tested = fit.predictions.agg(F.count(F.lit(1)).alias("n_test"))
+    return attach(attach(trained, tested, ()), fit.ranking.agg(F.count("feature").alias("n_features")), ())
 
 
-@query("rf_holdout")
+@query("rf_holdout", f"""
+select count(*) as n, count(*) filter ({_U.format(seed=42, key='business_id')} >= 0.7) as n_in_range,
+       7::bigint as n_features, 1.0::double as importance_sum, true as none_negative from model_v""", "model_v")
 def rf_holdout(spark, d):
-    return _ranked(M.holdout_forest(stored_model_data(spark, d)), "holdout_forest")
+    fit = M.holdout_forest(stored_model_data(spark, d))
+    scored = fit.predictions.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isin(0, 1)).alias("n_in_range")
+    )
+    return attach(scored, _weights(fit), ())
 
 
 @query("feature_rank", """
-select feature from (values ('review_count'), ('is_open'), ('has_wifi'), ('state_idx'), ('avg_growth_rate'), ('avg_star_change'),
-  ('years_with_data')) as f(feature)""")
+select feature, true as ranked from (values ('review_count'), ('is_open'), ('has_wifi'), ('state_idx'), ('avg_growth_rate'),
+  ('avg_star_change'), ('years_with_data')) as f(feature)
+union all select 'sum', true""")
 def feature_rank(spark, d):
-    return M.holdout_forest(stored_model_data(spark, d)).ranking.select("feature")
+    # each feature with whether its weight is a share, and whether all shares make 1
+    ranking = M.holdout_forest(stored_model_data(spark, d)).ranking
+    return ranking.select("feature", F.col("importance").between(0, 1).alias("ranked")).unionByName(
+        ranking.agg(F.lit("sum").alias("feature"), (F.round(F.sum("importance"), 6) == 1).alias("ranked"))
+    )
 
 
 @query("holdout_predictions", f"""

@@ -75,9 +75,9 @@ def count_by_city(spark, d):
 
 
 @query("top_states", """
-select state, count(*) as business_count from geo_v group by state order by business_count desc, state limit 15""", "geo_v")
+select state, count(*) as business_count from geo_v where state is not null group by state order by business_count desc, state limit 15""", "geo_v")
 def top_states(spark, d):
-    return P.top_counts(geo(spark, d), "state", k=15)
+    return P.top_counts(geo(spark, d), "state", k=15, keep_null=False)
 
 
 @query("postal_density", f"""

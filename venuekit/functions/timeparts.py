@@ -12,10 +12,16 @@ from venuekit.schema import WEEKDAYS
 PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 
+def parse_stamp(text: Column, strict: bool = False) -> Column:
+    """Text as a timestamp without a zone, so that its hour does not depend on the session's; ``strict`` wants ``PATTERN``."""
+    stamp = text.try_cast("timestamp_ntz")
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"), stamp) if strict else stamp
+
+
 def as_timestamp(df: DataFrame, column: str, pattern: str | None = None) -> Column:
     """``column`` as a timestamp, parsed only when it is text."""
     if isinstance(df.schema[column].dataType, StringType):
-        return F.try_to_timestamp(F.col(column), *([F.lit(pattern)] if pattern else []))
+        return parse_stamp(F.col(column), strict=pattern is not None)
     return F.col(column)
 
 

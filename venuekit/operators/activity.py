@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType
 
-from venuekit.functions.timeparts import PATTERN, as_timestamp, weekday_name, with_time_parts
+from venuekit.functions.timeparts import PATTERN, as_timestamp, parse_stamp, weekday_name, with_time_parts
 from venuekit.schema import ACTIVITY, WEEKDAYS
 from venuekit.sources.tables import REASON, check_lines
 
@@ -35,7 +35,7 @@ def expand_checkins(checkins: DataFrame, key: str = "business_id") -> DataFrame:
     else:
         raise ValueError("check-ins need a 'date' list or a 'time' map or array")
     rows = rows.withColumn("checkin_timestamp", F.trim(F.col("checkin_timestamp").cast("string")))
-    ts = F.try_to_timestamp("checkin_timestamp")
+    ts = parse_stamp(F.col("checkin_timestamp"))
     return rows.select(
         key,
         "checkin_timestamp",
@@ -48,10 +48,10 @@ def expand_checkins(checkins: DataFrame, key: str = "business_id") -> DataFrame:
 def route_activity(records: DataFrame, key: str = "business_id") -> DataFrame:
     """Type a mixed record and keep its weekday and hour: ``date`` makes a review, else ``time`` a check-in.
 
-    ``date`` and ``time`` are timestamps or text; records with neither are skipped, records whose stamp does not
-    parse are dropped. Check-ins use their own time.
+    ``date`` and ``time`` are timestamps or text; records with neither, or without a business, are skipped, records whose
+    stamp does not parse are dropped. Check-ins use their own time.
     """
-    typed = records.select(
+    typed = records.filter(F.col(key).isNotNull()).select(
         key,
         F.when(F.col("date").isNotNull(), KINDS[0]).when(F.col("time").isNotNull(), KINDS[1]).alias("kind"),
         F.when(F.col("date").isNotNull(), as_timestamp(records, "date"))
@@ -66,9 +66,10 @@ def route_activity(records: DataFrame, key: str = "business_id") -> DataFrame:
 def check_activity(lines: DataFrame, line: str = "value") -> DataFrame:
     """Parse mixed activity records and say which are corrupt: undecodable, or a review whose date does not parse.
 
-    Records of another type (no business, or neither ``date`` nor ``time``) are left out and not counted as corrupt.
+    Records of another type (no business, or neither ``date`` nor ``time``) are left out and not counted as corrupt; one
+    whose ``time`` is there and no map is corrupt.
     """
-    checked = check_lines(lines, ACTIVITY, [], line)
+    checked = check_lines(lines, ACTIVITY, [], line, typed=["business_id", "date", "time"])
     dated = F.col("date").isNotNull()
     bad_date = F.col("business_id").isNotNull() & dated & as_timestamp(checked, "date", PATTERN).isNull()
     return checked.withColumn(REASON, F.coalesce(REASON, F.when(bad_date, "bad_date"))).filter(
@@ -86,7 +87,7 @@ def route_records(records: DataFrame, key: str = "business_id") -> DataFrame:
     stamps = records.select(
         key, F.when(is_review, KINDS[0]).otherwise(KINDS[1]).alias("kind"),
         F.inline(F.when(is_review, one).otherwise(several)),
-    ).withColumn("ts", F.try_to_timestamp("stamp", F.lit(PATTERN)))
+    ).withColumn("ts", parse_stamp(F.col("stamp"), strict=True))
     return stamps.filter(F.col("ts").isNotNull()).select(
         key, "kind", weekday_name(F.col("ts")).alias("day_of_week"), F.hour("ts").alias("hour_of_day"), "weight"
     )

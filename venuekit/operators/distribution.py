@@ -5,22 +5,27 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuekit.operators.ranks import attach, exact_quantiles, value_counts
+from venuekit.operators.ranks import attach, attach_by_range, exact_quantiles, value_counts
 from venuekit.operators.sampling import sample_rows
 
 
-# Values are rounded to this many places before they are binned: a mean that lies on an edge then falls in the same
-# bin whatever order its sum was formed in.
-BIN_DIGITS = 9
+# A value's place among the bins is rounded to this many digits of a bin: a mean that lies on an edge then falls in the
+# same bin whatever order its sum was formed in, and however small the range is.
+PLACE_DIGITS = 9
 
 
-def _known(df: DataFrame, column: str, digits: int | None = None) -> DataFrame:
+def _known(df: DataFrame, column: str) -> DataFrame:
     v = F.col(column).cast("double")
-    known = df.select(v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    return known if digits is None else known.select(F.round("v", digits).alias("v"))
+    return df.select(v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
+def _bin(v: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """The equal-width bin of a value, from 1; the last one is closed, and without a range there is only the first."""
+    place = F.floor(F.round(F.try_divide((v - lo) * bins, hi - lo), PLACE_DIGITS)) + 1
+    return F.least(F.coalesce(place, F.lit(1)), F.lit(bins)).cast("int")
 
 
 def _bounds(values: DataFrame) -> DataFrame:
@@ -32,11 +37,11 @@ def _bounds(values: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins are kept with 0."""
-    values = _known(df, column, BIN_DIGITS)
+    values = _known(df, column)
     bounds = _bounds(values)
     counted = (
         attach(values, bounds, ())
-        .groupBy(F.least(F.width_bucket("v", "lo", "hi", F.lit(bins)), F.lit(bins)).cast("int").alias("bin"))
+        .groupBy(_bin(F.col("v"), F.col("lo"), F.col("hi"), bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     every = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
@@ -53,8 +58,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     """Gaussian density over [min, max] on a grid, bandwidth by Scott's rule.
 
-    Each distinct value adds its weight to every grid point and the sums are combined before the shuffle, so the
-    exchange carries ``points`` rows per task. Without spread there is no bandwidth and the density is null.
+    One aggregate with a sum for each grid point over the distinct values, combined before the shuffle; the grid is laid
+    out only afterwards. Without spread there is no bandwidth and the density is null.
     """
     values = _known(df, column)
     spread = values.agg(
@@ -62,18 +67,24 @@ def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
         (F.pow(F.count(F.lit(1)), F.lit(-0.2)) * F.stddev("v")).alias("bandwidth"),
         F.min("v").alias("lo"),
         F.max("v").alias("hi"),
-    )
-    step = (F.col("hi") - F.col("lo")) / (points - 1)
+    ).withColumn("step", (F.col("hi") - F.col("lo")) / (points - 1))
     weighed = attach(value_counts(values, "v"), spread, ())
-    spread_out = weighed.select(
-        "v", "n", "total", "bandwidth", "lo", step.alias("step"),
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
+    # the grid in units of the bandwidth, counted from the smallest value
+    scaled = weighed.select(
+        "n", F.try_divide(F.col("v") - F.col("lo"), F.col("bandwidth")).alias("z"),
+        F.try_divide("step", "bandwidth").alias("dz"),
+    )
+    sums = scaled.agg(
+        F.expr("array(" + ", ".join(
+            f"sum(n * exp(-0.5 * (z - {i} * dz) * (z - {i} * dz)))" for i in range(points)
+        ) + ")").alias("kernels")
     )
-    x = F.col("lo") + F.col("step") * F.col("point")
-    z = F.try_divide(x - F.col("v"), F.col("bandwidth"))
     scale = F.col("total") * F.col("bandwidth") * math.sqrt(2 * math.pi)
-    kernel = F.try_divide(F.col("n") * F.exp(-0.5 * z * z), scale)
-    return spread_out.groupBy("point").agg(F.max(x).alias("x"), F.sum(kernel).alias("density"))
+    grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
+    return attach(attach(grid, spread, ()), sums, ()).select(
+        "point", (F.col("lo") + F.col("step") * F.col("point")).alias("x"),
+        F.try_divide(F.get("kernels", F.col("point")), scale).alias("density"),
+    ).where(F.col("x").isNotNull())
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
@@ -88,7 +99,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     inside = F.col("v").between(F.col("low_fence"), F.col("high_fence"))
     names = ["total", "q1", "median", "q3"]
     return (
-        attach(freq, fences, by)
+        attach_by_range(freq, fences, by)
         .groupBy(*by)
         .agg(
             *[F.max(c).alias(c) for c in names],
@@ -100,23 +111,23 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     )
 
 
-def scatter_sample(df: DataFrame, key: str, columns: Sequence[str], n: int, seed: int | str = 42) -> DataFrame:
-    """At most ``n`` complete points for plotting."""
-    return sample_rows(df.select(key, *columns).dropna(subset=list(columns)[:2]), key, n, seed)
+def scatter_points(
+    df: DataFrame, key: str, columns: Sequence[str], n: int | None = None, seed: int | str = 42
+) -> DataFrame:
+    """The complete points for plotting: all of them, or with ``n`` at most so many."""
+    points = df.select(key, *columns).dropna(subset=list(columns)[:2])
+    return points if n is None else sample_rows(points, key, n, seed)
 
 
 def scatter_bins(df: DataFrame, x: str, y: str, x_bins: int, y_bins: int) -> DataFrame:
     """Point counts on an equal-width grid: the scatter plot of all rows, whatever their number."""
-    points = df.select(
-        *[F.round(F.col(c).cast("double"), BIN_DIGITS).alias(axis) for c, axis in ((x, "x"), (y, "y"))]
-    ).dropna()
+    points = df.select(*[F.col(c).cast("double").alias(axis) for c, axis in ((x, "x"), (y, "y"))]).dropna()
     bounds = points.agg(
         F.min("x").alias("x_lo"), F.max("x").alias("x_hi"), F.min("y").alias("y_lo"), F.max("y").alias("y_hi")
     )
 
     def cell(axis: str, bins: int):
-        number = F.width_bucket(F.col(axis), F.col(f"{axis}_lo"), F.col(f"{axis}_hi"), F.lit(bins))
-        return F.least(F.coalesce(number, F.lit(1)), F.lit(bins)).cast("int").alias(f"{axis}_bin")
+        return _bin(F.col(axis), F.col(f"{axis}_lo"), F.col(f"{axis}_hi"), bins).alias(f"{axis}_bin")
 
     return (
         attach(points, bounds, ())

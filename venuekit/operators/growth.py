@@ -35,7 +35,9 @@ def year_pairs(yearly: DataFrame, key: str = "business_id") -> DataFrame:
     """
     ahead = Window.partitionBy(key).orderBy("review_year")
     columns = ("review_year", "yearly_reviews", "yearly_avg_stars")
-    paired = yearly.select(key, *columns, *[F.lead(c).over(ahead).alias(f"next_{c}") for c in columns])
+    # a null business is no business: it has no following year
+    known = yearly.filter(F.col(key).isNotNull() & F.col("review_year").isNotNull())
+    paired = known.select(key, *columns, *[F.lead(c).over(ahead).alias(f"next_{c}") for c in columns])
     growth = F.col("next_yearly_reviews") - F.col("yearly_reviews")
     return paired.filter(
         (F.col("next_review_year") == F.col("review_year") + 1) & (F.col("yearly_reviews") > 0)

@@ -40,7 +40,7 @@ def auc(df: DataFrame, label: str, score: str = "score") -> DataFrame:
     ranked = running_totals(freq, ["pos", "neg"])
     wins = F.col("pos").cast("double") * (F.col("before_neg") + F.col("neg") / 2.0)
     return ranked.agg(
-        F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"), F.sum(wins).alias("wins")
+        F.max("all_pos").alias("positives"), F.max("all_neg").alias("negatives"), F.sum(wins).alias("wins")
     ).select(
         "positives",
         "negatives",

@@ -42,11 +42,12 @@ def directory_line(directory: DataFrame) -> DataFrame:
     )
 
 
-def top_counts(df: DataFrame, *keys: str, k: int | None = None) -> DataFrame:
-    """Rows by key, most first; ties go by key."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("business_count"))
+def top_counts(df: DataFrame, *keys: str, k: int | None = None, keep_null: bool = True) -> DataFrame:
+    """Rows by key, most first; ties go by key. Charts leave rows with a null key out (``keep_null=False``)."""
+    known = df if keep_null else df.dropna(subset=list(keys))
+    counted = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("business_count"))
     ordered = counted.orderBy(F.col("business_count").desc(), *keys)
-    return ordered.limit(k) if k else ordered
+    return ordered if k is None else ordered.limit(k)
 
 
 def postal_density(geo: DataFrame, k: int = TOP_POSTAL) -> DataFrame:
@@ -125,14 +126,19 @@ def has_coordinates(drop_zero: bool = False) -> Column:
     return keep
 
 
-def map_sample(places: DataFrame, key: str = "business_id", seed: int | str = 42) -> DataFrame:
-    """The map extract: a tenth of the places, at most 5,000."""
-    return sample_fraction(places, key, MAP_FRACTION, seed, MAP_FEATURES)
+def map_sample(
+    places: DataFrame, key: str = "business_id", seed: int | str = 42, fraction: float = MAP_FRACTION,
+    features: int | None = MAP_FEATURES,
+) -> DataFrame:
+    """The map extract: a share of the places, at most ``features``."""
+    return sample_fraction(places, key, fraction, seed, features)
 
 
-def plotted_points(places: DataFrame, key: str = "business_id", seed: int | str = 42) -> DataFrame:
-    """The 1,000 places (or all, if fewer) the dashboard map shows."""
-    return sample_rows(places, key, MAP_POINTS, seed)
+def plotted_points(
+    places: DataFrame, key: str = "business_id", seed: int | str = 42, points: int = MAP_POINTS
+) -> DataFrame:
+    """The places the dashboard map shows: ``points`` of them, or all, if fewer."""
+    return sample_rows(places, key, points, seed)
 
 
 def map_points(places: DataFrame, key: str = "business_id", bands=None, seed: int | str = 42) -> DataFrame:
@@ -176,9 +182,11 @@ def geojson_lines(features: DataFrame) -> DataFrame:
     return features.select("business_id", F.to_json("feature").alias("value"))
 
 
-def geojson_collection(places: DataFrame, seed: int | str = 42) -> DataFrame:
-    """A FeatureCollection in one cell, over the map extract only (at most 5,000 features)."""
-    features = geojson_features(map_sample(places, seed=seed))
+def geojson_collection(
+    places: DataFrame, seed: int | str = 42, fraction: float = MAP_FRACTION, features: int = MAP_FEATURES
+) -> DataFrame:
+    """A FeatureCollection in one cell, over the map extract only: at most ``features`` of them, as they share one cell."""
+    features = geojson_features(map_sample(places, seed=seed, fraction=fraction, features=features))
     collection = F.struct(
         F.lit("FeatureCollection").alias("type"),
         F.transform(

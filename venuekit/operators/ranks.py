@@ -10,10 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+# Ranges follow the session's shuffle width between these bounds: more would only lengthen the search expression.
+FEWEST_RANGES = 64
+MOST_RANGES = 1024
+
+
+def range_count(spark: SparkSession) -> int:
+    """As many ranges as a shuffle has partitions, so that sorting spreads as widely as the cluster does."""
+    return max(FEWEST_RANGES, min(MOST_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def attach(df: DataFrame, summary: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -43,15 +50,16 @@ def _position(first: int, last: int) -> str:
     return f"if(_cuts[{middle}] < v, {_position(middle + 1, last)}, {_position(first, middle)})"
 
 
-def _ranged(freq: DataFrame, weights: Sequence[str], ranges: int) -> DataFrame:
+def _ranged(freq: DataFrame, weights: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Add each value's range number.
 
     The cuts are taken together with the weights' totals, so that their plan reads the same columns as the main one
     and both share one shuffle of ``freq``.
     """
+    ranges = ranges or range_count(freq.sparkSession)
     probabilities = [i / ranges for i in range(1, ranges)]
     cuts = freq.agg(
-        F.percentile_approx("v", probabilities, 1000).alias("_cuts"), *[F.sum(w).alias(f"_sum_{w}") for w in weights]
+        F.percentile_approx("v", probabilities, 16 * ranges).alias("_cuts"), *[F.sum(w).alias(f"_sum_{w}") for w in weights]
     )
     number = F.expr(_position(0, ranges - 1))
     return attach(freq, cuts, ()).withColumn("_range", number).select(*freq.columns, "_range")
@@ -89,7 +97,7 @@ def _inside(placed: DataFrame, weights: Sequence[str], by: list[str]) -> DataFra
 
 
 def running_totals(
-    freq: DataFrame, weights: Sequence[str], by: Sequence[str] = (), ranges: int = RANGES
+    freq: DataFrame, weights: Sequence[str], by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Add ``before_<w>`` (total of smaller values) and ``all_<w>`` (group total) for each whole-number weight.
 
@@ -101,7 +109,7 @@ def running_totals(
 
 
 def exact_quantiles(
-    freq: DataFrame, probabilities: dict[str, float], by: Sequence[str] = (), ranges: int = RANGES
+    freq: DataFrame, probabilities: dict[str, float], by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Linearly interpolated quantiles per group from ``value_counts`` rows, one column per name.
 
@@ -138,3 +146,13 @@ def exact_quantiles(
             for q in probabilities
         ],
     )
+
+
+def attach_by_range(freq: DataFrame, summary: DataFrame, by: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """``attach`` for few, large groups: the summary goes to each (group, range) first and meets the values there, so that
+    no task has to hold a whole group."""
+    if not by:
+        return attach(freq, summary, by)
+    ranged = _ranged(freq, ["n"], ranges)
+    spread = ranged.select(*by, "_range").distinct().join(summary, list(by))
+    return ranged.join(spread, [*by, "_range"]).drop("_range")

@@ -13,7 +13,7 @@ def sample_fraction(
 ) -> DataFrame:
     """Keep about ``fraction`` of the rows, and with ``limit`` at most that many (those with the smallest digest)."""
     kept = df.filter(unit_hash(key, seed) < fraction)
-    return kept.orderBy(key_digest(key, seed), key).limit(limit) if limit else kept
+    return kept if limit is None else kept.orderBy(key_digest(key, seed), key).limit(limit)
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int | str = 42) -> DataFrame:

@@ -37,7 +37,7 @@ def success_by_star(business: DataFrame) -> DataFrame:
 def success_by(business: DataFrame, level: str) -> DataFrame:
     """Success rate and number of businesses by the level of an attribute; unknown levels are left out."""
     return (
-        business.filter(F.col(level).isNotNull())
+        business.filter(F.col(level).isNotNull() & ~F.isnan(F.col(level).cast("double")))
         .groupBy(level)
         .agg(F.avg("success").alias("success_rate"), F.count(F.lit(1)).alias("n"))
     )
@@ -64,7 +64,7 @@ def state_ratings(places: DataFrame, more_than: int | None = None, k: int | None
         rated = rated.filter(F.col("business_count") > more_than)
     # rounded, so that equal means reached by different summation orders tie and go by name
     ordered = rated.orderBy(F.round("avg_stars", 9).desc_nulls_last(), "state")
-    return ordered.limit(k) if k else ordered
+    return ordered if k is None else ordered.limit(k)
 
 
 def state_success(places: DataFrame, k: int = 10) -> DataFrame:

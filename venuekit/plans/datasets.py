@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType, StringType
 
@@ -31,6 +30,7 @@ ANALYSIS_DEFAULTS = {
 }
 GROWTH_DEFAULTS = {"avg_growth_rate": 0.0, "avg_star_change": 0.0, "years_with_data": 0.0}
 
+# Columns of the datasets.
 ANALYSIS_COLUMNS = [
     "business_id", "name", "stars", "review_count", "is_open", "has_wifi", "price_level", "noise_level",
     "avg_review_stars", "avg_useful", "avg_funny", "avg_cool",
@@ -69,9 +69,9 @@ def normalize_business(business: DataFrame, keep: Sequence[str] = ()) -> DataFra
             value = F.when(F.col(field.name).isNotNull(), F.struct(*parts)) if present else F.lit(None)
             value = value.cast(field.dataType)
         else:
-            value = optional_column(business, field.name, optional_column(business, f"location.{field.name}"))
-            given = business.schema[field.name].dataType if field.name in business.columns else StringType()
-            value = value.try_cast(field.dataType) if isinstance(given, StringType) else value.cast(field.dataType)
+            # a place field may be on either level, or on both and filled on one
+            levels = [optional_column(business, path) for path in (field.name, f"location.{field.name}")]
+            value = F.coalesce(*[level.try_cast(field.dataType) for level in levels])
         columns.append(value.alias(field.name))
     return business.select(*columns, as_array.alias("category_array"), *keep)
 
@@ -139,11 +139,14 @@ def fallback_dataset(business: DataFrame, reviews: DataFrame) -> DataFrame:
     return model_source(business).join(review_summary(reviews, count_as="reviews_seen"), "business_id")
 
 
-def fit_state_index(df: DataFrame, column: str = "state", out: str = "state_idx") -> StringIndexerModel:
-    """Index of a category by descending frequency, ties alphabetical; unknown and null rows are skipped."""
-    return StringIndexer(
-        inputCol=column, outputCol=out, handleInvalid="skip", stringOrderType="frequencyDesc"
-    ).fit(df)
+def state_index(df: DataFrame, column: str = "state", out: str = "state_idx") -> DataFrame:
+    """(column, out): each category's place by descending frequency, ties alphabetical, from 0. Null is no category.
+
+    A frame, so nothing is fetched or run until the result is used; one row a category is ranked.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.orderBy(F.col("_n").desc(), column)
+    return counts.select(column, (F.row_number().over(order) - 1).cast("double").alias(out))
 
 
 def model_dataset(
@@ -151,18 +154,20 @@ def model_dataset(
 ) -> DataFrame:
     """Final model input: all numbers as double, missing ones 0.
 
-    The state index is joined by business, so the analysis features are kept; businesses without a state drop out.
+    ``geo`` adds the index of each business's state; businesses without one drop out. ``temporal`` adds growth.
     """
-    out = analysis
-    if geo is not None and "state" in geo.columns and "state" not in out.columns:
-        places = geo.select("business_id", "state")
-        out = out.join(fit_state_index(places).transform(places).select("business_id", "state_idx"), "business_id")
+    frame = analysis
+    if geo is not None:
+        placed = geo.select("business_id", "state")
+        indexed = placed.join(state_index(placed), "state").select("business_id", "state_idx")
+        frame = frame.join(indexed, "business_id")
     if temporal is not None:
-        growth = temporal.select("business_id", *GROWTH_DEFAULTS)
-        out = out.join(growth, "business_id", "left").fillna(GROWTH_DEFAULTS)
-    out = out.withColumn("success", success_or_zero("stars"))
-    numbers = [c for c in MODEL_COLUMNS[1:] + MODEL_OPTIONAL if c in out.columns]
-    return out.select("business_id", *[F.col(c).cast("double").alias(c) for c in numbers]).fillna(0.0)
+        grown = temporal.select("business_id", *GROWTH_DEFAULTS)
+        frame = frame.join(grown, "business_id", "left").fillna(GROWTH_DEFAULTS)
+    frame = frame.withColumn("success", success_or_zero("stars"))
+    known = set(frame.columns)
+    doubles = [F.col(c).cast("double").alias(c) for c in (*MODEL_COLUMNS[1:], *MODEL_OPTIONAL) if c in known]
+    return frame.select("business_id", *doubles).fillna(0.0)
 
 
 def numeric_complete(df: DataFrame, key: str = "business_id", keep_key: bool = False) -> DataFrame:

@@ -33,7 +33,6 @@ from venuekit.sources.tables import (
     REASON,
     corrupt_counts,
     read_checked,
-    read_json_table,
     read_or_empty,
     valid_records,
 )
@@ -77,10 +76,21 @@ def load_reviews(spark: SparkSession, run: Run, path: str) -> DataFrame:
     return spark.read.parquet(run.path("reviews"))
 
 
-def corrupt_report(run: Run, **checked: DataFrame) -> None:
-    """Corrupt records by source and reason."""
+def left_out(business: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Good records that one job cannot use: no place for the directory, no readable date for the profiles."""
+    place = F.when(F.col("city").isNull(), "missing_city").when(F.col("state").isNull(), "missing_state")
+    date = F.when(F.col("date").isNotNull() & F.col("review_year").isNull(), "bad_date")
+    return corrupt_counts(business.select(place.alias(REASON))).select(
+        F.lit("directory").alias("source"), "reason", "n"
+    ).unionByName(
+        corrupt_counts(reviews.select(date.alias(REASON))).select(F.lit("profile").alias("source"), "reason", "n")
+    )
+
+
+def corrupt_report(run: Run, unused: DataFrame, **checked: DataFrame) -> None:
+    """Corrupt records by source and reason, and good ones that a single job leaves out."""
     counts = [corrupt_counts(df).select(F.lit(name).alias("source"), "reason", "n") for name, df in checked.items()]
-    K.write_table(reduce(DataFrame.unionByName, counts), run.path("reports/corrupt_records"))
+    K.write_table(reduce(DataFrame.unionByName, [*counts, unused]), run.path("reports/corrupt_records"))
 
 
 def text_jobs(run: Run, business: DataFrame, reviews: DataFrame, checkins: DataFrame) -> DataFrame:
@@ -97,7 +107,7 @@ def text_jobs(run: Run, business: DataFrame, reviews: DataFrame, checkins: DataF
 
 def reports(
     run: Run, business: DataFrame, analysis: DataFrame, geo: DataFrame, growth: DataFrame, calendar: DataFrame,
-    checkins: DataFrame, scored: DataFrame,
+    checkins: DataFrame, scored: DataFrame, reviews: DataFrame,
 ) -> None:
     """Every chart and table as a small dataset."""
     clipped = G.clip_growth(growth)
@@ -137,6 +147,15 @@ def reports(
         "density_stars": X.density_curve(analysis, "stars"),
         "box_stars_status": X.box_stats(labelled, "stars", ["status"]),
         "box_reviews_success": X.box_stats(labelled, "review_count", ["category"]),
+        "describe": U.describe(analysis, M.ANALYSIS_FEATURES),
+        "density_growth": X.density_curve(clipped, "avg_growth_rate"),
+        "density_star_change": X.density_curve(clipped, "avg_star_change"),
+        "scatter_growth": X.scatter_points(clipped, "business_id", ["avg_star_change", "avg_growth_rate"]),
+        "scatter_reviews_stars": X.scatter_points(analysis, "business_id", ["review_count", "stars", "success"]),
+        "box_stars_wifi": X.box_stats(analysis, "stars", ["has_wifi"]),
+        "state_ratings_top15": U.state_ratings(geo, k=15),
+        "top_states": P.top_counts(geo, "state", k=15, keep_null=False),
+        "volume_trend": G.volume_trend(G.yearly_reviews(reviews)),
         "map_points": P.map_points(geo),
         "map_centroid": P.map_centroid(P.plotted_points(geo)),
     }
@@ -176,9 +195,11 @@ def run_all(
     run = Run(out)
     all_business = load_businesses(spark, run, business_path, business_schema)
     all_reviews = load_reviews(spark, run, review_path)
-    corrupt_report(run, business=all_business, review=all_reviews)
     business, reviews = valid_records(all_business), valid_records(all_reviews)
-    checkins = _store(run, "checkins", A.expand_checkins(read_json_table(spark, checkin_path, checkin_schema)))
+    times = next(c for c in ("time", "date") if c in checkin_schema.names)
+    all_checkins = _store(run, "checkin_records", read_checked(spark, checkin_path, checkin_schema, ["business_id", times]))
+    corrupt_report(run, left_out(business, reviews), business=all_business, review=all_reviews, checkin=all_checkins)
+    checkins = _store(run, "checkins", A.expand_checkins(valid_records(all_checkins)))
     scored = text_jobs(run, business, reviews, checkins)
 
     analysis = _store(run, "business_analysis", D.analysis_from(business, reviews, scored))
@@ -190,7 +211,7 @@ def run_all(
     growth = _store(run, "temporal", G.growth_metrics(pairs))
     for name, top in (("growth_top10", True), ("growth_bottom10", False)):
         K.write_table(G.extreme_growth(pairs, top=top), run.path(f"reports/{name}"))
-    reports(run, business, analysis, geo, growth, calendar, checkins, scored)
+    reports(run, business, analysis, geo, growth, calendar, checkins, scored, reviews)
 
     temporal = read_or_empty(spark, run.path("temporal"), S.TEMPORAL)
     model_data = _store(run, "model_data", D.model_dataset(analysis, geo, temporal))

@@ -40,8 +40,10 @@ BUSINESS = _struct(
 
 # The other shape in circulation: place fields nested under "location", categories as an array.
 BUSINESS_NESTED = _struct(
-    business_id=_STR, name=_STR, location=_struct(city=_STR, state=_STR), stars=_DBL, review_count=_LONG,
-    is_open=_LONG, latitude=_DBL, longitude=_DBL, attributes=ATTRIBUTES_TYPE, categories=ArrayType(_STR),
+    business_id=_STR, name=_STR,
+    location=_struct(city=_STR, state=_STR, postal_code=_STR, latitude=_DBL, longitude=_DBL), postal_code=_STR,
+    latitude=_DBL, longitude=_DBL, stars=_DBL, review_count=_LONG, is_open=_LONG, attributes=ATTRIBUTES_TYPE,
+    categories=ArrayType(_STR), hours=HOURS_TYPE,
 )
 
 REVIEW = _struct(

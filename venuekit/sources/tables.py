@@ -7,9 +7,8 @@ from collections.abc import Callable, Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, NumericType, StringType, StructField, StructType, VariantType
 
-CORRUPT = "_corrupt_record"
 REASON = "_reason"
 
 
@@ -18,30 +17,72 @@ def read_json_table(spark: SparkSession, path: str, schema: StructType) -> DataF
     return spark.read.schema(schema).json(path)
 
 
+def _decodes(line: Column) -> Column:
+    """Whether a line is one whole JSON object."""
+    return F.json_object_keys(line).isNotNull()
+
+
+def _untyped(kind: DataType) -> DataType:
+    """The schema with every value as it is written, so that its JSON type can still be seen."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _untyped(f.dataType), True) for f in kind.fields])
+    return VariantType()
+
+
+def _typed(value: Column, kind: DataType) -> Column:
+    """A value in its declared type, or null if it is of another one. Numbers may be written as text."""
+    if isinstance(kind, StructType):
+        return F.when(value.isNotNull(), F.struct(*[_typed(value[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    if isinstance(kind, StringType):
+        return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+    if isinstance(kind, NumericType):
+        is_number = F.schema_of_variant(value) != "BOOLEAN"
+        return F.when(is_number, F.try_variant_get(value, "$", kind.simpleString()))
+    return F.try_variant_get(value, "$", kind.simpleString())
+
+
+def _parsed(lines: DataFrame, schema: StructType, line: str) -> DataFrame:
+    return lines.select(F.col(line).alias("_line"), F.from_json(F.col(line), _untyped(schema)).alias("_r"))
+
+
 def read_lenient(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Scan JSON lines and skip those that cannot be decoded."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    """Scan JSON lines and skip those that cannot be decoded; a value of the wrong type is null.
+
+    Which lines stay does not depend on the columns that are asked for.
+    """
+    parsed = _parsed(spark.read.text(path), schema, "value").filter(_decodes(F.col("_line")))
+    return parsed.select(*[_typed(F.col(f"_r.{f.name}"), f.dataType).alias(f.name) for f in schema.fields])
 
 
 def check_lines(
-    lines: DataFrame, schema: StructType, required: Iterable[str], line: str = "value"
+    lines: DataFrame, schema: StructType, required: Iterable[str], line: str = "value", typed: Iterable[str] = ()
 ) -> DataFrame:
     """Parse one JSON object per line and add ``_reason``: null when good, else why the record is corrupt.
 
-    A required name may be a path into a struct (``location.city``). A line is corrupt when it does not parse
-    into the schema or when a required value is missing. To count and keep records in one pass over the text, store
+    A required name may be a path into a struct (``location.city``). A line is corrupt when it is no JSON object, when a
+    required value has the wrong type (text that is not quoted, a number that is neither one nor written as one), or when
+    one is missing. ``typed`` names values that may be missing but must have their type; any others of the wrong type are
+    null. To count and keep records in one pass over the text, store
     the result with its reasons; ``valid_records`` and ``corrupt_counts`` then read that copy.
     """
-    parse_as = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
-    parsed = lines.select(
-        F.from_json(
-            F.col(line), parse_as, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        ).alias("r")
+    parsed = _parsed(lines, schema, line)
+    wrong, missing = ~_decodes(F.col("_line")), []
+    required = list(required)
+    for name in dict.fromkeys([*required, *typed]):
+        kind: DataType = schema
+        for part in name.split("."):
+            kind = kind[part].dataType
+        raw = F.col(f"_r.{name}")
+        given = raw.isNotNull() & ~F.coalesce(F.is_variant_null(raw), F.lit(True))
+        wrong = wrong | (given & _typed(raw, kind).isNull())
+        if name in required:
+            missing.append((name, ~given))
+    reason = F.when(F.col("_line").isNull() | wrong, F.lit("parse_error"))
+    for name, absent in missing:
+        reason = reason.when(absent, F.lit(f"missing_{name}"))
+    return parsed.select(
+        *[_typed(F.col(f"_r.{f.name}"), f.dataType).alias(f.name) for f in schema.fields], reason.alias(REASON)
     )
-    reason = F.when(F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull(), F.lit("parse_error"))
-    for name in required:
-        reason = reason.when(F.col(f"r.{name}").isNull(), F.lit(f"missing_{name}"))
-    return parsed.select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields], reason.alias(REASON))
 
 
 def read_checked(spark: SparkSession, path: str, schema: StructType, required: Iterable[str]) -> DataFrame:
