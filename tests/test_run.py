@@ -73,3 +73,15 @@ def test_run_accepts_the_nested_shape(spark, sf_dir, inputs, tmp_path):
     )
     assert spark.read.text(run.path("business_processed")).count() == nested.count()
     assert spark.read.parquet(run.path("reports/hours_coverage")).first().with_hours == 0
+
+
+def test_a_stage_alone_reads_what_others_left(spark, sf_dir, inputs, tmp_path):
+    paths = [str(inputs / name) for name in ("business", "reviews", "checkins")]
+    out = str(tmp_path / "out")
+    run = run_all(spark, *paths, out, stages=("load", "text", "datasets"))
+    assert not (tmp_path / "out" / "models").exists() and not (tmp_path / "out" / "reports" / "kpis").exists()
+    # the inputs are not needed any more
+    run_all(spark, "none", "none", "none", out, stages=("models",))
+    assert spark.read.parquet(run.path("model_metrics/longevity_model")).first().auc is not None
+    with pytest.raises(ValueError, match="unknown stages"):
+        run_all(spark, *paths, out, stages=("paint",))

@@ -6,6 +6,7 @@ narrow, year-partitioned table that results.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -33,7 +34,7 @@ from venuekit.sources.tables import (
     REASON,
     corrupt_counts,
     read_checked,
-    read_or_empty,
+    read_or_build,
     valid_records,
 )
 
@@ -187,34 +188,73 @@ def fit_models(run: Run, analysis: DataFrame, model_data: DataFrame) -> dict[str
     return fits
 
 
+STAGES = ("load", "text", "datasets", "reports", "models")
+
+
 def run_all(
     spark: SparkSession, business_path: str, review_path: str, checkin_path: str, out: str,
     business_schema: StructType = S.BUSINESS, checkin_schema: StructType = S.CHECKIN_LIST, with_models: bool = True,
+    stages: Iterable[str] = STAGES,
 ) -> Run:
-    """Everything, from the three input files to ``out``."""
-    run = Run(out)
-    all_business = load_businesses(spark, run, business_path, business_schema)
-    all_reviews = load_reviews(spark, run, review_path)
-    business, reviews = valid_records(all_business), valid_records(all_reviews)
+    """The named stages, from the three input files to ``out``.
+
+    A stage builds and writes its own datasets. What it needs from a stage that is not named is read from ``out``, or
+    built first if it is not there.
+    """
+    run, wanted = Run(out), set(stages) - (set() if with_models else {"models"})
+    if wanted - set(STAGES):
+        raise ValueError(f"unknown stages: {sorted(wanted - set(STAGES))}")
+    ready: dict[str, DataFrame] = {}
+
+    def get(name: str) -> DataFrame:
+        if name not in ready:
+            stage, build = datasets[name]
+            if stage in wanted:
+                ready[name] = build()
+            else:
+                ready[name] = read_or_build(lambda: spark.read.parquet(run.path(name)), build)
+        return ready[name]
+
+    def stored(name: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        return lambda: _store(run, name, build())
+
     times = next(c for c in ("time", "date") if c in checkin_schema.names)
-    all_checkins = _store(run, "checkin_records", read_checked(spark, checkin_path, checkin_schema, ["business_id", times]))
-    corrupt_report(run, left_out(business, reviews), business=all_business, review=all_reviews, checkin=all_checkins)
-    checkins = _store(run, "checkins", A.expand_checkins(valid_records(all_checkins)))
-    scored = text_jobs(run, business, reviews, checkins)
-
-    analysis = _store(run, "business_analysis", D.analysis_from(business, reviews, scored))
-    geo = _store(run, "geographic", D.geo_dataset(business, R.review_averages(reviews)))
-    K.write_geojson(geo, run.path("geojson"), "features")
-    K.write_geojson(P.top_state_places(geo), run.path("geojson_top_states"), "collection")
-    calendar = _store(run, "calendar", A.calendar_counts(reviews))
-    pairs = _store(run, "growth_pairs", G.year_pairs(G.yearly_reviews(reviews)))
-    growth = _store(run, "temporal", G.growth_metrics(pairs))
-    for name, top in (("growth_top10", True), ("growth_bottom10", False)):
-        K.write_table(G.extreme_growth(pairs, top=top), run.path(f"reports/{name}"))
-    reports(run, business, analysis, geo, growth, calendar, checkins, scored, reviews)
-
-    temporal = read_or_empty(spark, run.path("temporal"), S.TEMPORAL)
-    model_data = _store(run, "model_data", D.model_dataset(analysis, geo, temporal))
-    if with_models:
-        fit_models(run, analysis, model_data)
+    business, reviews = (lambda: valid_records(get("businesses"))), (lambda: valid_records(get("reviews")))
+    datasets = {
+        "businesses": ("load", lambda: load_businesses(spark, run, business_path, business_schema)),
+        "reviews": ("load", lambda: load_reviews(spark, run, review_path)),
+        "checkin_records": ("load", stored(
+            "checkin_records", lambda: read_checked(spark, checkin_path, checkin_schema, ["business_id", times]))),
+        "checkins": ("load", stored("checkins", lambda: A.expand_checkins(valid_records(get("checkin_records"))))),
+        "sentiment": ("text", lambda: text_jobs(run, business(), reviews(), get("checkins"))),
+        "business_analysis": ("datasets", stored(
+            "business_analysis", lambda: D.analysis_from(business(), reviews(), get("sentiment")))),
+        "geographic": ("datasets", stored(
+            "geographic", lambda: D.geo_dataset(business(), R.review_averages(reviews())))),
+        "calendar": ("datasets", stored("calendar", lambda: A.calendar_counts(reviews()))),
+        "growth_pairs": ("datasets", stored("growth_pairs", lambda: G.year_pairs(G.yearly_reviews(reviews())))),
+        "temporal": ("datasets", stored("temporal", lambda: G.growth_metrics(get("growth_pairs")))),
+        "model_data": ("datasets", stored("model_data", lambda: D.model_dataset(
+            get("business_analysis"), get("geographic"), get("temporal").select(*S.TEMPORAL.names)))),
+    }
+    for name, (stage, _) in datasets.items():
+        if stage in wanted:
+            get(name)
+    if "load" in wanted:
+        corrupt_report(
+            run, left_out(business(), reviews()), business=get("businesses"), review=get("reviews"),
+            checkin=get("checkin_records"),
+        )
+    if "datasets" in wanted:
+        K.write_geojson(get("geographic"), run.path("geojson"), "features")
+        K.write_geojson(P.top_state_places(get("geographic")), run.path("geojson_top_states"), "collection")
+    if "reports" in wanted:
+        for name, top in (("growth_top10", True), ("growth_bottom10", False)):
+            K.write_table(G.extreme_growth(get("growth_pairs"), top=top), run.path(f"reports/{name}"))
+        reports(
+            run, business(), get("business_analysis"), get("geographic"), get("temporal"), get("calendar"),
+            get("checkins"), get("sentiment"), reviews(),
+        )
+    if "models" in wanted:
+        fit_models(run, get("business_analysis"), get("model_data"))
     return run
