@@ -67,13 +67,7 @@ def op2_topk(spark: SparkSession, d: str) -> DataFrame:
 @query("op3_line_dedup")
 def op3_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its lines, their links to different lines, and the positions of the lines that go."""
-    docs = documents(spark, d)
-    found = lines.line_decisions(docs)
-    empty = docs.where(F.btrim(F.coalesce("text", F.lit("")), F.lit(" \t\r\x0b\f\n")) == "").select(
-        "doc_id", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_links"),
-        F.array().cast("array<int>").alias("dropped"),
-    )
-    return found.select("doc_id", "n_lines", "n_links", "dropped").union(empty)
+    return lines.line_decisions(documents(spark, d)).drop("version")
 
 
 @query("op4_fingerprints")
