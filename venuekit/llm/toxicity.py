@@ -32,7 +32,7 @@ def folder():
     plain = bytes(
         ord(DIGITS.get(chr(i), chr(i))) if chr(i).isalnum() and i < 128 else 32 for i in range(256)
     )
-    between = re.compile(r"(?<=[^\W_])[@$!|](?=[^\W_])")
+    between = re.compile(r"(?<=[^\W_])[@$!|]+(?=[^\W_])")
     apart = re.compile(r"[\W_]+")
     numbers = str.maketrans(DIGITS)
 
@@ -41,7 +41,7 @@ def folder():
         if not text.isascii():
             text = unicodedata.normalize("NFKD", text).translate(glyphs)
         if any(s in text for s in SIGNS):
-            text = between.sub(lambda m: SIGNS[m[0]], text)
+            text = between.sub(lambda m: "".join(SIGNS[s] for s in m[0]), text)
         if text.isascii():
             words = text.encode("ascii").translate(plain).decode("ascii").split()
         else:
