@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuekit.llm.alignment import within
@@ -14,11 +14,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 SAMPLE = 2
-STAR_ROUNDS = 3
+LONG_SAMPLE = 8
+STAR_ROUNDS = 2
 
 
-def _sketcher(shingle: int, sketches: int, sample: int):
-    """Sketches of batches of texts; the other columns come along."""
+def _sketcher(shingle: int, sketches: int, sample: int, long_sample: int):
+    """Short and long samples of batches of texts; the other columns come along."""
 
     def sketch(batches):
         import numpy as np
@@ -60,8 +61,17 @@ def _sketcher(shingle: int, sketches: int, sample: int):
                 out[order] += nth.astype(np.uint64) * mixer[0]
             return len(ids), out
 
+        def mixed(chosen, seed):
+            """A number for each row of hashes, in their order."""
+            for j in range(chosen.shape[1]):
+                seed = (seed ^ chosen[:, j]) * base
+                seed ^= seed >> half
+            return seed
+
         def minima(out):
-            take = min(sample, len(out))
+            """The smallest hashes of each function in text order, as numbers: of ``sample`` and of ``long_sample`` of them."""
+            short, long = [], []
+            take = min(long_sample, len(out))
             chunk = max(1, (1 << 18) // len(out))
             for i in range(0, sketches, chunk):
                 values = out[None, :] * factor[i : i + chunk]
@@ -70,20 +80,19 @@ def _sketcher(shingle: int, sketches: int, sample: int):
                 if take < len(out):
                     at = np.argpartition(values, take - 1, axis=1)[:, :take]
                 else:
-                    at = np.broadcast_to(np.arange(take), (len(values), take))
-                chosen = out[np.sort(at, axis=1)]
-                mixed = mixer[i : i + chunk].copy()
-                for j in range(take):
-                    mixed = (mixed ^ chosen[:, j]) * base
-                    mixed ^= mixed >> half
-                yield mixed
+                    at = np.repeat(np.arange(take)[None, :], len(values), axis=0)
+                seed = mixer[i : i + chunk]
+                long.append(mixed(out[np.sort(at, axis=1)], seed))
+                rank = np.argsort(np.take_along_axis(values, at, axis=1), axis=1)[:, :sample]
+                short.append(mixed(out[np.sort(np.take_along_axis(at, rank, axis=1), axis=1)], seed))
+            return np.concatenate([*short, *long]).view(np.int64)
 
         for rows in batches:
             counts, found = [], []
             for text in rows.text:
                 n, out = grams(text)
                 counts.append(n)
-                found.append(np.concatenate(list(minima(out))).view(np.int64) if n else np.zeros(0, np.int64))
+                found.append(minima(out) if n else np.zeros(0, np.int64))
             yield rows[["doc_id", "own", "t1", "t2"]].assign(n_words=counts, sketch=found)
 
     return sketch
@@ -111,24 +120,29 @@ def _aligned(similarity: float):
 
 def near_classes(
     docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, sketches: int = SKETCHES, sample: int = SAMPLE,
+    long_sample: int = LONG_SAMPLE,
 ) -> DataFrame:
     """(doc_id, class_id, class_size): the class of every document, named by its smallest doc_id, and its number of rows.
 
     Two texts are near if at most a share 1 - ``similarity`` of the words of the longer one must be inserted, deleted or
-    replaced to get the other. Candidates share one of ``sketches`` samples; a sample holds the ``sample`` smallest hashed
-    ``shingle``-word shingles, each labelled by its occurrence number, in text order. Two texts that share a part J of their
-    labelled shingles, in the same order, share a sample with a chance of about J^sample, so 0.5 is found with a chance
-    of 0.9999 and 0.3 with one of 0.95. Every candidate is verified by banded alignment of the whole texts; classes are the
-    connected components of the links.
+    replaced to get the other. Every candidate is verified by banded alignment of the whole texts, and classes are the
+    connected components of the links. Each of ``sketches`` functions hashes the ``shingle``-word shingles, each labelled by
+    its occurrence number, and samples the smallest ``sample`` and ``long_sample`` of them, in text order. Two texts that
+    share a part J of their labelled shingles, in the same order, share a sample of s with a chance of about J^s.
+
+    Texts with an equal short sample share a bucket. Members of a bucket first meet its smallest document; those that
+    stay apart from it meet the smallest that remains. Then all pairs meet that still are in different classes and have
+    an equal long sample, however many they are: they cannot be looked for among short samples, as a passage that
+    many documents share would make all of them pairs. So two texts that are near to each other alone are found with a chance of
+    0.9999 at J = 0.5 and 0.95 at 0.3; two in a crowd that shares a long passage, if neither leads a bucket of both,
+    with a chance of 0.997 at J = 0.8 and 0.85 at 0.7.
 
     Equal texts, and rows with the same doc_id, are in one class without alignment; of several texts under one doc_id the
     one in the sketch table first stands for them. A null text is taken as empty; texts without words are near their
     equals only. A null doc_id stands for a document of its own that is named by a hash of its text. No rows: no rows.
 
-    Scale: equal texts become one before samples are dealt. In a sample's bucket, members first meet only its smallest
-    document, so a group of n near copies costs n candidates and not n^2; those that stay apart from it meet the smallest
-    that remains, and after ``STAR_ROUNDS`` rounds all pairs that are still in different classes meet. Only texts that
-    share a bucket are shuffled. There is no cap on buckets, candidates or partners.
+    Scale: equal texts become one before samples are dealt. A group of n near copies costs n candidates and not n^2.
+    Pairs of very different length are passed over before texts are fetched. There is no cap on buckets or partners.
     """
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -139,7 +153,7 @@ def near_classes(
     kind = dict(docs.dtypes)["doc_id"]
     sketched = materialize(
         whole.mapInPandas(
-            _sketcher(shingle, sketches, sample),
+            _sketcher(shingle, sketches, sample, long_sample),
             f"doc_id {kind}, own bigint, t1 bigint, t2 bigint, n_words bigint, sketch array<bigint>",
         ),
         "sketches",
@@ -150,33 +164,47 @@ def near_classes(
     same = members.join(lowest, "own").where("rep > low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
 
     reps = members.where(F.col("own") == F.col("rep")).select("own", "t1", "t2").dropDuplicates(["own"])
+    reps = materialize(reps, "reps")
+    samples = F.arrays_zip(F.slice("sketch", 1, sketches).alias("short"), F.slice("sketch", sketches + 1, sketches).alias("long"))
     dealt = (
         sketched.where("n_words > 0").select("own", "t1", "t2", "sketch").join(reps, ["own", "t1", "t2"])
         .dropDuplicates(["own"])
-        .select(F.col("own").alias("id"), "t1", "t2", F.posexplode("sketch").alias("nth", "value"))
-        .select("id", "t1", "t2", F.xxhash64("nth", "value").alias("bucket"))
+        .select(F.col("own").alias("id"), F.posexplode(samples).alias("nth", "x"))
+        .select("id", F.xxhash64("nth", "x.short").alias("bucket"), F.xxhash64("nth", "x.long").alias("fine"))
     )
     shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     crowd = materialize(dealt.join(shared, "bucket"), "buckets")
-    wanted = crowd.select(F.col("id").alias("own"), "t1", "t2").distinct()
+    present = crowd.select(F.col("id").alias("own")).distinct()
+    wanted = reps.join(present, "own")
     texts = materialize(
         whole.select("own", "t1", "t2", "text").join(wanted, ["own", "t1", "t2"]).dropDuplicates(["own"]).select(
             F.col("own").alias("id"), "text"
         ),
         "texts",
     )
+    lengths = materialize(
+        sketched.join(wanted, ["own", "t1", "t2"]).groupBy(F.col("own").alias("id")).agg(F.max("n_words").alias("n")), "lengths"
+    )
     crowd_ids = crowd.select("bucket", "id")
 
+    def similar_length() -> Column:
+        """Whether the lengths of a pair differ by no more words than may be inserted."""
+        return F.abs(F.col("n_a") - F.col("n_b")) <= (1 - similarity) * F.greatest("n_a", "n_b") + 1e-9
+
+    def plausible(pairs: DataFrame) -> DataFrame:
+        a, b = (lengths.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+        return pairs.join(a, "a").join(b, "b").where(similar_length()).select("a", "b")
+
     def verified(pairs: DataFrame) -> DataFrame:
         a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
         b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
         # a fixed width: the work is in the alignment, which a merge of small partitions would put into few tasks
-        joined = pairs.join(a, "a").repartition(width, "b").join(b, "b").select("a", "b", "text_a", "text_b")
+        joined = plausible(pairs).join(a, "a").repartition(width, "b").join(b, "b").select("a", "b", "text_a", "text_b")
         return materialize(joined.mapInPandas(_aligned(similarity), "a bigint, b bigint"), "links")
 
-    stored = [sketched, members, crowd, texts]
+    stored = [sketched, members, reps, crowd, texts, lengths]
     links, tried, apart = same, None, crowd_ids
-    for _ in range(STAR_ROUNDS):
+    for round_ in range(STAR_ROUNDS):
         leaders = apart.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
         star = apart.join(leaders.select("bucket", "a"), "bucket").where(F.col("id") != F.col("a"))
         pairs = star.select("a", F.col("id").alias("b")).distinct()
@@ -186,26 +214,30 @@ def near_classes(
         tried = pairs if tried is None else tried.union(pairs)
         near = verified(pairs)
         links = links.union(near)
-        labels = components(links)
-        led = star.select("bucket", "id", "a")
-        left = _labelled(_labelled(led, labels, "id", "own_label"), labels, "a", "lead_label")
-        apart = materialize(left.where(F.col("own_label") != F.col("lead_label")).select("bucket", "id"), "apart")
-        stored += [pairs, near, labels, apart]
-    placed = _labelled(crowd_ids, labels, "id", "label")
-    mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_ = materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
-    left, right = open_.select("bucket", F.col("id").alias("a"), F.col("label").alias("la")), open_.select(
-        "bucket", F.col("id").alias("b"), F.col("label").alias("lb")
+        stored += [pairs, near]
+        if round_ + 1 < STAR_ROUNDS:  # those that their leader takes in are done with this bucket
+            led = star.select("bucket", "a", F.col("id").alias("b")).join(links, ["a", "b"], "left_anti")
+            apart = materialize(led.select("bucket", F.col("b").alias("id")), "apart")
+            stored.append(apart)
+    labels = components(links)
+    placed = _labelled(crowd.select("fine", "id"), labels, "id", "label")
+    mixed = placed.groupBy("fine").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    open_ = materialize(placed.join(mixed.select("fine"), "fine").join(lengths, "id"), "open")
+    left, right = (
+        open_.select("fine", F.col("id").alias(x), F.col("label").alias(f"l{x}"), F.col("n").alias(f"n_{x}")) for x in "ab"
     )
-    rest = left.join(right, "bucket").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")))
+    rest = left.join(right, "fine").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & similar_length())
     rest = rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     final = verified(rest)
-    labels = components(links.union(final))
-    classed = _labelled(members.select("doc_id", "own", "rep"), labels, "rep", "class_id")
+    # the last links join whole classes: few links between their names
+    ends = _labelled(_labelled(final, labels, "a", "la"), labels, "b", "lb")
+    joined = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
+    named = _labelled(members.select("doc_id", "own", "rep"), labels, "rep", "name")
+    classed = _labelled(named, joined, "name", "class_id")
     # the smallest doc_id of a class of equal texts names it, so a label is the smallest doc_id of all its members
     sizes = classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
     result = materialize(classed.select("doc_id", "class_id").join(sizes, "class_id"), "classes")
-    discard(*stored, open_, final, labels)
+    discard(*stored, open_, final, labels, joined)
     return result.select("doc_id", "class_id", "class_size")
 
 
