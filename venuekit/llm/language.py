@@ -39,9 +39,10 @@ class Speller:
         import numpy as np
 
         # what a code point is: 0 nothing, 1 a letter, 2 white space; and the script of a letter
-        every = [chr(i) for i in range(sys.maxunicode + 1)]
-        self.kind = np.fromiter((1 if c.isalpha() else 2 if c.isspace() else 0 for c in every), np.uint8, len(every))
-        self.script = np.full(len(every), len(SCRIPT_NAMES) - 1, dtype=np.uint8)
+        count = sys.maxunicode + 1
+        kinds = (1 if c.isalpha() else 2 if c.isspace() else 0 for c in map(chr, range(count)))
+        self.kind = np.fromiter(kinds, np.uint8, count)
+        self.script = np.full(count, len(SCRIPT_NAMES) - 1, dtype=np.uint8)
         for name, low, high in SCRIPTS:
             self.script[low : high + 1] = SCRIPT_NAMES.index(name)
 
@@ -247,7 +248,7 @@ def _verdict(langs: list, scores, path, first, last) -> tuple:
     return langs[top], used / len(path) / (1 + math.exp(-max(-30.0, min(30.0, margin)))), spans
 
 
-def _predict(model: dict, switch: float):
+def _predict(model: dict, switch: float, keep: tuple[str, ...]):
     def predict(batches):
         import numpy as np
 
@@ -280,12 +281,12 @@ def _predict(model: dict, switch: float):
             for (i, own, first, last), path in zip(open_, paths, strict=True):
                 found[i] = _verdict(langs, own, path, first, last)
             made = pd.DataFrame(found, columns=["lang_pred", "score", "spans"], index=rows.index)
-            yield pd.concat([rows.drop(columns="text"), made], axis=1)
+            yield pd.concat([rows[list(keep)], made], axis=1)
 
     return predict
 
 
-def slices(texts: pd.Series, chars: int = 1 << 21):
+def slices(texts: pd.Series, chars: int = 1 << 20):
     """Runs of rows of about ``chars`` characters, so that arrays over a run stay small; a longer text is a run of its own."""
     begin = total = 0
     for i, n in enumerate(texts.str.len()):
@@ -311,8 +312,8 @@ def identify(docs: DataFrame, model: dict, switch: float = SWITCH, keep: tuple[s
     kinds = dict(docs.dtypes)
     columns = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     span = "struct<begin int, end int, lang string>"
-    return docs.select(*keep, "text").mapInPandas(
-        _predict(model, switch), f"{columns}, lang_pred string, score double, spans array<{span}>"
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInPandas(
+        _predict(model, switch, keep), f"{columns}, lang_pred string, score double, spans array<{span}>"
     )
 
 
@@ -329,8 +330,5 @@ def confident_documents(docs: DataFrame, least_score: float = 0.5, sample_docs:
     fold = held_out(F.col("doc_id"), 4, 2)
     model = train(docs.where(~fold).select("text", "lang"), sample_docs)
     columns = ("doc_id", "text", "lang", "source", "n_chars")
-    kept = docs.select(*columns, F.col("text").alias("whole"))
-    found = identify(kept.select("doc_id", "lang", "source", "n_chars", "whole", "text"), model,
-                     keep=("doc_id", "lang", "source", "n_chars", "whole"))
-    good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
-    return good.select("doc_id", F.col("whole").alias("text"), "lang", "source", "n_chars")
+    found = identify(docs, model, keep=columns)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(*columns)
