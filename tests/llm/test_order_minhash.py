@@ -51,6 +51,63 @@ def test_classes_equal_brute_force_links(spark, docs_of):
     assert got == label
 
 
+def crowd():
+    """Texts that share a passage of 150 words and have 50 of their own; pairs of twins share 12 of these, no run of five."""
+    passage = [f"p{i}" for i in range(150)]
+    own = lambda who: [f"o{who}_{i}" for i in range(50)]
+    rows = [(i, " ".join(passage + own(i))) for i in range(12)]
+    for i in range(20):
+        one, two = own(f"a{i}"), own(f"b{i}")
+        twin = [x if j % 4 == 2 else y for j, (x, y) in enumerate(zip(one, two, strict=True))]
+        rows += [(100 + i, " ".join(passage + one)), (200 + i, " ".join(passage + twin))]
+    return rows
+
+
+def test_twins_in_a_crowd_that_shares_a_passage(spark, docs_of):
+    want = {i: i for i in range(12)} | {100 + i: 100 + i for i in range(20)} | {200 + i: 100 + i for i in range(20)}
+    for options in ({}, {"block": 4}):
+        got = {r.doc_id: r.class_id for r in M.near_classes(docs_of(crowd()), **options).collect()}
+        assert got == want, options
+
+
+def test_groups_hold_every_pair_of_similar_length(spark):
+    rng = random.Random(4)
+    rows = [(b, i, i, rng.randint(1, 60), b"") for b, n in ((1, 5), (2, 90)) for i in range(n)]
+    members = spark.createDataFrame(rows, "bucket long, id long, label long, n long, bag binary")
+    for similarity in (0.8, 0.5):
+        met, groups = set(), {}
+        for r in M._grouped(members, similarity, 7).collect():
+            groups.setdefault(r.grp, []).append(r)
+        for g in groups.values():
+            assert len(g) < 60
+            met |= {(x.id, y.id) for x in g for y in g if x.id < y.id and (x.side, y.side) in ((2, 2), (0, 1), (1, 0))}
+        size = {i: n for b, i, _, n, _ in rows if b == 2}
+        assert all((x, y) in met for x in size for y in size if x < y and min(size[x], size[y]) >= similarity * max(size[x], size[y]))
+
+
+def test_candidates_pass_over_no_near_pair():
+    rng = random.Random(6)
+    find = M._candidates(0.8)
+    sketch = M._sketcher(5, 4, 2)
+    texts = []
+    for _ in range(30):
+        base = [f"w{rng.randint(0, 300)}" for _ in range(rng.randint(20, 60))]
+        for _ in range(4):
+            text = list(base)
+            for _ in range(rng.randint(0, len(base) // 4)):
+                text[rng.randrange(len(text))] = f"w{rng.randint(0, 300)}"
+            texts.append(" ".join(text))
+    frame = M.pd.DataFrame({"doc_id": range(len(texts)), "own": range(len(texts)), "t1": 0, "t2": 0, "text": texts})
+    made = next(sketch([frame]))
+    rows = M.pd.DataFrame({"grp": 1, "side": 2, "id": made.own, "label": made.own, "n": made.n_words, "bag": made.bag})
+    # the group is cut by batches
+    got = {(r.a, r.b) for part in find([rows[:50], rows[50:70], rows[70:]]) for r in part.itertuples()}
+    split = [t.split() for t in texts]
+    near = {(i, j) for i in range(len(split)) for j in range(i + 1, len(split))
+            if plain(split[i], split[j]) <= int(0.2 * max(len(split[i]), len(split[j])) + 1e-9)}
+    assert near and near <= got and len(got) < 2000
+
+
 def test_nulls_empties_and_repeats(spark, docs_of):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "one"), (6, "a b c d e f g h i j"), (6, "entirely other words in this one"),
             (7, "entirely other words in this one"), (7, "entirely other words in this one"), (None, "one"), (None, "nameless")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +16,14 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 SAMPLE = 2
-LONG_SAMPLE = 8
 STAR_ROUNDS = 2
+#: cells of a text's bag of words, and members of a bucket that meet in one go
+CELLS = 256
+BLOCK = 1024
 
 
-def _sketcher(shingle: int, sketches: int, sample: int, long_sample: int):
-    """Short and long samples of batches of texts; the other columns come along."""
+def _sketcher(shingle: int, sketches: int, sample: int):
+    """Samples and word bags of batches of texts; the other columns come along."""
 
     def sketch(batches):
         import numpy as np
@@ -40,11 +44,11 @@ def _sketcher(shingle: int, sketches: int, sample: int, long_sample: int):
         words = Words()
 
         def grams(text: str):
-            """A number for each occurrence of a k-mer, in text order: equal k-mers differ by their count so far."""
-            ids = [words[w] for w in text.split()]
-            if not ids:
-                return len(ids), None
-            ids = np.array(ids, dtype=np.uint64)
+            """The text's word hashes, and a number for each occurrence of a k-mer, in text order: equal k-mers differ by
+            their count so far."""
+            ids = np.array([words[w] for w in text.split()], dtype=np.uint64)
+            if not len(ids):
+                return ids, None
             k = min(shingle, len(ids))
             out = ids[: len(ids) - k + 1].copy()
             for i in range(1, k):
@@ -59,7 +63,12 @@ def _sketcher(shingle: int, sketches: int, sample: int, long_sample: int):
                 place = np.arange(len(out))
                 nth = place - np.maximum.accumulate(np.where(fresh, place, 0))
                 out[order] += nth.astype(np.uint64) * mixer[0]
-            return len(ids), out
+            return ids, out
+
+        def bag(ids):
+            """How many words fall into each cell, 255 at most: never further from another text's bag than the words are."""
+            cells = np.bincount((ids >> np.uint64(32)).astype(np.int64) % CELLS, minlength=CELLS)
+            return np.minimum(cells, 255).astype(np.uint8).tobytes()
 
         def mixed(chosen, seed):
             """A number for each row of hashes, in their order."""
@@ -69,9 +78,9 @@ def _sketcher(shingle: int, sketches: int, sample: int, long_sample: int):
             return seed
 
         def minima(out):
-            """The smallest hashes of each function in text order, as numbers: of ``sample`` and of ``long_sample`` of them."""
-            short, long = [], []
-            take = min(long_sample, len(out))
+            """The smallest ``sample`` hashes of each function in text order, as a number."""
+            short = []
+            take = min(sample, len(out))
             chunk = max(1, (1 << 18) // len(out))
             for i in range(0, sketches, chunk):
                 values = out[None, :] * factor[i : i + chunk]
@@ -81,23 +90,136 @@ def _sketcher(shingle: int, sketches: int, sample: int, long_sample: int):
                     at = np.argpartition(values, take - 1, axis=1)[:, :take]
                 else:
                     at = np.repeat(np.arange(take)[None, :], len(values), axis=0)
-                seed = mixer[i : i + chunk]
-                long.append(mixed(out[np.sort(at, axis=1)], seed))
-                rank = np.argsort(np.take_along_axis(values, at, axis=1), axis=1)[:, :sample]
-                short.append(mixed(out[np.sort(np.take_along_axis(at, rank, axis=1), axis=1)], seed))
-            return np.concatenate([*short, *long]).view(np.int64)
+                short.append(mixed(out[np.sort(at, axis=1)], mixer[i : i + chunk]))
+            return np.concatenate(short).view(np.int64)
 
         for rows in batches:
-            counts, found = [], []
+            counts, found, bags = [], [], []
             for text in rows.text:
-                n, out = grams(text)
-                counts.append(n)
-                found.append(minima(out) if n else np.zeros(0, np.int64))
-            yield rows[["doc_id", "own", "t1", "t2"]].assign(n_words=counts, sketch=found)
+                ids, out = grams(text)
+                counts.append(len(ids))
+                found.append(minima(out) if len(ids) else np.zeros(0, np.int64))
+                bags.append(bag(ids))
+            yield rows[["doc_id", "own", "t1", "t2"]].assign(n_words=counts, sketch=found, bag=bags)
 
     return sketch
 
 
+def _candidates(similarity: float):
+    """Pairs (a, b) of the members of a group that have different labels, similar lengths and similar bags.
+
+    Rows come sorted by group. Those of side 2 meet each other, those of side 0 meet those of side 1.
+    """
+
+    def find(batches):
+        import numpy as np
+
+        def near(x, y, same):
+            """Places in ``x`` and ``y``, which are sorted by length."""
+            for i in range(0, len(x), 64):
+                part = x.iloc[i : i + 64]
+                n = part.n.to_numpy()
+                low = np.searchsorted(y.n.to_numpy(), similarity * n[0] - 1e-6)
+                high = np.searchsorted(y.n.to_numpy(), n[-1] / similarity + 1e-6, "right") if similarity > 0 else len(y)
+                other = y.iloc[max(low, i) if same else low : high]
+                m = other.n.to_numpy()
+                most = np.maximum(n[:, None], m)
+                limit = ((1 - similarity) * most + 1e-9).astype(np.int64)
+                ok = (np.abs(n[:, None] - m) <= limit) & (part.label.to_numpy()[:, None] != other.label.to_numpy())
+                a, b = part.id.to_numpy(), other.id.to_numpy()
+                left, right = np.nonzero(ok)
+                if not len(left):
+                    continue
+                bag_a, bag_b = (np.frombuffer(b"".join(z.bag), np.uint8).reshape(len(z), -1) for z in (part, other))
+                # an insertion or deletion moves a bag by one, a replaced word by two
+                spare = (2 * limit - 2 * most + n[:, None] + m)[left, right]
+                keep = np.zeros(len(left), dtype=bool)
+                for j in range(0, len(left), 8192):
+                    u, v = bag_a[left[j : j + 8192]], bag_b[right[j : j + 8192]]
+                    apart = (np.maximum(u, v) - np.minimum(u, v)).sum(axis=1, dtype=np.uint32)
+                    keep[j : j + 8192] = apart <= spare[j : j + 8192]
+                a, b = a[left[keep]], b[right[keep]]
+                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+        def pairs(group):
+            if group.label.iloc[0] == group.label.iloc[-1] and group.label.nunique() == 1:
+                return
+            group = group.sort_values("n", kind="stable")
+            all_, x, y = (group[group.side == k] for k in (2, 0, 1))
+            if len(all_) > 1:
+                yield from near(all_, all_, True)
+            if len(x) and len(y):
+                yield from near(x, y, False)
+
+        def groups():
+            """Each group whole, though batches cut through them."""
+            held = []
+            for rows in batches:
+                key = rows.grp.to_numpy()
+                cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(rows)]
+                for i, j in zip(cuts, cuts[1:], strict=False):
+                    if held and i == 0 and held[0].grp.iloc[0] != key[0]:
+                        yield pd.concat(held)
+                        held = []
+                    held.append(rows.iloc[i:j])
+                    if j < len(rows):
+                        yield pd.concat(held) if len(held) > 1 else held[0]
+                        held = []
+            if held:
+                yield pd.concat(held)
+
+        made, n = [], 0
+        for group in groups():
+            for part in pairs(group):
+                made.append(part)
+                n += len(part)
+                if n >= 10_000:
+                    yield pd.concat(made)
+                    made, n = [], 0
+        if made:
+            yield pd.concat(made)
+
+    return find
+
+
+def _grouped(members: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(grp, side, id, label, n, bag) from (bucket, id, label, n, bag): every two members of a bucket whose lengths are
+    similar meet in one group.
+
+    A bucket of up to ``block`` members is one group. A larger one is cut into classes of length and these, by a hash, into
+    cells of about ``block`` members; two cells of the same or of neighbouring classes are a group.
+    """
+    # classes a little wider than the lengths may differ: near texts are never two classes apart
+    width = math.log(1 / max(similarity, 0.01) * (1 + 1e-6))
+    members = members.withColumn("c", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
+    counts = members.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("n_c"))
+    hot = (
+        counts.groupBy("bucket")
+        .agg(F.sum("n_c").alias("n_all"), F.collect_list(F.struct("c", F.ceil(F.col("n_c") / block).cast("int"))).alias("cells"))
+        .where(F.col("n_all") > block).select("bucket", F.map_from_entries("cells").alias("cells"))
+    )
+    c, own = F.col("c"), F.col("own_cell")
+    cells_of = lambda k: F.coalesce(F.element_at("cells", k), F.lit(0))
+    none = F.array().cast("array<struct<grp:bigint,side:int>>")
+
+    def with_cells(k, key, side):
+        """A row's groups with every cell of class ``k``."""
+        made = F.transform(F.sequence(F.lit(0), cells_of(k) - 1), lambda i: F.struct(key(i).alias("grp"), side(i).alias("side")))
+        return F.when(cells_of(k) > 0, made).otherwise(none)
+
+    name = lambda c1, i1, c2, i2: F.xxhash64("bucket", c1, i1, c2, i2)
+    within_class = with_cells(
+        c, lambda i: name(c, F.least(own, i), c, F.greatest(own, i)),
+        lambda i: F.when(i == own, 2).when(own < i, 0).otherwise(1),
+    )
+    longer = with_cells(c + 1, lambda i: name(c, own, c + 1, i), lambda i: F.lit(0))
+    shorter = with_cells(c - 1, lambda i: name(c - 1, i, c, own), lambda i: F.lit(1))
+    alone = F.array(F.struct(F.col("bucket").alias("grp"), F.lit(2).alias("side")))
+    placed = members.join(hot, "bucket", "left").withColumn("own_cell", F.pmod(F.xxhash64("id"), F.greatest(cells_of(c), F.lit(1))).cast("int"))
+    met = placed.withColumn("at", F.explode(F.when(F.col("cells").isNull(), alone).otherwise(F.concat(within_class, longer, shorter))))
+    return met.select("at.grp", "at.side", "id", "label", "n", "bag")
+
+
 def _aligned(similarity: float):
     """Keep (a, b) of pairs whose word lists are near by alignment."""
 
@@ -120,29 +242,30 @@ def _aligned(similarity: float):
 
 def near_classes(
     docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, sketches: int = SKETCHES, sample: int = SAMPLE,
-    long_sample: int = LONG_SAMPLE,
+    block: int = BLOCK,
 ) -> DataFrame:
     """(doc_id, class_id, class_size): the class of every document, named by its smallest doc_id, and its number of rows.
 
     Two texts are near if at most a share 1 - ``similarity`` of the words of the longer one must be inserted, deleted or
     replaced to get the other. Every candidate is verified by banded alignment of the whole texts, and classes are the
     connected components of the links. Each of ``sketches`` functions hashes the ``shingle``-word shingles, each labelled by
-    its occurrence number, and samples the smallest ``sample`` and ``long_sample`` of them, in text order. Two texts that
-    share a part J of their labelled shingles, in the same order, share a sample of s with a chance of about J^s.
+    its occurrence number, and samples the smallest ``sample`` of them, in text order. Two texts that share a part J of their
+    labelled shingles, in the same order, share a sample of s with a chance of about J^s.
 
-    Texts with an equal short sample share a bucket. Members of a bucket first meet its smallest document; those that
-    stay apart from it meet the smallest that remains. Then all pairs meet that still are in different classes and have
-    an equal long sample, however many they are: they cannot be looked for among short samples, as a passage that
-    many documents share would make all of them pairs. So two texts that are near to each other alone are found with a chance of
-    0.9999 at J = 0.5 and 0.95 at 0.3; two in a crowd that shares a long passage, if neither leads a bucket of both,
-    with a chance of 0.997 at J = 0.8 and 0.85 at 0.7.
+    Texts with an equal sample share a bucket. Members of a bucket first meet its smallest document; those that stay apart
+    from it meet the smallest that remains. Then all pairs of a bucket meet that still are in different classes, however many
+    they are. Lengths and bags of words in ``CELLS`` cells are compared there, which passes over no pair that is near. So
+    two texts that are near are found with a chance of 0.9999 at J = 0.5 and 0.95 at 0.3, in a crowd that shares a
+    passage too.
 
     Equal texts, and rows with the same doc_id, are in one class without alignment; of several texts under one doc_id the
     one in the sketch table first stands for them. A null text is taken as empty; texts without words are near their
     equals only. A null doc_id stands for a document of its own that is named by a hash of its text. No rows: no rows.
 
     Scale: equal texts become one before samples are dealt. A group of n near copies costs n candidates and not n^2.
-    Pairs of very different length are passed over before texts are fetched. There is no cap on buckets or partners.
+    Pairs of very different length or bags are passed over before texts are fetched. A bucket of more than ``block`` members
+    is compared in cells of that size by as many tasks as it takes. Among n members that stay in different classes, all n^2
+    pairs of similar length have their bags compared. There is no cap on buckets or partners.
     """
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -153,8 +276,8 @@ def near_classes(
     kind = dict(docs.dtypes)["doc_id"]
     sketched = materialize(
         whole.mapInPandas(
-            _sketcher(shingle, sketches, sample, long_sample),
-            f"doc_id {kind}, own bigint, t1 bigint, t2 bigint, n_words bigint, sketch array<bigint>",
+            _sketcher(shingle, sketches, sample),
+            f"doc_id {kind}, own bigint, t1 bigint, t2 bigint, n_words bigint, sketch array<bigint>, bag binary",
         ),
         "sketches",
     )
@@ -165,12 +288,11 @@ def near_classes(
 
     reps = members.where(F.col("own") == F.col("rep")).select("own", "t1", "t2").dropDuplicates(["own"])
     reps = materialize(reps, "reps")
-    samples = F.arrays_zip(F.slice("sketch", 1, sketches).alias("short"), F.slice("sketch", sketches + 1, sketches).alias("long"))
     dealt = (
         sketched.where("n_words > 0").select("own", "t1", "t2", "sketch").join(reps, ["own", "t1", "t2"])
         .dropDuplicates(["own"])
-        .select(F.col("own").alias("id"), F.posexplode(samples).alias("nth", "x"))
-        .select("id", F.xxhash64("nth", "x.short").alias("bucket"), F.xxhash64("nth", "x.long").alias("fine"))
+        .select(F.col("own").alias("id"), F.posexplode("sketch").alias("nth", "x"))
+        .select("id", F.xxhash64("nth", "x").alias("bucket"))
     )
     shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     crowd = materialize(dealt.join(shared, "bucket"), "buckets")
@@ -183,9 +305,10 @@ def near_classes(
         "texts",
     )
     lengths = materialize(
-        sketched.join(wanted, ["own", "t1", "t2"]).groupBy(F.col("own").alias("id")).agg(F.max("n_words").alias("n")), "lengths"
+        sketched.join(wanted, ["own", "t1", "t2"]).dropDuplicates(["own"])
+        .select(F.col("own").alias("id"), F.col("n_words").alias("n"), "bag"),
+        "lengths",
     )
-    crowd_ids = crowd.select("bucket", "id")
 
     def similar_length() -> Column:
         """Whether the lengths of a pair differ by no more words than may be inserted."""
@@ -203,7 +326,7 @@ def near_classes(
         return materialize(joined.mapInPandas(_aligned(similarity), "a bigint, b bigint"), "links")
 
     stored = [sketched, members, reps, crowd, texts, lengths]
-    links, tried, apart = same, None, crowd_ids
+    links, tried, apart = same, None, crowd
     for round_ in range(STAR_ROUNDS):
         leaders = apart.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
         star = apart.join(leaders.select("bucket", "a"), "bucket").where(F.col("id") != F.col("a"))
@@ -220,14 +343,12 @@ def near_classes(
             apart = materialize(led.select("bucket", F.col("b").alias("id")), "apart")
             stored.append(apart)
     labels = components(links)
-    placed = _labelled(crowd.select("fine", "id"), labels, "id", "label")
-    mixed = placed.groupBy("fine").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_ = materialize(placed.join(mixed.select("fine"), "fine").join(lengths, "id"), "open")
-    left, right = (
-        open_.select("fine", F.col("id").alias(x), F.col("label").alias(f"l{x}"), F.col("n").alias(f"n_{x}")) for x in "ab"
-    )
-    rest = left.join(right, "fine").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & similar_length())
-    rest = rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    placed = _labelled(crowd, labels, "id", "label")
+    mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    open_ = materialize(placed.join(mixed.select("bucket"), "bucket").join(lengths, "id"), "open")
+    groups = _grouped(open_, similarity, block).repartition(width, "grp").sortWithinPartitions("grp")
+    rest = groups.mapInPandas(_candidates(similarity), "a bigint, b bigint")
+    rest = materialize(rest.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     final = verified(rest)
     # the last links join whole classes: few links between their names
     ends = _labelled(_labelled(final, labels, "a", "la"), labels, "b", "lb")
@@ -237,7 +358,7 @@ def near_classes(
     # the smallest doc_id of a class of equal texts names it, so a label is the smallest doc_id of all its members
     sizes = classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
     result = materialize(classed.select("doc_id", "class_id").join(sizes, "class_id"), "classes")
-    discard(*stored, open_, final, labels, joined)
+    discard(*stored, open_, rest, final, labels, joined)
     return result.select("doc_id", "class_id", "class_size")
 
 
