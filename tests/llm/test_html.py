@@ -52,3 +52,16 @@ def test_copies_repeats_and_no_pages(spark):
     got = H.main_text(pages_of(spark, rows)).collect()
     assert len(got) == 12 and {r.text for r in got} == {"the whole story in one place"}
     assert H.main_text(pages_of(spark, rows).limit(0)).count() == 0
+
+
+def test_rotating_notices_go_whatever_the_size_of_the_host(spark):
+    page = "<body><div>notice number {}</div><div><p>story {} of its own</p></div></body>"
+    rows = [(i, f"http://a.b/{i}", page.format(i % 15, i)) for i in range(60)]
+    got = {r.page_id: r.text for r in H.main_text(pages_of(spark, rows)).collect()}
+    assert got == {i: f"story {i} of its own" for i in range(60)}
+
+
+def test_copies_under_other_urls_count_once(spark):
+    page = "<body><script>track({})</script><div>short note</div><div><p>the whole story in one place</p></div></body>"
+    rows = [(i, f"http://a.b/{i}", page.format(i)) for i in range(8)]
+    assert {r.text for r in H.main_text(pages_of(spark, rows)).collect()} == {"short note the whole story in one place"}

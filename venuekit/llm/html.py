@@ -222,17 +222,17 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def main_text(pages: DataFrame, least_pages: int = 4, least_share: float = 0.2) -> DataFrame:
+def main_text(pages: DataFrame, least_pages: int = 4) -> DataFrame:
     """(page_id, url, text): the main text of every page; null html: empty.
 
     Pages are parsed once into blocks of text and hashes of element subtrees. Subtrees are counted by host; one that is on
-    ``least_pages`` pages or more and on a share ``least_share`` of the host's pages is template, and blocks inside it go.
+    ``least_pages`` or more different pages of its host is template, and blocks inside it go, however many pages the host
+    has. Pages are different if the text of their main parts is: copies of a page under other urls count as one.
     Character references are decoded; white space in a block becomes one space; blocks are joined by one. Pages without a
-    host in their url lose no subtrees. Rows that repeat are treated alike and count as so many pages; null ids and urls are
+    host in their url lose no subtrees. Rows that repeat are treated alike and count as one page; null ids and urls are
     kept.
 
-    Scale: a hot host's subtrees are summed before the shuffle. A page has few hashes, and at most 1 / ``least_share`` times as
-    many as a page has can be template of a host. Only pages that hold candidates in their main part are joined, by their
+    Scale: a hot host's subtrees are dealt by host, subtree and page and summed before they meet by host and subtree. Only pages that hold candidates in their main part are joined, by their
     own hash and not by host; their text moves once.
     """
     kinds = dict(pages.dtypes)
@@ -248,11 +248,11 @@ def main_text(pages: DataFrame, least_pages: int = 4, least_share: float = 0.2)
         "pages",
     )
     placed = parsed.where(F.col("host").isNotNull())
-    sizes = placed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = placed.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(
-        F.count(F.lit(1)).alias("n")
-    ).where(F.col("n") >= least_pages)
-    template = counts.join(sizes, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "subtree")
+    content = F.xxhash64(F.transform("blocks", lambda b: b["text"]))
+    counts = placed.select("host", F.explode("subtrees").alias("subtree"), content.alias("content")).groupBy("host", "subtree").agg(
+        F.countDistinct("content").alias("n")
+    )
+    template = counts.where(F.col("n") >= least_pages).select("host", "subtree")
 
     own = F.flatten(F.transform("blocks", lambda b: b["around"]))
     parsed = parsed.withColumn("own", F.array_distinct(own))
