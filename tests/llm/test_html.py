@@ -65,3 +65,18 @@ def test_copies_under_other_urls_count_once(spark):
     page = "<body><script>track({})</script><div>short note</div><div><p>the whole story in one place</p></div></body>"
     rows = [(i, f"http://a.b/{i}", page.format(i)) for i in range(8)]
     assert {r.text for r in H.main_text(pages_of(spark, rows)).collect()} == {"short note the whole story in one place"}
+
+
+def test_template_goes_from_short_pages_too(spark):
+    legal = "<div>All rights belong to their owners and to nobody else on this earth</div>"
+    long = "<div><p>story {} " + "word " * 40 + "</p></div>"
+    rows = [(i, f"http://a.b/{i}", f"<body>{long.format(i)}{legal}</body>") for i in range(6)]
+    rows += [(10, "http://a.b/s", f"<body><div>brief</div>{legal}</body>"), (11, "http://a.b/a", f"<article><p>tiny</p>{legal}</article>")]
+    got = {r.page_id: r.text for r in H.main_text(pages_of(spark, rows)).collect()}
+    assert got[10] == "brief" and got[11] == "tiny" and all("rights" not in t for t in got.values())
+
+
+def test_blocks_of_short_articles_are_counted(spark):
+    page = "<article><p>n {}</p><div>Subscribe to our letter and never miss a story of ours again</div></article>"
+    rows = [(i, f"http://a.b/{i}", page.format(i)) for i in range(5)]
+    assert {r.text for r in H.main_text(pages_of(spark, rows)).collect()} == {f"n {i}" for i in range(5)}

@@ -101,7 +101,7 @@ def page_parts(html: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
 
     The main part is its articles, else its main elements, else the whole page, less what names itself something else. In an
     article or main element, paragraphs, headings, lists and tables are its own text; only other elements can be template
-    there. Elsewhere every element can. An element that holds over half of the main part's text cannot.
+    there. Elsewhere every element can. All elements are counted, wherever they are and whatever their size.
     """
     import html as entities
 
@@ -169,22 +169,15 @@ def page_parts(html: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         walk(part, ())
         flush(())
 
-    def others(node) -> None:
+    def count(node) -> None:
         for child in node[2]:
-            if type(child) is list and not any(child is p for p in parts):
+            if type(child) is list:
                 if child[0] not in NO_TEXT and child[0] not in VOID and child[0] not in ("html", "body"):
                     subtrees.add(known[id(child)])
-                others(child)
-
-    others(root)
-    total = sum(len(t) for t, _ in blocks)
-    held: dict[int, int] = {}
-    for text, around in blocks:
-        for h in around:
-            held[h] = held.get(h, 0) + len(text)
-    small = {h for h, n in held.items() if 2 * n <= total}
-    found = [(text, sorted(small.intersection(around))) for text, around in blocks]
-    return found, sorted(subtrees | small)
+                count(child)
+
+    count(root)
+    return [(text, sorted(set(around))) for text, around in blocks], sorted(subtrees)
 
 
 def _outermost(nodes: list) -> list:
