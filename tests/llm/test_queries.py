@@ -25,10 +25,10 @@ def run(spark, sf_dir, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in QUERIES} and "pipeline" in queries()
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in QUERIES} and "pipeline" in queries()
 
 
-@pytest.mark.parametrize("name", ["op2_topk", "op7_chat"])
+@pytest.mark.parametrize("name", ["op2_topk", "op7_chat", "op11_jaccard", "op12_periodic", "op13_audit"])
 def test_same_as_sql(spark, sf_dir, name):
     verdict = compare(spark, connect(sf_dir), name, queries()[name], oracle_sql()[name], sf_dir)
     assert verdict.startswith("ok"), verdict

@@ -6,11 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuekit.llm.language import slices
+from venuekit.llm.batches import slices
 
 PIECE_CHARS = 1 << 15
-#: ids in Python take many times the room of the text
-BATCH_CHARS = 1 << 20
 
 
 def vocabulary_file() -> str:
@@ -134,11 +132,14 @@ class Codec:
 
 def _encode_rows(path: str | None):
     def encode(batches):
+        import pyarrow as pa
+
         codec = Codec(path or vocabulary_file())
-        for rows in batches:
-            for b in slices(rows.text, BATCH_CHARS):
-                part = rows.iloc[b]
-                yield part.drop(columns="text").assign(ids=[codec.encode(t) for t in part.text])
+        for batch in batches:
+            names = [c for c in batch.schema.names if c != "text"]
+            for part in slices(batch):
+                ids = pa.array([codec.encode(t) for t in part.column("text").to_pylist()], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], ids], names=[*names, "ids"])
 
     return encode
 
@@ -177,7 +178,7 @@ def encode(docs: DataFrame, path: str | None = None, piece_chars: int = PIECE_CH
     kind = dict(docs.dtypes)["doc_id"]
     whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     long = F.length("text") > piece_chars
-    short_ids = whole.where(~long).mapInPandas(_encode_rows(path), f"doc_id {kind}, ids array<int>")
+    short_ids = whole.where(~long).mapInArrow(_encode_rows(path), f"doc_id {kind}, ids array<int>")
     # a text of n characters goes into 2^h equal parts
     pieces = F.pow(F.lit(2), F.ceil(F.log2(F.length("text") / F.lit(float(piece_chars))))).cast("int")
     cut = whole.where(long).select(
@@ -187,7 +188,7 @@ def encode(docs: DataFrame, path: str | None = None, piece_chars: int = PIECE_CH
     cut = cut.select("doc_id", "row", "piece", F.expr("substring(text, piece * step + 1, step)").alias("text")).where("text != ''")
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = cut.repartition(width, "doc_id", "row", "piece").select("*", F.col("text").alias("piece_text"))
-    encoded = parts.mapInPandas(
+    encoded = parts.mapInArrow(
         _encode_rows(path), f"doc_id {kind}, row bigint, piece int, piece_text string, ids array<int>"
     ).dropDuplicates(["doc_id", "row", "piece"])
     joined = encoded.groupBy("doc_id", "row").applyInPandas(_join_pairs(path), f"doc_id {kind}, row bigint, ids array<int>")

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venuekit.llm.batches import slices
 
 GRAMS = (2, 3, 4)
 BUCKET_BITS = 15
@@ -251,6 +252,7 @@ def _verdict(langs: list, scores, path, first, last) -> tuple:
 def _predict(model: dict, switch: float, keep: tuple[str, ...]):
     def predict(batches):
         import numpy as np
+        import pyarrow as pa
 
         langs, speller = model["langs"], Speller()
         model["table"] = np.vstack([model["scores"], np.zeros((1, len(langs)))]).astype(np.float32)
@@ -272,32 +274,28 @@ def _predict(model: dict, switch: float, keep: tuple[str, ...]):
                 else:
                     found[at + doc] = _verdict(langs, own, np.full(e - b, top), first, last)
 
-        for rows in batches:
-            texts = rows.text.fillna("")
-            found, open_ = [(UNKNOWN, 0.0, [])] * len(rows), []
-            for piece in slices(texts):
-                label(list(texts.iloc[piece]), found, piece.start, open_)
+        span = pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
+        kinds = (pa.string(), pa.float64(), pa.list_(span))
+        for batch in batches:
+            # the texts themselves stay Arrow buffers: a slice of them at a time becomes strings
+            found, open_, parts, at = [(UNKNOWN, 0.0, [])] * batch.num_rows, [], [], 0
+            for part in slices(batch):
+                label([t or "" for t in part.column("text").to_pylist()], found, at, open_)
+                parts.append((at, part))
+                at += part.num_rows
             paths = viterbi([x[1] for x in open_], switch)
             for (i, own, first, last), path in zip(open_, paths, strict=True):
                 found[i] = _verdict(langs, own, path, first, last)
-            made = pd.DataFrame(found, columns=["lang_pred", "score", "spans"], index=rows.index)
-            yield pd.concat([rows[list(keep)], made], axis=1)
+            for at, part in parts:
+                made = zip(*found[at : at + part.num_rows], strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in keep], *[pa.array(x, k) for x, k in zip(made, kinds, strict=True)]],
+                    names=[*keep, "lang_pred", "score", "spans"],
+                )
 
     return predict
 
 
-def slices(texts: pd.Series, chars: int = 1 << 20):
-    """Runs of rows of about ``chars`` characters, so that arrays over a run stay small; a longer text is a run of its own."""
-    begin = total = 0
-    for i, n in enumerate(texts.str.len()):
-        if total + n > chars and i > begin:
-            yield slice(begin, i)
-            begin, total = i, 0
-        total += n
-    if begin < len(texts):
-        yield slice(begin, len(texts))
-
-
 def identify(docs: DataFrame, model: dict, switch: float = SWITCH, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and lang_pred, score, spans of every whole text.
 
@@ -312,7 +310,7 @@ def identify(docs: DataFrame, model: dict, switch: float = SWITCH, keep: tuple[s
     kinds = dict(docs.dtypes)
     columns = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     span = "struct<begin int, end int, lang string>"
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInPandas(
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(
         _predict(model, switch, keep), f"{columns}, lang_pred string, score double, spans array<{span}>"
     )
 

@@ -8,11 +8,11 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venuekit.llm.batches import slices
+
 WORD = r"[^\x20\x09-\x0D]+"
 MIN_LENGTH = 24
 MIN_EXPONENT = 3
-#: bytes of text that become Python strings at a time
-SLICE = 1 << 20
 
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 
@@ -229,22 +229,8 @@ def _finder(keep: tuple[str, ...], min_length: int, min_exponent: int):
             kept = " ".join(words) if not runs else " ".join(words[i] for i in np.flatnonzero(stays))
             return len(words), [dict(zip(("start", "length", "period"), r, strict=True)) for r in runs], kept
 
-        def sliced(batch):
-            """Rows of about ``SLICE`` bytes of text; a longer text is a slice of its own."""
-            sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_pylist()
-            begin = total = 0
-            for i, n in enumerate(sizes):
-                if total + n > SLICE and i > begin:
-                    yield batch.slice(begin, i - begin)
-                    begin, total = i, 0
-                total += n
-            if begin < len(sizes):
-                yield batch.slice(begin)
-
-        import pyarrow.compute  # noqa: F401
-
         for batch in batches:
-            for part in sliced(batch):
+            for part in slices(batch):
                 made = [examined(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in keep], pa.array([m[0] for m in made], pa.int64()),

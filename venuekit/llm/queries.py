@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from venuekit.llm import (
-    audit, bpe, chat, fingerprints, html, language, lines, mixing, order_minhash, periodic, topk, toxicity,
+    audit, bpe, chat, fingerprints, html, jaccard, language, lines, mixing, order_minhash, periodic, topk, toxicity,
 )
 from venuekit.llm.registry import query, table
 
@@ -47,6 +47,28 @@ select conv_id, n_turns, sha256(said) as turns_sha256, length(learned) as loss_c
 from g
 """
 
+# Pairs by their common shingles, then everything that links lead to.
+JACCARD_SQL = r"""
+with recursive w as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+    ) as w from documents
+), g as (
+    select doc_id, list_distinct(case when len(w) >= 4
+        then [concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3]) for i in range(1, len(w) - 2)]
+        when len(w) > 0 then [array_to_string(w, ' ')] else cast([] as varchar[]) end) as g from w
+), s as (
+    select doc_id, len(g) as n, unnest(g) as x from g
+), links as (
+    select a.doc_id as a, b.doc_id as b from s a join s b on a.x = b.x and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id having 185 * count(*) >= 85 * (min(a.n) + min(b.n))
+), reach as (
+    select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on r.b = l.a
+)
+select doc_id, cast(len(g) as bigint) as n_shingles, component_id
+from g join (select a as doc_id, min(b) as component_id from reach group by a) using (doc_id)
+"""
+
 # Equal words of a text at distance q, in stretches, are its runs with period q; the smallest q of equal stretches counts.
 RUNS_SQL = r"""
 with plain as (
@@ -219,6 +241,12 @@ def op10_html(spark: SparkSession, d: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query("op11_jaccard", JACCARD_SQL)
+def op11_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    """The number of shingles and the component of every document."""
+    return jaccard.jaccard_components(documents(spark, d))
+
+
 @query("op12_periodic", RUNS_SQL)
 def op12_periodic(spark: SparkSession, d: str) -> DataFrame:
     """The periodic runs of every document, a tenth of which get a periodic end."""
