@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from venuekit.llm.graph import components
 from venuekit.llm.order_minhash import _grouped, _labelled
-from venuekit.llm.rtree import CountTree, overlapping
+from venuekit.llm.rtree import LEAF, CountTree, meeting, overlapping
 from venuekit.session import discard, materialize
 
 SHINGLE = 4
 PERCENT = 85
-#: groups of shingles, that is coordinates of a point
-GROUPS = 64
+#: groups of shingles, that is coordinates of a point, at least; and shingles a group on average, at most
+GROUPS, IN_GROUP = 64, 8
 #: members of a bucket that meet in one tree
 BLOCK = 1024
 #: shingles of a document's prefix that are tried first
@@ -105,6 +105,16 @@ def _sketcher(frequent: list[int], shingle: int, percent: int, groups: int):
             last = np.argsort(-place[at[hot]], kind="stable")
             return np.concatenate([rare, found[hot][last[: take - len(rare)]]])
 
+        def counts(found):
+            """Counts by group, as many groups as the set asks for: twice as many halve each of them."""
+            width = groups
+            while True:
+                if width * IN_GROUP >= len(found):
+                    made = np.bincount((found >> np.uint64(32)).astype(np.int64) & (width - 1), minlength=width)
+                    if made.max() < 256:
+                        return made.astype(np.uint8).tobytes()
+                width *= 2
+
         for batch in batches:
             kept = [batch.column(c) for c in ("doc_id", "own", "t1")]
             texts = batch.column("text")
@@ -116,8 +126,7 @@ def _sketcher(frequent: list[int], shingle: int, percent: int, groups: int):
                 made["s1"].append(xxhash.xxh3_64_intdigest(raw) - (1 << 63))
                 made["s2"].append(xxhash.xxh3_64_intdigest(raw, seed=1) - (1 << 63))
                 made["prefix"].append(prefix(found).view(np.int64) if len(found) else np.zeros(0, np.int64))
-                cells = ((found >> np.uint64(40)) % np.uint64(groups)).astype(np.int64)
-                made["counts"].append(np.bincount(cells, minlength=groups).astype(np.uint32).tobytes())
+                made["counts"].append(counts(found))
             kinds = {"n": pa.int64(), "s1": pa.int64(), "s2": pa.int64(), "prefix": pa.list_(pa.int64()), "counts": pa.binary()}
             yield pa.RecordBatch.from_arrays(
                 [*kept, *[pa.array(made[c], kinds[c]) for c in kinds]], names=["doc_id", "own", "t1", *kinds]
@@ -137,31 +146,57 @@ def _search(percent: int, spanning: bool):
         import numpy as np
         import pyarrow as pa
 
-        def pairs(id_, side, label, n, counts):
-            trees = {}
-            for k in (0, 1, 2):
-                at = np.flatnonzero(side == k)
-                if len(at):
-                    trees[k] = (at, CountTree(counts[at], n[at], label[at]))
-            meetings = [(trees[x], trees[y]) for x, y in ((2, 2), (0, 1)) if x in trees and y in trees]
+        def points(bags, width):
+            """Counts in ``width`` groups of points that have as many or more."""
+            own = len(bags[0])
+            rows = np.frombuffer(b"".join(bags), dtype=np.uint8).reshape(len(bags), own // width, width)
+            return rows.sum(axis=1, dtype=np.uint32) if own > width else rows[:, 0].astype(np.uint32)
+
+        def met(x, y, n, label, bags, same):
+            """(i, j, bound) of the places ``x`` and ``y``; those with equally many groups are a tree, or two."""
+            widths = [{}, {}]
+            for k, at in enumerate((x,) if same else (x, y)):
+                for i in at.tolist():
+                    widths[k].setdefault(len(bags[i]), []).append(i)
+            for u, p in widths[0].items():
+                for v, q in (widths[0] if same else widths[1]).items():
+                    if same and v < u:
+                        continue
+                    width, one = min(u, v), same and u == v
+                    p_at, q_at = np.array(p), np.array(q)
+                    a = points([bags[i] for i in p], width)
+                    b = a if one else points([bags[i] for i in q], width)
+                    if max(len(p), len(q)) <= LEAF:
+                        i, j, bound = meeting(a, n[p_at], label[p_at], b, n[q_at], label[q_at], percent, one)
+                        if len(i):
+                            yield p_at[i], q_at[j], bound
+                        continue
+                    tree = CountTree(a, n[p_at], label[p_at])
+                    other = tree if one else CountTree(b, n[q_at], label[q_at])
+                    for i, j, bound in overlapping(tree, other, percent):
+                        yield p_at[i], q_at[j], bound
+
+        def pairs(id_, side, label, n, bags):
+            x, y, z = (np.flatnonzero(side == k) for k in (0, 1, 2))
             above: dict[int, int] = {}
 
-            def name(x):
-                while x in above:
-                    x = above[x]
-                return x
-
-            for (at_a, a), (at_b, b) in meetings:
-                for i, j, bound in overlapping(a, b, percent):
-                    i, j = at_a[i], at_b[j]
-                    if spanning:
-                        for k in np.argsort(-bound, kind="stable").tolist():
-                            x, y = name(int(label[i[k]])), name(int(label[j[k]]))
-                            if x != y:
-                                above[max(x, y)] = min(x, y)
-                                yield id_[i[k : k + 1]], id_[j[k : k + 1]]
-                    else:
+            def name(k):
+                while k in above:
+                    k = above[k]
+                return k
+
+            for p, q, same in ((z, z, True), (x, y, False)):
+                if not len(p) or not len(q):
+                    continue
+                for i, j, bound in met(p, q, n, label, bags, same):
+                    if not spanning:
                         yield id_[i], id_[j]
+                        continue
+                    for k in np.argsort(-bound, kind="stable").tolist():
+                        one, two = name(int(label[i[k]])), name(int(label[j[k]]))
+                        if one != two:
+                            above[max(one, two)] = min(one, two)
+                            yield id_[i[k : k + 1]], id_[j[k : k + 1]]
 
         def groups():
             held = None
@@ -169,8 +204,9 @@ def _search(percent: int, spanning: bool):
                 if not batch.num_rows:
                     continue
                 rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("grp", "id", "side", "label", "n")]
-                bags = batch.column("bag").to_pylist()
-                rows.append(np.frombuffer(b"".join(bags), dtype=np.uint32).reshape(len(bags), -1).astype(np.int64))
+                bags = np.empty(batch.num_rows, dtype=object)
+                bags[:] = batch.column("bag").to_pylist()
+                rows.append(bags)
                 if held is not None:
                     rows = [np.concatenate([x, y]) for x, y in zip(held, rows, strict=True)]
                 key = rows[0]
@@ -187,10 +223,10 @@ def _search(percent: int, spanning: bool):
             return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
         made, total = [], 0
-        for id_, side, label, n, counts in groups():
+        for id_, side, label, n, bags in groups():
             if len(id_) < 2 or (label == label[0]).all():
                 continue
-            for found in pairs(id_, side, label, n, counts):
+            for found in pairs(id_, side, label, n, bags):
                 made.append(found)
                 total += len(found[0])
                 if total >= 50_000:
@@ -249,7 +285,7 @@ def jaccard_components(
     one shingle. Two documents link if their intersection is at least ``percent`` of their union, so each text without words,
     null and empty ones too, is on its own. No pair that links is passed over, but for equal 64-bit hashes.
 
-    Shingles are hashed into ``groups``; a set's counts by group are a point. Points with a shingle of their prefixes in
+    Shingles are hashed into ``groups``, and a large set's into twice as many, again and again; its counts are a point. Points with a shingle of their prefixes in
     common meet in an R-tree, whose boxes bound the overlap of all pairs below them by the sums of the smaller counts; the
     surviving pairs are verified by their sets. Pairs that would join documents which others join already come last, and
     only if these did not link. A single tree over all points would send each through nearly all boxes: in 64 coordinates the

@@ -41,6 +41,19 @@ class CountTree:
         return not isinstance(self.below[node], list)
 
 
+def meeting(counts, sizes, labels, others, other_sizes, other_labels, percent: int, same: bool) -> tuple:
+    """(i, j, bound) of all points of two leaves that have different labels and may overlap enough."""
+    import numpy as np
+
+    bound = np.minimum(counts[:, None, :], others[None, :, :]).sum(axis=2, dtype=np.int64)
+    ok = (100 + percent) * bound >= percent * (sizes[:, None] + other_sizes[None, :])
+    ok &= labels[:, None] != other_labels[None, :]
+    if same:
+        ok = np.triu(ok, 1)
+    left, right = np.nonzero(ok)
+    return left, right, bound[left, right]
+
+
 def overlapping(a: CountTree, b: CountTree, percent: int) -> Iterator[tuple]:
     """(i, j, bound) arrays of places in ``a`` and ``b`` with different labels whose overlap may be ``percent`` of the union.
 
@@ -49,24 +62,21 @@ def overlapping(a: CountTree, b: CountTree, percent: int) -> Iterator[tuple]:
     """
     import numpy as np
 
-    need = lambda n, m: percent * (n + m)
     open_ = [(0, 0)]
     while open_:
         x, y = open_.pop()
         if a.single[x] is not None and a.single[x] == b.single[y]:
             continue
-        if int(np.minimum(a.most[x], b.most[y]).sum()) * (100 + percent) < need(a.least[x], b.least[y]):
+        most = int(np.minimum(a.most[x], b.most[y]).sum(dtype=np.int64))
+        if most * (100 + percent) < percent * (a.least[x] + b.least[y]):
             continue
         if a.is_leaf(x) and b.is_leaf(y):
             i, j = a.below[x], b.below[y]
-            bound = np.minimum(a.counts[i][:, None, :], b.counts[j][None, :, :]).sum(axis=2, dtype=np.int64)
-            ok = (100 + percent) * bound >= need(a.sizes[i][:, None], b.sizes[j][None, :])
-            ok &= a.labels[i][:, None] != b.labels[j][None, :]
-            if a is b and x == y:
-                ok = np.triu(ok, 1)
-            left, right = np.nonzero(ok)
+            left, right, bound = meeting(
+                a.counts[i], a.sizes[i], a.labels[i], b.counts[j], b.sizes[j], b.labels[j], percent, a is b and x == y
+            )
             if len(left):
-                yield i[left], j[right], bound[left, right]
+                yield i[left], j[right], bound
         elif a is b and x == y:
             p, q = a.below[x]
             open_ += [(p, p), (q, q), (p, q)]
