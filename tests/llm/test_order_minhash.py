@@ -85,9 +85,26 @@ def test_groups_hold_every_pair_of_similar_length(spark):
         assert all((x, y) in met for x in size for y in size if x < y and min(size[x], size[y]) >= similarity * max(size[x], size[y]))
 
 
-def test_candidates_pass_over_no_near_pair():
+def near_pairs(split):
+    return {(i, j) for i in range(len(split)) for j in range(i + 1, len(split))
+            if plain(split[i], split[j]) <= int(0.2 * max(len(split[i]), len(split[j])) + 1e-9)}
+
+
+def classes_of(links, ids):
+    label = {i: i for i in ids}
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, j in links:
+        label[max(find(i), find(j))] = min(find(i), find(j))
+    return {i: find(i) for i in ids}
+
+
+def test_a_group_is_joined_by_all_its_near_pairs():
     rng = random.Random(6)
-    find = M._candidates(0.8)
     sketch = M._sketcher(5, 4, 2)
     texts = []
     for _ in range(30):
@@ -99,13 +116,78 @@ def test_candidates_pass_over_no_near_pair():
             texts.append(" ".join(text))
     frame = M.pd.DataFrame({"doc_id": range(len(texts)), "own": range(len(texts)), "t1": 0, "t2": 0, "text": texts})
     made = next(sketch([frame]))
-    rows = M.pd.DataFrame({"grp": 1, "side": 2, "id": made.own, "label": made.own, "n": made.n_words, "bag": made.bag})
-    # the group is cut by batches
-    got = {(r.a, r.b) for part in find([rows[:50], rows[50:70], rows[70:]]) for r in part.itertuples()}
-    split = [t.split() for t in texts]
-    near = {(i, j) for i in range(len(split)) for j in range(i + 1, len(split))
-            if plain(split[i], split[j]) <= int(0.2 * max(len(split[i]), len(split[j])) + 1e-9)}
-    assert near and near <= got and len(got) < 2000
+    rows = M.pd.DataFrame({"grp": 1, "side": 2, "id": made.own, "own": made.own, "label": made.own, "n": made.n_words,
+                           "bag": made.bag, "text": texts})
+    near = near_pairs([t.split() for t in texts])
+    # the group is cut by batches; then its halves meet each other only
+    got = [(r.own_a, r.own_b) for part in M._linked(0.8)([rows[:50], rows[50:70], rows[70:]]) for r in part.itertuples()]
+    assert near and set(got) <= near and classes_of(got, range(len(texts))) == classes_of(near, range(len(texts)))
+    halves = rows.assign(side=[i % 2 for i in range(len(rows))])
+    got = [(r.own_a, r.own_b) for part in M._linked(0.8)([halves]) for r in part.itertuples()]
+    crossed = [(i, j) for i, j in near if (i + j) % 2]
+    assert set(got) <= set(crossed) and classes_of(got, range(len(texts))) == classes_of(crossed, range(len(texts)))
+
+
+def replaced(rng, words, n):
+    """The words with ``n`` of them replaced at random places by words of no other text."""
+    text = list(words)
+    for i in rng.sample(range(len(text)), n):
+        text[i] = f"x{rng.getrandbits(48)}"
+    return text
+
+
+def test_recall_down_to_the_threshold(spark, docs_of):
+    """Pairs at 10, 15 and 20 % replaced words, and texts of 5 to 9 words with one replaced."""
+    rng = random.Random(20)
+    rows, kinds = [], {}
+    for kind, sizes, share in [("10", (60, 200), 0.1), ("15", (60, 200), 0.15), ("20", (60, 200), 0.2), ("short", (5, 6, 7, 8, 9), None)]:
+        for k in range(100):
+            for n in sizes:
+                base = [f"{kind}_{n}_{k}_{i}" for i in range(n)]
+                if share is None:
+                    other = list(base)
+                    other[n // 2 if k % 2 else rng.randrange(n)] = "new"
+                else:
+                    other = replaced(rng, base, int(share * n))
+                at = len(rows)
+                rows += [(at, " ".join(base)), (at + 1, " ".join(other))]
+                kinds.setdefault((kind, n if share else "all"), []).append(at)
+    got = {r.doc_id: r.class_id for r in M.near_classes(docs_of(rows)).collect()}
+    for kind, pairs in kinds.items():
+        assert sum(got[i] == got[i + 1] for i in pairs) >= 0.9 * len(pairs), kind
+    assert all(got[i] in (i, i - 1) for i in got)
+
+
+def test_a_crowd_of_far_texts_makes_no_rows_of_pairs(spark, docs_of):
+    """40 words in common and 12 of their own: just too far apart; a few are near and linked."""
+    rng = random.Random(40)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join(passage + [f"o{i}_{j}" for j in range(12)])) for i in range(150)]
+    rows += [(1000 + i, " ".join(replaced(rng, rows[i][1].split(), 3))) for i in range(0, 150, 10)]
+    got = {r.doc_id: r.class_id for r in M.near_classes(docs_of(rows)).collect()}
+    ids = [i for i, _ in rows]
+    near = near_pairs([t.split() for _, t in rows])
+    assert got == classes_of([(ids[i], ids[j]) for i, j in near], ids)
+
+
+def test_every_text_of_a_doc_id_counts_and_order_does_not(spark, docs_of):
+    rng = random.Random(41)
+    one, two, three = ([f"{c}{i}" for i in range(50)] for c in "abc")
+    rows = [(5, " ".join(one)), (5, " ".join(two)), (6, " ".join(replaced(rng, one, 3))), (7, " ".join(replaced(rng, two, 3))),
+            (8, " ".join(three))]
+    rows += [(50, f"text number {i} of a doc_id that a third of all rows have " + " ".join(f"z{i}_{j}" for j in range(20))) for i in range(10)]
+    results = []
+    for order in (rows, rows[::-1]):
+        frame = docs_of(order).coalesce(1)
+        assert {r.doc_id: r.class_id for r in M.near_classes(frame).collect()} == {5: 5, 6: 5, 7: 5, 8: 8, 50: 50}
+        results.append(sorted(tuple(r) for r in M.near_representatives(frame).collect()))
+    assert results[0] == results[1] and [r[0] for r in results[0]] == [5, 8, 50]
+
+
+def test_very_long_texts(spark, docs_of):
+    long = [f"v{i % 9000}_{i}" for i in range(60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(replaced(random.Random(1), long, 600))), (3, " ".join(long[:30_000]))]
+    assert {r.doc_id: r.class_id for r in M.near_classes(docs_of(rows)).collect()} == {1: 1, 2: 1, 3: 3}
 
 
 def test_nulls_empties_and_repeats(spark, docs_of):

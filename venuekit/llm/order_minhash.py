@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,10 +17,15 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 SAMPLE = 2
+#: functions of which the smallest hash alone is a sample too
+SINGLES = 24
+#: texts of at most so many words are sampled by shingles of so many words as well
+SHORT_TEXT, SHORT_SHINGLE = 24, 2
 STAR_ROUNDS = 2
-#: cells of a text's bag of words, and members of a bucket that meet in one go
+#: cells of a text's bag of words; members of a bucket, and their words, that meet in one go
 CELLS = 256
 BLOCK = 1024
+BLOCK_WORDS = 1 << 20
 
 
 def _sketcher(shingle: int, sketches: int, sample: int):
@@ -43,13 +49,9 @@ def _sketcher(shingle: int, sketches: int, sample: int):
 
         words = Words()
 
-        def grams(text: str):
-            """The text's word hashes, and a number for each occurrence of a k-mer, in text order: equal k-mers differ by
-            their count so far."""
-            ids = np.array([words[w] for w in text.split()], dtype=np.uint64)
-            if not len(ids):
-                return ids, None
-            k = min(shingle, len(ids))
+        def grams(ids, k: int):
+            """A number for each occurrence of a k-mer, in text order: equal k-mers differ by their count so far."""
+            k = min(k, len(ids))
             out = ids[: len(ids) - k + 1].copy()
             for i in range(1, k):
                 out = out * base + ids[i : len(ids) - k + 1 + i]
@@ -63,7 +65,7 @@ def _sketcher(shingle: int, sketches: int, sample: int):
                 place = np.arange(len(out))
                 nth = place - np.maximum.accumulate(np.where(fresh, place, 0))
                 out[order] += nth.astype(np.uint64) * mixer[0]
-            return ids, out
+            return out
 
         def bag(ids):
             """How many words fall into each cell, 255 at most: never further from another text's bag than the words are."""
@@ -77,79 +79,123 @@ def _sketcher(shingle: int, sketches: int, sample: int):
                 seed ^= seed >> half
             return seed
 
-        def minima(out):
-            """The smallest ``sample`` hashes of each function in text order, as a number."""
-            short = []
+        def minima(out, ordered: int, alone: int):
+            """The smallest ``sample`` hashes of each of the first ``ordered`` functions in text order, as a number; then the
+            smallest hash of each of the first ``alone``."""
+            short, single = [], []
             take = min(sample, len(out))
             chunk = max(1, (1 << 18) // len(out))
-            for i in range(0, sketches, chunk):
-                values = out[None, :] * factor[i : i + chunk]
+            used = max(ordered, alone)
+            for i in range(0, used, chunk):
+                values = out[None, :] * factor[i : min(used, i + chunk)]
                 values ^= values >> half
                 values *= base
                 if take < len(out):
                     at = np.argpartition(values, take - 1, axis=1)[:, :take]
                 else:
                     at = np.repeat(np.arange(take)[None, :], len(values), axis=0)
-                short.append(mixed(out[np.sort(at, axis=1)], mixer[i : i + chunk]))
-            return np.concatenate(short).view(np.int64)
+                short.append(mixed(out[np.sort(at, axis=1)], mixer[i : min(used, i + chunk)]))
+                least = np.take_along_axis(values, at, axis=1).argmin(axis=1)
+                single.append(out[at[np.arange(len(at)), least]])
+            return np.concatenate([np.concatenate(short)[:ordered], np.concatenate(single)[:alone]]).view(np.int64)
+
+        def samples(ids):
+            """All samples of a text; those of its short shingles come last."""
+            found = minima(grams(ids, shingle), sketches, min(SINGLES, sketches))
+            if len(ids) > SHORT_TEXT:
+                return found
+            return np.concatenate([found, minima(grams(ids, SHORT_SHINGLE), 0, min(SINGLES, sketches))])
 
         for rows in batches:
             counts, found, bags = [], [], []
             for text in rows.text:
-                ids, out = grams(text)
+                ids = np.array([words[w] for w in text.split()], dtype=np.uint64)
                 counts.append(len(ids))
-                found.append(minima(out) if len(ids) else np.zeros(0, np.int64))
+                found.append(samples(ids) if len(ids) else np.zeros(0, np.int64))
                 bags.append(bag(ids))
             yield rows[["doc_id", "own", "t1", "t2"]].assign(n_words=counts, sketch=found, bag=bags)
 
     return sketch
 
 
-def _candidates(similarity: float):
-    """Pairs (a, b) of the members of a group that have different labels, similar lengths and similar bags.
+def _near(a: list, b: list, similarity: float) -> bool:
+    """Whether two lists of words are near by alignment."""
+    most = max(len(a), len(b))
+    limit = int((1 - similarity) * most + 1e-9)
+    # edits change at most as many words of the larger bag
+    if abs(len(a) - len(b)) > limit or most - sum((Counter(a) & Counter(b)).values()) > limit:
+        return False
+    return within(a, b, limit) <= limit
 
-    Rows come sorted by group. Those of side 2 meet each other, those of side 0 meet those of side 1.
+
+def _linked(similarity: float):
+    """Links (own_a, own_b) that join the members of a group that are near and have different labels.
+
+    Rows come sorted by group. Those of side 2 meet each other, those of side 0 meet those of side 1. Lengths and bags are
+    compared first, then the words, then the texts are aligned; pairs that links of the group join already are passed over.
     """
 
     def find(batches):
         import numpy as np
 
-        def near(x, y, same):
-            """Places in ``x`` and ``y``, which are sorted by length."""
+        def candidates(x, y, same):
+            """Places in ``x`` and ``y``, which are sorted by length, with similar lengths and bags."""
             for i in range(0, len(x), 64):
                 part = x.iloc[i : i + 64]
                 n = part.n.to_numpy()
                 low = np.searchsorted(y.n.to_numpy(), similarity * n[0] - 1e-6)
                 high = np.searchsorted(y.n.to_numpy(), n[-1] / similarity + 1e-6, "right") if similarity > 0 else len(y)
-                other = y.iloc[max(low, i) if same else low : high]
+                low = max(low, i) if same else low
+                other = y.iloc[low:high]
                 m = other.n.to_numpy()
                 most = np.maximum(n[:, None], m)
                 limit = ((1 - similarity) * most + 1e-9).astype(np.int64)
                 ok = (np.abs(n[:, None] - m) <= limit) & (part.label.to_numpy()[:, None] != other.label.to_numpy())
-                a, b = part.id.to_numpy(), other.id.to_numpy()
                 left, right = np.nonzero(ok)
                 if not len(left):
                     continue
                 bag_a, bag_b = (np.frombuffer(b"".join(z.bag), np.uint8).reshape(len(z), -1) for z in (part, other))
                 # an insertion or deletion moves a bag by one, a replaced word by two
                 spare = (2 * limit - 2 * most + n[:, None] + m)[left, right]
-                keep = np.zeros(len(left), dtype=bool)
                 for j in range(0, len(left), 8192):
-                    u, v = bag_a[left[j : j + 8192]], bag_b[right[j : j + 8192]]
+                    p, q = left[j : j + 8192], right[j : j + 8192]
+                    u, v = bag_a[p], bag_b[q]
                     apart = (np.maximum(u, v) - np.minimum(u, v)).sum(axis=1, dtype=np.uint32)
-                    keep[j : j + 8192] = apart <= spare[j : j + 8192]
-                a, b = a[left[keep]], b[right[keep]]
-                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+                    keep = np.flatnonzero(apart <= spare[j : j + 8192])
+                    if len(keep):
+                        yield i + p[keep], low + q[keep]
+
+        def links(group):
+            above: dict = {}
+            split: dict = {}
+
+            def name(k):
+                while k in above:
+                    k = above[k]
+                return k
+
+            def words(at, texts):
+                found = split.get((id(texts), at))
+                if found is None:
+                    if len(split) >= 256:
+                        split.clear()
+                    found = split[id(texts), at] = texts[at].split()
+                return found
 
-        def pairs(group):
-            if group.label.iloc[0] == group.label.iloc[-1] and group.label.nunique() == 1:
-                return
             group = group.sort_values("n", kind="stable")
             all_, x, y = (group[group.side == k] for k in (2, 0, 1))
-            if len(all_) > 1:
-                yield from near(all_, all_, True)
-            if len(x) and len(y):
-                yield from near(x, y, False)
+            for p, q, same in ((all_, all_, True), (x, y, False)):
+                if not len(p) or not len(q):
+                    continue
+                ours, theirs = p.text.to_numpy(), q.text.to_numpy()
+                labels, others = p.label.tolist(), q.label.tolist()
+                own, other_own = p.own.tolist(), q.own.tolist()
+                for left, right in candidates(p, q, same):
+                    for i, j in zip(left.tolist(), right.tolist(), strict=True):
+                        one, two = name(labels[i]), name(others[j])
+                        if one != two and _near(words(i, ours), words(j, theirs), similarity):
+                            above[max(one, two)] = min(one, two)
+                            yield min(own[i], other_own[j]), max(own[i], other_own[j])
 
         def groups():
             """Each group whole, though batches cut through them."""
@@ -168,35 +214,32 @@ def _candidates(similarity: float):
             if held:
                 yield pd.concat(held)
 
-        made, n = [], 0
         for group in groups():
-            for part in pairs(group):
-                made.append(part)
-                n += len(part)
-                if n >= 10_000:
-                    yield pd.concat(made)
-                    made, n = [], 0
-        if made:
-            yield pd.concat(made)
+            labels = group.label.to_numpy()
+            if (labels != labels[0]).any():
+                made = list(links(group))
+                if made:
+                    yield pd.DataFrame(made, columns=["own_a", "own_b"])
 
     return find
 
 
 def _grouped(members: DataFrame, similarity: float, block: int) -> DataFrame:
-    """(grp, side, id, label, n, bag) from (bucket, id, label, n, bag): every two members of a bucket whose lengths are
-    similar meet in one group.
+    """(grp, side) and the columns of ``members`` but bucket, which has bucket, id, n (its length) and others: every two members
+    of a bucket whose lengths are similar meet in one group.
 
-    A bucket of up to ``block`` members is one group. A larger one is cut into classes of length and these, by a hash, into
-    cells of about ``block`` members; two cells of the same or of neighbouring classes are a group.
+    A bucket of up to ``block`` members and ``BLOCK_WORDS`` words is one group. A larger one is cut into classes of length and
+    these, by a hash, into cells of about that size; two cells of the same or of neighbouring classes are a group.
     """
     # classes a little wider than the lengths may differ: near texts are never two classes apart
     width = math.log(1 / max(similarity, 0.01) * (1 + 1e-6))
     members = members.withColumn("c", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
-    counts = members.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("n_c"))
+    load = F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_WORDS)
+    counts = members.groupBy("bucket", "c").agg(load.alias("load"))
     hot = (
         counts.groupBy("bucket")
-        .agg(F.sum("n_c").alias("n_all"), F.collect_list(F.struct("c", F.ceil(F.col("n_c") / block).cast("int"))).alias("cells"))
-        .where(F.col("n_all") > block).select("bucket", F.map_from_entries("cells").alias("cells"))
+        .agg(F.sum("load").alias("all"), F.collect_list(F.struct("c", F.ceil("load").cast("int"))).alias("cells"))
+        .where(F.col("all") > 1).select("bucket", F.map_from_entries("cells").alias("cells"))
     )
     c, own = F.col("c"), F.col("own_cell")
     cells_of = lambda k: F.coalesce(F.element_at("cells", k), F.lit(0))
@@ -217,25 +260,16 @@ def _grouped(members: DataFrame, similarity: float, block: int) -> DataFrame:
     alone = F.array(F.struct(F.col("bucket").alias("grp"), F.lit(2).alias("side")))
     placed = members.join(hot, "bucket", "left").withColumn("own_cell", F.pmod(F.xxhash64("id"), F.greatest(cells_of(c), F.lit(1))).cast("int"))
     met = placed.withColumn("at", F.explode(F.when(F.col("cells").isNull(), alone).otherwise(F.concat(within_class, longer, shorter))))
-    return met.select("at.grp", "at.side", "id", "label", "n", "bag")
+    return met.select("at.grp", "at.side", *[x for x in members.columns if x not in ("bucket", "c")])
 
 
 def _aligned(similarity: float):
-    """Keep (a, b) of pairs whose word lists are near by alignment."""
+    """Keep (a, b, own_a, own_b) of pairs whose word lists are near by alignment."""
 
     def check(batches):
-        from collections import Counter
-
         for rows in batches:
-            near = []
-            for x, y in zip(rows.text_a, rows.text_b, strict=True):
-                a, b = x.split(), y.split()
-                most = max(len(a), len(b))
-                limit = int((1 - similarity) * most + 1e-9)
-                # edits change at most as many words of the larger bag
-                ok = abs(len(a) - len(b)) <= limit and most - sum((Counter(a) & Counter(b)).values()) <= limit
-                near.append(ok and within(a, b, limit) <= limit)
-            yield rows.loc[pd.Series(near, index=rows.index, dtype=bool), ["a", "b"]]
+            near = [_near(x.split(), y.split(), similarity) for x, y in zip(rows.text_a, rows.text_b, strict=True)]
+            yield rows.loc[pd.Series(near, index=rows.index, dtype=bool), ["a", "b", "own_a", "own_b"]]
 
     return check
 
@@ -249,23 +283,25 @@ def near_classes(
     Two texts are near if at most a share 1 - ``similarity`` of the words of the longer one must be inserted, deleted or
     replaced to get the other. Every candidate is verified by banded alignment of the whole texts, and classes are the
     connected components of the links. Each of ``sketches`` functions hashes the ``shingle``-word shingles, each labelled by
-    its occurrence number, and samples the smallest ``sample`` of them, in text order. Two texts that share a part J of their
-    labelled shingles, in the same order, share a sample of s with a chance of about J^s.
-
-    Texts with an equal sample share a bucket. Members of a bucket first meet its smallest document; those that stay apart
-    from it meet the smallest that remains. Then all pairs of a bucket meet that still are in different classes, however many
-    they are. Lengths and bags of words in ``CELLS`` cells are compared there, which passes over no pair that is near. So
-    two texts that are near are found with a chance of 0.9999 at J = 0.5 and 0.95 at 0.3, in a crowd that shares a
-    passage too.
-
-    Equal texts, and rows with the same doc_id, are in one class without alignment; of several texts under one doc_id the
-    one in the sketch table first stands for them. A null text is taken as empty; texts without words are near their
-    equals only. A null doc_id stands for a document of its own that is named by a hash of its text. No rows: no rows.
-
-    Scale: equal texts become one before samples are dealt. A group of n near copies costs n candidates and not n^2.
-    Pairs of very different length or bags are passed over before texts are fetched. A bucket of more than ``block`` members
-    is compared in cells of that size by as many tasks as it takes. Among n members that stay in different classes, all n^2
-    pairs of similar length have their bags compared. There is no cap on buckets or partners.
+    its occurrence number, and samples the smallest ``sample`` of them, in text order; for texts that differ much, the
+    smallest alone of ``SINGLES`` functions is a sample too, and for short texts that of their ``SHORT_SHINGLE``-word shingles.
+    Two texts that share a part J of their labelled shingles, in the same order, share a sample of s with a chance of about J^s.
+
+    Texts with an equal sample share a bucket. Members of a bucket first meet one of them; those that stay apart from it meet
+    one that remains. Then all members of a bucket meet that still are in different classes, however many they are, in one
+    task or several: lengths and bags of words in ``CELLS`` cells are compared, which passes over no pair that is near, then
+    words, and then the texts are aligned there, so that only links leave the task. So two texts that are near are found with
+    a chance of 0.9999 at J = 0.5, 0.99 at 0.3 and 0.99 at 0.2, which is a fifth of the words replaced at random, in a crowd
+    that shares a passage too.
+
+    Equal texts, and rows with the same doc_id, are in one class without alignment; every different text under a doc_id is
+    sampled and compared. A null text is taken as empty; texts without words are near their equals only. A null doc_id stands
+    for a document of its own that is named by a hash of its text. No rows: no rows.
+
+    Scale: equal texts become one before samples are dealt. A group of n near copies costs n candidates and not n^2. A bucket
+    of more than ``block`` members or ``BLOCK_WORDS`` words is compared in cells of that size by as many tasks as it takes.
+    Among n members that stay in different classes, all n^2 pairs of similar length have their bags compared, and no pair
+    is ever a row. There is no cap on buckets or partners.
     """
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -286,47 +322,40 @@ def near_classes(
     lowest = members.groupBy("own").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     same = members.join(lowest, "own").where("rep > low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
 
-    reps = members.where(F.col("own") == F.col("rep")).select("own", "t1", "t2").dropDuplicates(["own"])
+    text_key = ["own", "t1", "t2"]
+    reps = members.where(F.col("own") == F.col("rep")).select(F.xxhash64(*text_key).alias("id"), *text_key).dropDuplicates(text_key)
     reps = materialize(reps, "reps")
+    # rows that repeat are sampled alike, and count once in a bucket
     dealt = (
-        sketched.where("n_words > 0").select("own", "t1", "t2", "sketch").join(reps, ["own", "t1", "t2"])
-        .dropDuplicates(["own"])
-        .select(F.col("own").alias("id"), F.posexplode("sketch").alias("nth", "x"))
-        .select("id", F.xxhash64("nth", "x").alias("bucket"))
+        sketched.where("n_words > 0").select(*text_key, "sketch").join(reps, text_key).dropDuplicates(text_key)
+        .select("id", "own", F.posexplode("sketch").alias("nth", "x"))
+        .select("id", "own", F.xxhash64("nth", "x").alias("bucket"))
     )
     shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     crowd = materialize(dealt.join(shared, "bucket"), "buckets")
-    present = crowd.select(F.col("id").alias("own")).distinct()
-    wanted = reps.join(present, "own")
-    texts = materialize(
-        whole.select("own", "t1", "t2", "text").join(wanted, ["own", "t1", "t2"]).dropDuplicates(["own"]).select(
-            F.col("own").alias("id"), "text"
-        ),
-        "texts",
-    )
-    lengths = materialize(
-        sketched.join(wanted, ["own", "t1", "t2"]).dropDuplicates(["own"])
-        .select(F.col("own").alias("id"), F.col("n_words").alias("n"), "bag"),
-        "lengths",
-    )
-
-    def similar_length() -> Column:
-        """Whether the lengths of a pair differ by no more words than may be inserted."""
-        return F.abs(F.col("n_a") - F.col("n_b")) <= (1 - similarity) * F.greatest("n_a", "n_b") + 1e-9
-
-    def plausible(pairs: DataFrame) -> DataFrame:
-        a, b = (lengths.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
-        return pairs.join(a, "a").join(b, "b").where(similar_length()).select("a", "b")
+    wanted = reps.join(crowd.select("id").distinct(), "id", "left_semi")
+    sizes = sketched.select(*text_key, F.col("n_words").alias("n"), "bag").join(wanted, text_key).dropDuplicates(text_key)
+    texts = whole.select(*text_key, "text").join(sizes, text_key).dropDuplicates(text_key)
+    texts = materialize(texts.select("id", "own", "n", "bag", "text"), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-        b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+        a, b = (texts.select(*[F.col(c).alias(x if c == "id" else f"{c}_{x}") for c in ("id", "own", "n", "text")]) for x in "ab")
         # a fixed width: the work is in the alignment, which a merge of small partitions would put into few tasks
-        joined = plausible(pairs).join(a, "a").repartition(width, "b").join(b, "b").select("a", "b", "text_a", "text_b")
-        return materialize(joined.mapInPandas(_aligned(similarity), "a bigint, b bigint"), "links")
-
-    stored = [sketched, members, reps, crowd, texts, lengths]
-    links, tried, apart = same, None, crowd
+        joined = pairs.join(a, "a").repartition(width, "b").join(b, "b").where(
+            F.abs(F.col("n_a") - F.col("n_b")) <= (1 - similarity) * F.greatest("n_a", "n_b") + 1e-9
+        )
+        return materialize(
+            joined.select("a", "b", "own_a", "own_b", "text_a", "text_b").mapInPandas(
+                _aligned(similarity), "a bigint, b bigint, own_a bigint, own_b bigint"
+            ),
+            "links",
+        )
+
+    def owners(links: DataFrame) -> DataFrame:
+        return links.select(F.least("own_a", "own_b").alias("a"), F.greatest("own_a", "own_b").alias("b"))
+
+    stored = [sketched, members, reps, crowd, texts]
+    links, tried, apart = same, None, crowd.select("bucket", "id")
     for round_ in range(STAR_ROUNDS):
         leaders = apart.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
         star = apart.join(leaders.select("bucket", "a"), "bucket").where(F.col("id") != F.col("a"))
@@ -336,29 +365,28 @@ def near_classes(
         pairs = materialize(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
         near = verified(pairs)
-        links = links.union(near)
+        links = links.union(owners(near))
         stored += [pairs, near]
         if round_ + 1 < STAR_ROUNDS:  # those that their leader takes in are done with this bucket
-            led = star.select("bucket", "a", F.col("id").alias("b")).join(links, ["a", "b"], "left_anti")
+            led = star.select("bucket", "a", F.col("id").alias("b")).join(near, ["a", "b"], "left_anti")
             apart = materialize(led.select("bucket", F.col("b").alias("id")), "apart")
             stored.append(apart)
     labels = components(links)
-    placed = _labelled(crowd, labels, "id", "label")
+    placed = _labelled(crowd, labels, "own", "label")
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_ = materialize(placed.join(mixed.select("bucket"), "bucket").join(lengths, "id"), "open")
-    groups = _grouped(open_, similarity, block).repartition(width, "grp").sortWithinPartitions("grp")
-    rest = groups.mapInPandas(_candidates(similarity), "a bigint, b bigint")
-    rest = materialize(rest.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    final = verified(rest)
+    open_ = materialize(placed.join(mixed.select("bucket"), "bucket").select("bucket", "id", "label"), "open")
+    members_of = open_.join(texts.select("id", "n", "bag", "own", "text"), "id")
+    groups = _grouped(members_of, similarity, block).repartition(width, "grp").sortWithinPartitions("grp")
+    final = materialize(groups.mapInPandas(_linked(similarity), "own_a bigint, own_b bigint").distinct(), "links")
     # the last links join whole classes: few links between their names
-    ends = _labelled(_labelled(final, labels, "a", "la"), labels, "b", "lb")
+    ends = _labelled(_labelled(owners(final), labels, "a", "la"), labels, "b", "lb")
     joined = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
     named = _labelled(members.select("doc_id", "own", "rep"), labels, "rep", "name")
     classed = _labelled(named, joined, "name", "class_id")
     # the smallest doc_id of a class of equal texts names it, so a label is the smallest doc_id of all its members
-    sizes = classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    result = materialize(classed.select("doc_id", "class_id").join(sizes, "class_id"), "classes")
-    discard(*stored, open_, rest, final, labels, joined)
+    class_sizes = classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
+    result = materialize(classed.select("doc_id", "class_id").join(class_sizes, "class_id"), "classes")
+    discard(*stored, open_, final, labels, joined)
     return result.select("doc_id", "class_id", "class_size")
 
 
@@ -371,13 +399,15 @@ def _labelled(rows: DataFrame, labels: DataFrame, key: str, name: str) -> DataFr
 def near_representatives(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each class: the row with the class's own doc_id. Columns as in ``docs``.
 
-    Rows that repeat a doc_id are one document, and one row of them stays, that of the smallest text hash; a null
-    doc_id stays if it names its class.
+    Rows that repeat a doc_id are one document, and one row of them stays, that of the smallest text hash, then the smallest
+    in the other columns, whatever the order of the rows; a null doc_id stays if it names its class.
     """
     classes = near_classes(docs, **options)
-    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))))
+    text = F.coalesce("text", F.lit(""))
+    columns = ("doc_id", "text", "lang", "source", "n_chars")
+    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text))
     names = classes.select("class_id").distinct()
-    kept = docs.select("doc_id", "text", "lang", "source", "n_chars", own.alias("own")).join(
-        names, F.col("own") == F.col("class_id"), "left_semi"
-    )
-    return kept.dropDuplicates(["own"]).drop("own")
+    kept = docs.select(*columns, own.alias("own")).join(names, F.col("own") == F.col("class_id"), "left_semi")
+    place = F.struct(F.xxhash64(text), F.xxhash64(F.lit(1), text), "lang", "source", "n_chars", "doc_id", F.col("text").isNull())
+    first = kept.groupBy("own").agg(F.min_by(F.struct(*columns), place).alias("row"))
+    return first.select(*[F.col(f"row.{c}").alias(c) for c in columns])
