@@ -1,3 +1,6 @@
+import random
+import time
+
 from venuekit.llm import html as H
 
 
@@ -26,6 +29,33 @@ def test_odd_markup():
     assert text_of("<article><table><tr><td>1<td>2<tr><td>3</table></article>") == "1 2 3"
 
 
+def test_wrappers_with_telling_names_keep_their_article():
+    for page in (
+        '<div class="content-sidebar-wrap"><main><article><p>kept</p></article></main></div>',
+        '<div class="page no-sidebar"><article><p>kept</p></article></div>',
+        '<div class="widget"><article><p>kept</p></article></div>',
+        '<form id="form1"><div class="sidebar">x</div><p>kept</p></form>',
+        '<div class="modal"><p>kept</p></div><div>.</div>'.replace("<div>.</div>", ""),
+        '<header><article><p>kept</p></article></header>',
+    ):
+        assert text_of(page) == "kept", page
+    inside = '<article><section id="related-work"><p>one</p></section><p class="ad-hoc">two</p><h2 id="search">three</h2></article>'
+    assert text_of(inside) == "one two three"
+    assert text_of('<article>a<div class="site-footer">x</div><div class="cookieNotice">y</div><p>b</p></article>') == "a b"
+    assert text_of('<div class="related"><article>teaser</article></div><article>story</article>') == "story"
+    assert text_of('<div id="comments"><article class="comment">first!</article></div><main>story</main>') == "story"
+    assert text_of('<article hidden>no</article><p>yes</p>') == "yes"
+
+
+def test_broken_pages_take_no_longer():
+    for page in ("<a " * 300_000 + '"', '<a ">" ' * 150_000, "<p>x" * 100_000, "<" * 500_000, "<!-- " * 200_000, "</b " * 200_000, "<b '" * 200_001):
+        start = time.perf_counter()
+        H.parse(page)
+        assert time.perf_counter() - start < 3, page[:20]
+    assert text_of('<p>before</p><a href="x>link</a> <b title="y">after</b>') == "before link after"
+    assert text_of('<p title="a>b">in</p>') == "in"
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as host", "'y' as text").repartition(3)
 
@@ -76,6 +106,43 @@ def test_template_goes_from_short_pages_too(spark):
     assert got[10] == "brief" and got[11] == "tiny" and all("rights" not in t for t in got.values())
 
 
+def test_lines_that_recur_here_and_there_stay(spark):
+    rows = []
+    for i in range(12):
+        told = "".join(f"<p>line {i} {j}</p>" for j in range(i + 1))
+        rows.append((i, f"http://a.b/{i}", f"<body><div>{told}<h2>Conclusion</h2><p>the same short line</p><p>end {i}</p></div></body>"))
+    got = {r.page_id: r.text for r in H.main_text(pages_of(spark, rows)).collect()}
+    for i in range(12):
+        assert got[i] == " ".join([f"line {i} {j}" for j in range(i + 1)] + ["Conclusion the same short line", f"end {i}"])
+
+
+def plain_main(pages, least=4):
+    """Blocks of each page less those in an element that is on enough pages with different text, counted one by one."""
+    parts = {i: H.page_parts(h) for i, _, h in pages}
+    host = {i: u.split("/")[2] for i, u, _ in pages}
+    on = {}
+    for i, (blocks, subtrees) in parts.items():
+        for s in subtrees:
+            on.setdefault((host[i], s), set()).add(tuple(t for t, _ in blocks))
+    return {
+        i: " ".join(t for t, around in blocks if not any(len(on.get((host[i], s), ())) >= least for s in around))
+        for i, (blocks, _) in parts.items()
+    }
+
+
+def test_template_removal_equals_counting_page_by_page(spark):
+    rng = random.Random(10)
+    menus = [f"<ul>{''.join(f'<li>item {m} {k}' for k in range(4))}</ul>" for m in range(5)]
+    rows = []
+    for i in range(90):
+        site = rng.randrange(3)
+        told = "".join(f"<p>story {i if rng.random() < 0.9 else 'shared'} {j}</p>" for j in range(rng.randint(1, 4)))
+        legal = f"<div>legal {site}</div>" if rng.random() < 0.5 else ""
+        rows.append((i, f"http://h{site}.org/{i}", f"<body>{rng.choice(menus)}<div><h1>{i}</h1>{told}</div>{legal}</body>"))
+    got = {r.page_id: r.text for r in H.main_text(pages_of(spark, rows)).collect()}
+    assert got == plain_main(rows) and any("legal" not in t and "item" not in t for t in got.values())
+
+
 def test_blocks_of_short_articles_are_counted(spark):
     page = "<article><p>n {}</p><div>Subscribe to our letter and never miss a story of ours again</div></article>"
     rows = [(i, f"http://a.b/{i}", page.format(i)) for i in range(5)]

@@ -1,5 +1,8 @@
 import random
 
+import pyarrow as pa
+import pytest
+
 from tests.llm.test_alignment import plain
 from venuekit.llm import order_minhash as M
 from venuekit.llm.graph import components
@@ -103,7 +106,10 @@ def classes_of(links, ids):
     return {i: find(i) for i in ids}
 
 
-def test_a_group_is_joined_by_all_its_near_pairs():
+@pytest.mark.parametrize("long", [False, True])
+def test_candidates_pass_over_no_near_pair(monkeypatch, long):
+    if long:
+        monkeypatch.setattr(M, "WORD_BY_WORD", 30)
     rng = random.Random(6)
     sketch = M._sketcher(5, 4, 2)
     texts = []
@@ -115,17 +121,19 @@ def test_a_group_is_joined_by_all_its_near_pairs():
                 text[rng.randrange(len(text))] = f"w{rng.randint(0, 300)}"
             texts.append(" ".join(text))
     frame = M.pd.DataFrame({"doc_id": range(len(texts)), "own": range(len(texts)), "t1": 0, "t2": 0, "text": texts})
-    made = next(sketch([frame]))
-    rows = M.pd.DataFrame({"grp": 1, "side": 2, "id": made.own, "own": made.own, "label": made.own, "n": made.n_words,
-                           "bag": made.bag, "text": texts})
+    made = next(sketch([pa.RecordBatch.from_pandas(frame)])).to_pandas()
+    rows = M.pd.DataFrame({"grp": 1, "side": 2, "id": made.own, "label": made.own, "n": made.n_words, "bag": made.bag})
     near = near_pairs([t.split() for t in texts])
+
+    def found(frames, spanning):
+        return {(r.a, r.b) for part in M._candidates(0.8, spanning)(frames) for r in part.itertuples()}
+
     # the group is cut by batches; then its halves meet each other only
-    got = [(r.own_a, r.own_b) for part in M._linked(0.8)([rows[:50], rows[50:70], rows[70:]]) for r in part.itertuples()]
-    assert near and set(got) <= near and classes_of(got, range(len(texts))) == classes_of(near, range(len(texts)))
+    got = found([rows[:50], rows[50:70], rows[70:]], False)
+    assert near and near <= got and len(got) < len(near) + (2000 if long else 20)
+    assert classes_of(found([rows], True), range(len(texts))) == classes_of(got, range(len(texts)))
     halves = rows.assign(side=[i % 2 for i in range(len(rows))])
-    got = [(r.own_a, r.own_b) for part in M._linked(0.8)([halves]) for r in part.itertuples()]
-    crossed = [(i, j) for i, j in near if (i + j) % 2]
-    assert set(got) <= set(crossed) and classes_of(got, range(len(texts))) == classes_of(crossed, range(len(texts)))
+    assert {(i, j) for i, j in near if (i + j) % 2} <= found([halves], False) <= got
 
 
 def replaced(rng, words, n):

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuekit.llm.batches import slices
+from venuekit.llm.batches import slices, tidy
 
 PIECE_CHARS = 1 << 15
 
@@ -141,7 +141,7 @@ def _encode_rows(path: str | None):
                 ids = pa.array([codec.encode(t) for t in part.column("text").to_pylist()], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], ids], names=[*names, "ids"])
 
-    return encode
+    return tidy(encode)
 
 
 def _join_pairs(path: str | None):
@@ -213,7 +213,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
                 found[known] = codec.decode([x.tolist() for x in part.ids[known]])
                 yield part.assign(text=found)
 
-    return encoded.select("doc_id", "ids").mapInPandas(texts, f"doc_id {kind}, ids array<int>, text string")
+    return encoded.select("doc_id", "ids").mapInPandas(tidy(texts), f"doc_id {kind}, ids array<int>, text string")
 
 
 def ids_digest(ids: Column) -> Column:

@@ -23,6 +23,7 @@ SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
         "option": ("option",), "p": ("p",)}
 #: elements nested deeper than this become children of the one at this depth, as in browsers
 DEPTH = 512
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SCOPE = frozenset("article section div table td th ul ol dl body html main aside nav header footer form blockquote".split())
 # Words in class, id and role that mark what is not the article.
 MARKS = frozenset(
@@ -31,6 +32,44 @@ MARKS = frozenset(
     " comment comments reply replies respond disqus share sharing social related recommended widget pagination pager toolbar"
     " skip login search contentinfo complementary alert hidden".split()
 )
+# Words that say only where or in what shape a marked element stands.
+PLAIN = frozenset("site page main top bottom left right global primary secondary box bar list block area link links item items".split())
+
+
+def _tags(html: str):
+    """(begin, end, closes, name, attributes) of the page's tags in order; comments and the like have no name.
+
+    A tag ends at the first ``>`` outside of quotes. Where there is none up to the end of the page, its quotes are broken, and
+    this and all later tags end at their first ``>``: so no part of a page is gone through more than twice.
+    """
+    import re
+
+    opening, plain = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)"), re.compile("[^>\"']*")
+    n, at, broken = len(html), html.find("<"), False
+    while at >= 0:
+        head = opening.match(html, at)
+        if not head:
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                end = n if end < 0 else end + 3
+            elif html[at + 1 : at + 2] in ("!", "?", "/"):
+                end = html.find(">", at) + 1
+            else:
+                end = 0
+            if end:
+                yield at, end, "", "", ""
+            at = html.find("<", end or at + 1)
+            continue
+        end = head.end()
+        while not broken:
+            end = plain.match(html, end).end()
+            if end == n or html[end] == ">":
+                break
+            end = html.find(html[end], end + 1) + 1 or n
+        if broken or end == n:
+            broken, end = True, html.find(">", head.end())
+            end = n if end < 0 else end
+        at = (yield at, min(end + 1, n), head[1], head[2].lower(), html[head.end() : end]) or html.find("<", end)
 
 
 def parse(html: str) -> list:
@@ -40,25 +79,28 @@ def parse(html: str) -> list:
     """
     import re
 
-    token = re.compile(
-        r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*>|<[a-zA-Z][^>]*\Z", re.S
-    )
     root: list = ["#root", "", []]
     stack, at, n = [root], 0, len(html)
-    for m in iter(lambda: token.search(html, at), None):
-        if m.start() > at:
-            stack[-1][2].append(html[at : m.start()])
-        at = m.end()
-        name = m[2]
+    tags, after = _tags(html), None
+    while True:
+        try:
+            begin, end, closes, name, attributes = tags.send(after)
+        except StopIteration:
+            break
+        after = None
+        if begin > at:
+            stack[-1][2].append(html[at:begin])
+        at = end
         if not name:
             continue
-        name = name.lower()
-        if m[1]:
+        if closes:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
                     del stack[i:]
                     break
             continue
+        if end == n and html[end - 1] != ">":  # cut off
+            continue
         if name in CLOSES_P or name in SAME:
             names = SAME.get(name, ("p",)) + (("p",) if name in CLOSES_P else ())
             for i in range(len(stack) - 1, 0, -1):
@@ -67,76 +109,149 @@ def parse(html: str) -> list:
                     break
                 if stack[i][0] in SCOPE:
                     break
-        node: list = [name, m[3], []]
+        node: list = [name, attributes, []]
         stack[-1][2].append(node)
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(html, at)
-            node[2].append(html[at : end.start() if end else n])
-            at = end.start() if end else n
-        elif name not in VOID and not m[3].endswith("/") and len(stack) < DEPTH:
+            found = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(html, at)
+            after = found.start() if found else n
+            node[2].append(html[at:after])
+            at = after
+        elif name not in VOID and not attributes.endswith("/") and len(stack) < DEPTH:
             stack.append(node)
     if at < n:
         stack[-1][2].append(html[at:])
     return root
 
 
-def _marked(tag: str, attributes: str) -> bool:
-    """Whether an element is by its name, class, id or role not part of an article."""
+def _hidden(attributes: str) -> bool:
+    import re
+
+    shut = r"(?:^|\s)hidden(?=[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true"
+    return bool(attributes) and bool(re.search(shut, attributes, re.I))
+
+
+def _named(tag: str, attributes: str) -> bool:
+    """Whether one of an element's classes, its id or its role says that it is not part of an article.
+
+    A name says so if it is made of such words, and of words for place and shape, only: ``cookie-notice`` and ``site-footer``
+    do, ``no-sidebar``, ``content-sidebar-wrap`` and ``related-work`` do not. The id of a heading or paragraph is its address.
+    """
     import re
 
-    if tag in NOT_ARTICLE or tag in NO_TEXT:
-        return True
     if not attributes or tag in ("html", "body", "main", "article"):
         return bool(attributes) and tag == "article" and bool(re.search(r"\bcomments?\b", attributes))
-    if re.search(r"(?:^|\s)hidden(?=[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", attributes, re.I):
-        return True
-    named = re.findall(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", attributes, re.I)
-    words = re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", " ".join("".join(x) for x in named)).lower())
-    return not MARKS.isdisjoint(words)
+    found = re.findall(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", attributes, re.I)
+    for kind, *values in found:
+        if kind.lower() == "id" and (tag == "p" or tag in HEADINGS):
+            continue
+        for name in "".join(values).split():
+            words = {w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower()) if w}
+            if not MARKS.isdisjoint(words) and words <= MARKS | PLAIN:
+                return True
+    return False
+
+
+def _marked(root) -> set[int]:
+    """The elements that by their tag, class, id or role are not part of an article.
+
+    Hidden elements are, whatever they hold. Of the others none is that holds more than half of the page's text in
+    paragraphs, so that a form or a wrapper around everything does not take the page with it.
+    """
+    told: dict[int, int] = {}
+
+    def told_in(node, inside: bool) -> int:
+        """Characters of paragraphs in an element."""
+        inside = inside or node[0] == "p"
+        total = 0
+        for child in node[2]:
+            if type(child) is list:
+                total += 0 if child[0] in NO_TEXT else told_in(child, inside)
+            elif inside:
+                total += len(child)
+        told[id(node)] = total
+        return total
+
+    whole = told_in(root, False)
+    out: set[int] = set()
+
+    def mark(node) -> None:
+        for child in node[2]:
+            if type(child) is not list or child[0] in NO_TEXT:
+                continue
+            tag, attributes = child[0], child[1]
+            if _hidden(attributes) and tag not in ("html", "body"):
+                out.add(id(child))
+            elif (tag in NOT_ARTICLE or _named(tag, attributes)) and not (whole and 2 * told[id(child)] > whole):
+                out.add(id(child))
+            mark(child)
+
+    mark(root)
+    return out
 
 
 def page_parts(html: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
     """(blocks, subtrees): the text blocks of the page's main part, each with the hashes of the elements around it that
     could be template, and the hashes of all such elements of the page.
 
-    The main part is its articles, else its main elements, else the whole page, less what names itself something else. In an
-    article or main element, paragraphs, headings, lists and tables are its own text; only other elements can be template
-    there. Elsewhere every element can. All elements are counted, wherever they are and whatever their size.
+    The main part is its articles, else its main elements, else the whole page, less what names itself something else. An
+    article inside such an element counts if there is no other. In an article or main element, paragraphs, headings, lists
+    and tables are its own text; only other elements can be template there. Elsewhere every element can. All elements are
+    counted, wherever they are and whatever their size.
+
+    An element's hash is that of its content and of the path of elements from the root to it; for text elements also of the
+    place of each element of the path among its neighbours, so that a heading or a line that comes up now here, now there is
+    none of the template.
     """
     import html as entities
 
     import xxhash
 
     root = parse(html)
+    marked = _marked(root)
     mains: dict[str, list] = {"article": [], "main": []}
+    others: list = []
 
-    def find(node, inside: bool) -> None:
+    def find(node, inside: bool, aside: bool) -> None:
         for child in node[2]:
-            if type(child) is list:
-                tag = child[0]
-                if _marked(tag, child[1]):
-                    continue
+            if type(child) is list and child[0] not in NO_TEXT:
+                tag, apart = child[0], aside or id(child) in marked
                 kind = tag if tag in mains else "main" if 'role="main"' in child[1] else ""
                 if kind and not (inside and kind == "article"):
-                    mains[kind].append(child)
-                find(child, inside or kind == "article")
-
-    find(root, False)
-    parts = mains["article"] or _outermost(mains["main"]) or [root]
+                    if not apart:
+                        mains[kind].append(child)
+                    elif kind == "article" and id(child) not in marked and not _hidden(child[1]):
+                        others.append(child)
+                find(child, inside or kind == "article", apart)
+
+    find(root, False, False)
+    parts = mains["article"] or _outermost(mains["main"]) or _outermost(others) or [root]
     whole = parts == [root]
     subtrees: set[int] = set()
+    content: dict[int, int] = {}
     known: dict[int, int] = {}
 
     def digest(node) -> int:
-        """Hash of an element's name and of all that it holds, and its place among the candidates."""
-        content = [node[0]]
+        """Hash of an element's name and of all that it holds."""
+        inner = [node[0]]
+        for child in node[2]:
+            inner.append(f"<{digest(child)}>" if type(child) is list else " ".join(child.split()))
+        content[id(node)] = xxhash.xxh3_64_intdigest("\x1f".join(c for c in inner if c))
+        return content[id(node)]
+
+    def place(node, path: int, spots: int) -> None:
+        """Hashes of the elements below with their paths, without and with places."""
+        spot = 0
         for child in node[2]:
-            content.append(f"<{digest(child)}>" if type(child) is list else " ".join(child.split()))
-        value = xxhash.xxh3_64_intdigest("\x1f".join(c for c in content if c)) >> 1
-        known[id(node)] = value
-        return value
+            if type(child) is list:
+                spot += 1
+                own = xxhash.xxh3_64_intdigest(f"{path}/{child[0]}")
+                exact = xxhash.xxh3_64_intdigest(f"{spots}/{child[0]}/{spot}")
+                at = exact if child[0] in FLOW else own
+                known[id(child)] = xxhash.xxh3_64_intdigest(f"{at}:{content[id(child)]}") >> 1
+                place(child, own, exact)
 
     digest(root)
+    place(root, 0, 0)
     blocks: list[list] = []
     open_text: list[str] = []
 
@@ -152,7 +267,7 @@ def page_parts(html: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
                 open_text.append(child)
                 continue
             tag = child[0]
-            if tag in NO_TEXT or _marked(tag, child[1]):
+            if tag in NO_TEXT or id(child) in marked:
                 if tag in BLOCK:
                     flush(around)
                 continue

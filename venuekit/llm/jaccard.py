@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from venuekit.llm.batches import tidy
 from venuekit.llm.graph import components
 from venuekit.llm.order_minhash import _grouped, _labelled
 from venuekit.llm.rtree import LEAF, CountTree, meeting, overlapping
@@ -14,8 +15,8 @@ from venuekit.session import discard, materialize
 
 SHINGLE = 4
 PERCENT = 85
-#: groups of shingles, that is coordinates of a point, at least; and shingles a group on average, at most
-GROUPS, IN_GROUP = 64, 8
+#: groups of shingles, that is coordinates of a point; large sets have finer counts too, with so many shingles a group
+GROUPS, IN_GROUP = 64, 4
 #: members of a bucket that meet in one tree
 BLOCK = 1024
 #: shingles of a document's prefix that are tried first
@@ -71,7 +72,7 @@ def _hashes(shingle: int):
                 found = shingles(text.as_py()).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(found)], names=["hash"])
 
-    return hashes
+    return tidy(hashes)
 
 
 def _sketcher(frequent: list[int], shingle: int, percent: int, groups: int):
@@ -90,35 +91,45 @@ def _sketcher(frequent: list[int], shingle: int, percent: int, groups: int):
         listed = np.array(frequent, dtype=np.int64).view(np.uint64)
         place = np.argsort(listed)
         common = listed[place]
+        # most shingles are not in the list: a table of leading bits tells
+        leading = np.zeros(1 << 22, dtype=bool)
+        leading[common >> np.uint64(42)] = True
 
         def prefix(found):
             take = len(found) + (-percent * len(found)) // 100 + 1
-            if not len(common):
+            maybe = np.flatnonzero(leading[found >> np.uint64(42)])
+            if not len(maybe):
                 return found[:take]
-            at = np.searchsorted(common, found)
+            at = np.searchsorted(common, found[maybe])
             at[at == len(common)] = 0
-            hot = common[at] == found
-            rare = found[~hot][:take]
+            listed = common[at] == found[maybe]
+            hot, at = maybe[listed], at[listed]
+            rare = np.delete(found, hot)[:take]
             if len(rare) == take:
                 return rare
             # the list begins with the most frequent
-            last = np.argsort(-place[at[hot]], kind="stable")
-            return np.concatenate([rare, found[hot][last[: take - len(rare)]]])
+            last = np.argsort(-place[at], kind="stable")
+            return np.concatenate([rare, found[hot[last[: take - len(rare)]]]])
 
-        def counts(found):
-            """Counts by group, as many groups as the set asks for: twice as many halve each of them."""
-            width = groups
+        def counts(found, width):
+            """Counts in ``width`` groups, two bytes each; in twice as many where one does not fit."""
             while True:
-                if width * IN_GROUP >= len(found):
-                    made = np.bincount((found >> np.uint64(32)).astype(np.int64) & (width - 1), minlength=width)
-                    if made.max() < 256:
-                        return made.astype(np.uint8).tobytes()
+                made = np.bincount((found >> np.uint64(32)).astype(np.int64) & (width - 1), minlength=width)
+                if made.max() < 1 << 16:
+                    return made.astype(np.uint16).tobytes()
+                width *= 2
+
+        def fine(found):
+            """Counts of a large set in more groups; a small set needs none."""
+            width = groups
+            while width * IN_GROUP < len(found):
                 width *= 2
+            return counts(found, width) if width > 2 * groups else b""
 
         for batch in batches:
             kept = [batch.column(c) for c in ("doc_id", "own", "t1")]
             texts = batch.column("text")
-            made: dict[str, list] = {c: [] for c in ("n", "s1", "s2", "prefix", "counts")}
+            made: dict[str, list] = {c: [] for c in ("n", "s1", "s2", "prefix", "counts", "fine")}
             for text in texts:
                 found = shingles(text.as_py())
                 raw = found.tobytes()
@@ -126,57 +137,72 @@ def _sketcher(frequent: list[int], shingle: int, percent: int, groups: int):
                 made["s1"].append(xxhash.xxh3_64_intdigest(raw) - (1 << 63))
                 made["s2"].append(xxhash.xxh3_64_intdigest(raw, seed=1) - (1 << 63))
                 made["prefix"].append(prefix(found).view(np.int64) if len(found) else np.zeros(0, np.int64))
-                made["counts"].append(counts(found))
-            kinds = {"n": pa.int64(), "s1": pa.int64(), "s2": pa.int64(), "prefix": pa.list_(pa.int64()), "counts": pa.binary()}
+                made["counts"].append(counts(found, groups))
+                made["fine"].append(fine(found))
+            kinds = {"n": pa.int64(), "s1": pa.int64(), "s2": pa.int64(), "prefix": pa.list_(pa.int64())}
+            kinds |= {"counts": pa.binary(), "fine": pa.binary()}
             yield pa.RecordBatch.from_arrays(
                 [*kept, *[pa.array(made[c], kinds[c]) for c in kinds]], names=["doc_id", "own", "t1", *kinds]
             )
 
-    return sketch
+    return tidy(sketch)
+
+
+def _folded(counts: bytes, width: int):
+    """Counts in ``width`` groups from those in as many or more."""
+    import numpy as np
+
+    return np.frombuffer(counts, dtype=np.uint16).reshape(-1, width).sum(axis=0, dtype=np.uint32)
+
+
+def _finer(percent: int):
+    """Of pairs with their sizes and fine counts, those that may still overlap enough."""
+
+    def check(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            kept = []
+            for n, m, x, y in zip(*[batch.column(c).to_pylist() for c in ("n_a", "n_b", "fine_a", "fine_b")], strict=True):
+                if x and y:
+                    width = min(len(x), len(y)) // 2
+                    most = int(np.minimum(_folded(x, width), _folded(y, width)).sum())
+                    kept.append((100 + percent) * most >= percent * (n + m))
+                else:
+                    kept.append(True)
+            mask = pa.array(kept, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in "ab"], names=["a", "b"])
+
+    return tidy(check)
 
 
-def _search(percent: int, spanning: bool):
+def _search(percent: int, groups: int, spanning: bool):
     """Pairs (a, b) of the members of each group that have different labels and may overlap enough, from R-trees.
 
-    Rows come sorted by group. Those of side 2 meet each other, those of side 0 meet those of side 1. ``spanning`` leaves
-    out pairs whose labels the pairs before them would already join.
+    Rows come sorted by group. Those of side 2 meet each other, those of side 0 meet those of side 1. A pair is passed over
+    where the shingle that it has in common there stands too far behind to be its first. ``spanning`` leaves out pairs whose
+    labels the pairs before them would already join.
     """
 
     def search(batches):
         import numpy as np
         import pyarrow as pa
 
-        def points(bags, width):
-            """Counts in ``width`` groups of points that have as many or more."""
-            own = len(bags[0])
-            rows = np.frombuffer(b"".join(bags), dtype=np.uint8).reshape(len(bags), own // width, width)
-            return rows.sum(axis=1, dtype=np.uint32) if own > width else rows[:, 0].astype(np.uint32)
-
-        def met(x, y, n, label, bags, same):
-            """(i, j, bound) of the places ``x`` and ``y``; those with equally many groups are a tree, or two."""
-            widths = [{}, {}]
-            for k, at in enumerate((x,) if same else (x, y)):
-                for i in at.tolist():
-                    widths[k].setdefault(len(bags[i]), []).append(i)
-            for u, p in widths[0].items():
-                for v, q in (widths[0] if same else widths[1]).items():
-                    if same and v < u:
-                        continue
-                    width, one = min(u, v), same and u == v
-                    p_at, q_at = np.array(p), np.array(q)
-                    a = points([bags[i] for i in p], width)
-                    b = a if one else points([bags[i] for i in q], width)
-                    if max(len(p), len(q)) <= LEAF:
-                        i, j, bound = meeting(a, n[p_at], label[p_at], b, n[q_at], label[q_at], percent, one)
-                        if len(i):
-                            yield p_at[i], q_at[j], bound
-                        continue
-                    tree = CountTree(a, n[p_at], label[p_at])
-                    other = tree if one else CountTree(b, n[q_at], label[q_at])
-                    for i, j, bound in overlapping(tree, other, percent):
-                        yield p_at[i], q_at[j], bound
-
-        def pairs(id_, side, label, n, bags):
+        def met(x, y, n, label, slack, counts, same):
+            """(i, j, bound) of the places ``x`` and ``y``, from a tree of each; few points are one leaf."""
+            if max(len(x), len(y)) <= LEAF:
+                found = [meeting(counts[x], n[x], label[x], counts[y], n[y], label[y], percent, same)]
+            else:
+                tree = CountTree(counts[x], n[x], label[x])
+                found = overlapping(tree, tree if same else CountTree(counts[y], n[y], label[y]), percent)
+            for i, j, bound in found:
+                i, j = x[i], y[j]
+                near = slack[i] + slack[j] >= 0
+                if near.any():
+                    yield i[near], j[near], bound[near]
+
+        def pairs(id_, side, label, n, slack, counts):
             x, y, z = (np.flatnonzero(side == k) for k in (0, 1, 2))
             above: dict[int, int] = {}
 
@@ -188,7 +214,7 @@ def _search(percent: int, spanning: bool):
             for p, q, same in ((z, z, True), (x, y, False)):
                 if not len(p) or not len(q):
                     continue
-                for i, j, bound in met(p, q, n, label, bags, same):
+                for i, j, bound in met(p, q, n, label, slack, counts, same):
                     if not spanning:
                         yield id_[i], id_[j]
                         continue
@@ -198,15 +224,19 @@ def _search(percent: int, spanning: bool):
                             above[max(one, two)] = min(one, two)
                             yield id_[i[k : k + 1]], id_[j[k : k + 1]]
 
-        def groups():
+        def grouped():
             held = None
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("grp", "id", "side", "label", "n")]
-                bags = np.empty(batch.num_rows, dtype=object)
-                bags[:] = batch.column("bag").to_pylist()
-                rows.append(bags)
+                rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("grp", "id", "side", "label", "n", "slack")]
+                bags = batch.column("bag").to_pylist()
+                wide = max(map(len, bags))
+                if min(map(len, bags)) == wide:
+                    counts = np.frombuffer(b"".join(bags), dtype=np.uint16).reshape(len(bags), -1)
+                else:  # of a set with very many shingles in one group
+                    counts = np.stack([_folded(b, groups) for b in bags])
+                rows.append(counts.reshape(len(bags), -1, groups).sum(axis=1, dtype=np.uint32))
                 if held is not None:
                     rows = [np.concatenate([x, y]) for x, y in zip(held, rows, strict=True)]
                 key = rows[0]
@@ -223,10 +253,10 @@ def _search(percent: int, spanning: bool):
             return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
         made, total = [], 0
-        for id_, side, label, n, bags in groups():
+        for id_, side, label, n, slack, counts in grouped():
             if len(id_) < 2 or (label == label[0]).all():
                 continue
-            for found in pairs(id_, side, label, n, bags):
+            for found in pairs(id_, side, label, n, slack, counts):
                 made.append(found)
                 total += len(found[0])
                 if total >= 50_000:
@@ -235,7 +265,7 @@ def _search(percent: int, spanning: bool):
         if made:
             yield batch_of(made)
 
-    return search
+    return tidy(search)
 
 
 def _verifier(percent: int, shingle: int):
@@ -261,7 +291,7 @@ def _verifier(percent: int, shingle: int):
             kept = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(kept) for c in names], names=list(names))
 
-    return check
+    return tidy(check)
 
 
 def frequent_shingles(whole: DataFrame, shingle: int = SHINGLE) -> list[int]:
@@ -285,9 +315,9 @@ def jaccard_components(
     one shingle. Two documents link if their intersection is at least ``percent`` of their union, so each text without words,
     null and empty ones too, is on its own. No pair that links is passed over, but for equal 64-bit hashes.
 
-    Shingles are hashed into ``groups``, and a large set's into twice as many, again and again; its counts are a point. Points with a shingle of their prefixes in
-    common meet in an R-tree, whose boxes bound the overlap of all pairs below them by the sums of the smaller counts; the
-    surviving pairs are verified by their sets. Pairs that would join documents which others join already come last, and
+    Shingles are hashed into ``groups``, a power of two; a set's counts by group are a point. Points with a shingle of their
+    prefixes in common meet in an R-tree, whose boxes bound the overlap of all pairs below them by the sums of the smaller
+    counts; pairs of large sets are bounded by counts in more groups too, and the surviving pairs are verified by their sets. Pairs that would join documents which others join already come last, and
     only if these did not link. A single tree over all points would send each through nearly all boxes: in 64 coordinates the
     boxes of unlike texts overlap. So the prefixes, which miss no link, deal points to trees.
 
@@ -308,7 +338,7 @@ def jaccard_components(
     sketched = materialize(
         whole.select("doc_id", "own", "t1", F.col("text").cast("binary").alias("text")).mapInArrow(
             _sketcher(frequent, shingle, percent, groups),
-            f"doc_id {kind}, own bigint, t1 bigint, n bigint, s1 bigint, s2 bigint, prefix array<bigint>, counts binary",
+            f"doc_id {kind}, own bigint, t1 bigint, n bigint, s1 bigint, s2 bigint, prefix array<bigint>, counts binary, fine binary",
         ),
         "sketches",
     )
@@ -322,12 +352,19 @@ def jaccard_components(
     chosen = exact.select("rep.own", "rep.t1")
     reps = materialize(
         filled.join(chosen, ["own", "t1"], "left_semi").dropDuplicates(["own", "t1"])
-        .select(F.xxhash64("own", "t1").alias("id"), "own", "t1", "n", "prefix", F.col("counts").alias("bag")),
+        .select(F.xxhash64("own", "t1").alias("id"), "own", "t1", "n", "prefix", F.col("counts").alias("bag"), "fine"),
         "reps",
     )
-    dealt = reps.select("id", "own", F.posexplode("prefix").alias("nth", "bucket"))
-    shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    crowd = materialize(dealt.join(shared, "bucket"), "buckets")
+    # if a pair's first common shingle is the i-th and j-th of its sets, at most n - i and m - j are in common: both are at
+    # least percent / (100 + percent) of n + m only if i + j <= (100 - percent) / (100 + percent) of n + m
+    slack = F.ceil(F.col("n") * F.lit((100 - percent) / (100 + percent)) - F.col("nth")).cast("int")
+    dealt = reps.select("id", "own", "n", F.posexplode("prefix").alias("nth", "bucket")).select(
+        "id", "own", "nth", "bucket", slack.alias("slack")
+    )
+    shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("slack").alias("most")).where("n > 1")
+    crowd = materialize(
+        dealt.join(shared.select("bucket", "most"), "bucket").where(F.col("slack") + F.col("most") >= 0).drop("most"), "buckets"
+    )
     wanted = reps.join(crowd.select("id").distinct(), "id", "left_semi").select("id", "own", "t1")
     texts = materialize(
         whole.select("own", "t1", "text").join(wanted, ["own", "t1"]).dropDuplicates(["id", "own", "t1"])
@@ -335,15 +372,18 @@ def jaccard_components(
         "texts",
     )
     points = reps.select("id", "n", "bag")
+    finer = reps.select("id", "n", "fine")
     stored = [sketched, members, reps, crowd, texts]
 
     def candidates(buckets: DataFrame, spanning: bool, tried: DataFrame | None) -> DataFrame:
-        placed = buckets.select("bucket", "id", "label").join(points, "id")
+        placed = buckets.select("bucket", "id", "label", "slack").join(points, "id")
         met = _grouped(placed, percent / 100, block).repartition(width, "grp").sortWithinPartitions("grp")
-        pairs = met.select("grp", "id", "side", "label", "n", "bag").mapInArrow(
-            _search(percent, spanning), "a bigint, b bigint"
+        pairs = met.select("grp", "id", "side", "label", "n", "slack", "bag").mapInArrow(
+            _search(percent, groups, spanning), "a bigint, b bigint"
         ).distinct()
-        return materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        a, b = (finer.select(*[F.col(c).alias(x if c == "id" else f"{c}_{x}") for c in ("id", "n", "fine")]) for x in "ab")
+        return materialize(pairs.join(a, "a").join(b, "b").mapInArrow(_finer(percent), "a bigint, b bigint"), "pairs")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a, b = (texts.select(*[F.col(c).alias(x if c == "id" else f"{c}_{x}") for c in ("id", "own", "text")]) for x in "ab")
@@ -355,7 +395,7 @@ def jaccard_components(
 
     def mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
         """The buckets whose members are not all joined yet."""
-        placed = _labelled(rows.select("bucket", "id", "own"), labels, "own", "label")
+        placed = _labelled(rows.select("bucket", "id", "own", "slack"), labels, "own", "label")
         open_ = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         made = materialize(placed.join(open_.select("bucket"), "bucket"), "open")
         stored.append(made)

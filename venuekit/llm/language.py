@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuekit.llm.batches import slices
+from venuekit.llm.batches import slices, tidy
 
 GRAMS = (2, 3, 4)
 BUCKET_BITS = 15
@@ -103,6 +103,7 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
+@tidy
 def _count(batches):
     """(lang, script, gram, n): n-grams of the different words of each text, and the scripts of these words."""
     import numpy as np
@@ -293,7 +294,7 @@ def _predict(model: dict, switch: float, keep: tuple[str, ...]):
                     names=[*keep, "lang_pred", "score", "spans"],
                 )
 
-    return predict
+    return tidy(predict)
 
 
 def identify(docs: DataFrame, model: dict, switch: float = SWITCH, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuekit.llm.alignment import banded_distance
+from venuekit.llm.batches import tidy
 from venuekit.session import materialize
 
 MAX_EDITS = 2
@@ -110,7 +111,7 @@ def _entries(places_of, max_edits: int, chars_per_edit: int):
                 "bag": np.repeat(bags, counts),
             })
 
-    return entries
+    return tidy(entries)
 
 
 def _verified(max_edits: int, chars_per_edit: int):
@@ -122,7 +123,7 @@ def _verified(max_edits: int, chars_per_edit: int):
                 near.append(a != b and banded_distance(a, b, limit) <= limit)
             yield rows.loc[pd.Series(near, index=rows.index, dtype=bool), ["a", "b"]]
 
-    return check
+    return tidy(check)
 
 
 def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, chars_per_edit: int = CHARS_PER_EDIT) -> DataFrame:

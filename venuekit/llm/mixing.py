@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from venuekit.llm.batches import slices, tidy
 from venuekit.session import materialize
 
 GAP = r"[\x20\x09-\x0D]+"
@@ -122,10 +123,11 @@ def mix(
     own. No documents: no rows. Other columns of the input do not matter, but for those named in ``payload``, which come
     along.
 
-    Scale: source totals are sums with partial aggregation. Shards hold about ``shard_words`` words by a hash of doc_id, so
-    a hot source is many shards; quotas are ranked among at most ``groups`` groups and then among the shards of one group.
+    Scale: source totals are sums with partial aggregation. Shards hold about ``shard_words`` words by a hash of doc_id and
+    text, so a hot source is many shards; quotas are ranked among at most ``groups`` groups and then among the shards of one group.
     """
-    columns = [F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), *[F.col(c).alias(f"p_{c}") for c in payload]]
+    columns = [F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash")]
+    columns += [F.col(c).alias(f"p_{c}") for c in payload]
     sized = docs.select(*columns)
     if not payload:
         sized = materialize(sized, "mix-sizes")
@@ -151,7 +153,8 @@ def mix(
     )
 
     placed = sized.join(plan, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    draw = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    # rows without a doc_id, or with one that repeats, are dealt by their texts
+    draw = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("hash"))
     placed = (
         placed.withColumn("draw", draw)
         .withColumn("grp", F.pmod(F.col("draw"), F.col("n_groups")))
@@ -194,18 +197,18 @@ def mix(
     )
 
 
+@tidy
 def _cut(batches):
     """Texts as often as they are taken: copy c holds the words of the blocks that are drawn c times or more."""
     import re
 
-    import pandas as pd
+    import pyarrow as pa
 
     word = re.compile(r"[^\x20\x09-\x0D]+")
-    for rows in batches:
+    for rows in (part for batch in batches for part in slices(batch)):
         out = []
-        for n, (text, size, begin, block, blocks, quota, phase) in enumerate(
-            zip(rows.text, rows["size"], rows.begin, rows.block, rows.blocks, rows.quota, rows.phase, strict=True)
-        ):
+        columns = [rows.column(c).to_pylist() for c in ("text", "size", "begin", "block", "blocks", "quota", "phase")]
+        for n, (text, size, begin, block, blocks, quota, phase) in enumerate(zip(*columns, strict=True)):
             if not size or not quota:
                 continue
             first, last = begin // block, (begin + size - 1) // block
@@ -228,9 +231,10 @@ def _cut(batches):
                 if open_at is not None:
                     pieces.append(text[open_at:shut])
                 out.append((n, "\n".join(pieces)))
-        kept = rows.iloc[[n for n, _ in out]][["doc_id", "lang", "source"]].reset_index(drop=True)
-        kept["text"] = pd.Series([t for _, t in out], dtype="object")
-        yield kept[["doc_id", "text", "lang", "source"]]
+        places = pa.array([n for n, _ in out], pa.int64())
+        doc_id, lang, source = (rows.column(c).take(places) for c in ("doc_id", "lang", "source"))
+        texts = pa.array([t for _, t in out], pa.string())
+        yield pa.RecordBatch.from_arrays([doc_id, texts, lang, source], names=["doc_id", "text", "lang", "source"])
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -242,7 +246,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     rows = mix(docs, payload=("text", "lang"), **options)
-    cut = rows.select("doc_id", "text", "lang", "source", "size", "begin", "block", "blocks", "quota", "phase").mapInPandas(
+    cut = rows.select("doc_id", "text", "lang", "source", "size", "begin", "block", "blocks", "quota", "phase").mapInArrow(
         _cut, f"doc_id {kinds['doc_id']}, text string, lang string, source string"
     )
     return cut.select("doc_id", "text", "lang", "source", F.length("text").cast(kinds["n_chars"]).alias("n_chars"))

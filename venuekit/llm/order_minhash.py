@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuekit.llm.alignment import within
+from venuekit.llm.batches import slices, tidy
 from venuekit.llm.graph import components
 from venuekit.session import discard, materialize
 
@@ -18,12 +19,13 @@ SIMILARITY = 0.8
 SKETCHES = 32
 SAMPLE = 2
 #: functions of which the smallest hash alone is a sample too
-SINGLES = 24
+SINGLES = 18
 #: texts of at most so many words are sampled by shingles of so many words as well
 SHORT_TEXT, SHORT_SHINGLE = 24, 2
 STAR_ROUNDS = 2
-#: cells of a text's bag of words; members of a bucket, and their words, that meet in one go
-CELLS = 256
+#: cells of a text's bag of words; texts of at most so many words are compared word by word instead
+CELLS, WORD_BY_WORD = 256, 512
+#: members of a bucket, and their words, that meet in one go
 BLOCK = 1024
 BLOCK_WORDS = 1 << 20
 
@@ -33,6 +35,7 @@ def _sketcher(shingle: int, sketches: int, sample: int):
 
     def sketch(batches):
         import numpy as np
+        import pyarrow as pa
         import xxhash
 
         seeds = np.array([xxhash.xxh3_64_intdigest(b"order", seed=i) | 1 for i in range(2 * sketches)], dtype=np.uint64)
@@ -68,9 +71,12 @@ def _sketcher(shingle: int, sketches: int, sample: int):
             return out
 
         def bag(ids):
-            """How many words fall into each cell, 255 at most: never further from another text's bag than the words are."""
-            cells = np.bincount((ids >> np.uint64(32)).astype(np.int64) % CELLS, minlength=CELLS)
-            return np.minimum(cells, 255).astype(np.uint8).tobytes()
+            """The words as sorted numbers of 16 bits, or, for long texts, how many of these fall into each cell, 255 at most:
+            never further from another text's than the words are."""
+            short = (ids >> np.uint64(32)).astype(np.uint16)
+            if len(ids) <= WORD_BY_WORD:
+                return np.sort(short).tobytes()
+            return np.minimum(np.bincount(short % CELLS, minlength=CELLS), 255).astype(np.uint8).tobytes()
 
         def mixed(chosen, seed):
             """A number for each row of hashes, in their order."""
@@ -106,16 +112,20 @@ def _sketcher(shingle: int, sketches: int, sample: int):
                 return found
             return np.concatenate([found, minima(grams(ids, SHORT_SHINGLE), 0, min(SINGLES, sketches))])
 
-        for rows in batches:
+        for part in (part for batch in batches for part in slices(batch)):
             counts, found, bags = [], [], []
-            for text in rows.text:
+            for text in part.column("text").to_pylist():
                 ids = np.array([words[w] for w in text.split()], dtype=np.uint64)
                 counts.append(len(ids))
                 found.append(samples(ids) if len(ids) else np.zeros(0, np.int64))
                 bags.append(bag(ids))
-            yield rows[["doc_id", "own", "t1", "t2"]].assign(n_words=counts, sketch=found, bag=bags)
+            made = [pa.array(counts, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(bags, pa.binary())]
+            kept = ["doc_id", "own", "t1", "t2"]
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(c) for c in kept], *made], names=[*kept, "n_words", "sketch", "bag"]
+            )
 
-    return sketch
+    return tidy(sketch)
 
 
 def _near(a: list, b: list, similarity: float) -> bool:
@@ -128,44 +138,50 @@ def _near(a: list, b: list, similarity: float) -> bool:
     return within(a, b, limit) <= limit
 
 
-def _linked(similarity: float):
-    """Links (own_a, own_b) that join the members of a group that are near and have different labels.
+def _candidates(similarity: float, spanning: bool):
+    """Pairs (a, b) of the members of a group that have different labels, similar lengths and similar words.
 
-    Rows come sorted by group. Those of side 2 meet each other, those of side 0 meet those of side 1. Lengths and bags are
-    compared first, then the words, then the texts are aligned; pairs that links of the group join already are passed over.
+    Rows come sorted by group. Those of side 2 meet each other, those of side 0 meet those of side 1. ``spanning`` leaves
+    out pairs whose labels the pairs before them would already join.
     """
 
     def find(batches):
         import numpy as np
 
-        def candidates(x, y, same):
-            """Places in ``x`` and ``y``, which are sorted by length, with similar lengths and bags."""
-            for i in range(0, len(x), 64):
-                part = x.iloc[i : i + 64]
-                n = part.n.to_numpy()
-                low = np.searchsorted(y.n.to_numpy(), similarity * n[0] - 1e-6)
-                high = np.searchsorted(y.n.to_numpy(), n[-1] / similarity + 1e-6, "right") if similarity > 0 else len(y)
+        def cells(bag: bytes, n: int):
+            if n > WORD_BY_WORD:
+                return np.frombuffer(bag, np.uint8)
+            return np.minimum(np.bincount(np.frombuffer(bag, np.uint16) % CELLS, minlength=CELLS), 255).astype(np.uint8)
+
+        def numbered(bag: bytes):
+            """The words of a short text, equal ones told apart by their count so far."""
+            words = np.frombuffer(bag, np.uint16).astype(np.int64)
+            first = np.searchsorted(words, words)
+            return words * (WORD_BY_WORD + 1) + np.arange(len(words)) - first
+
+        def similar(x, y, same):
+            """Places in ``x`` and ``y``, which are sorted by length, with similar lengths and cells."""
+            n_x, n_y = x["n"], y["n"]
+            for i in range(0, len(n_x), 64):
+                n = n_x[i : i + 64]
+                low = np.searchsorted(n_y, similarity * n[0] - 1e-6)
+                high = np.searchsorted(n_y, n[-1] / similarity + 1e-6, "right") if similarity > 0 else len(n_y)
                 low = max(low, i) if same else low
-                other = y.iloc[low:high]
-                m = other.n.to_numpy()
+                m = n_y[low:high]
                 most = np.maximum(n[:, None], m)
                 limit = ((1 - similarity) * most + 1e-9).astype(np.int64)
-                ok = (np.abs(n[:, None] - m) <= limit) & (part.label.to_numpy()[:, None] != other.label.to_numpy())
+                ok = (np.abs(n[:, None] - m) <= limit) & (x["label"][i : i + 64, None] != y["label"][low:high])
                 left, right = np.nonzero(ok)
-                if not len(left):
-                    continue
-                bag_a, bag_b = (np.frombuffer(b"".join(z.bag), np.uint8).reshape(len(z), -1) for z in (part, other))
                 # an insertion or deletion moves a bag by one, a replaced word by two
                 spare = (2 * limit - 2 * most + n[:, None] + m)[left, right]
                 for j in range(0, len(left), 8192):
-                    p, q = left[j : j + 8192], right[j : j + 8192]
-                    u, v = bag_a[p], bag_b[q]
+                    p, q = i + left[j : j + 8192], low + right[j : j + 8192]
+                    u, v = x["cells"][p], y["cells"][q]
                     apart = (np.maximum(u, v) - np.minimum(u, v)).sum(axis=1, dtype=np.uint32)
                     keep = np.flatnonzero(apart <= spare[j : j + 8192])
-                    if len(keep):
-                        yield i + p[keep], low + q[keep]
+                    yield from zip(p[keep].tolist(), q[keep].tolist(), strict=True)
 
-        def links(group):
+        def pairs(group):
             above: dict = {}
             split: dict = {}
 
@@ -174,54 +190,71 @@ def _linked(similarity: float):
                     k = above[k]
                 return k
 
-            def words(at, texts):
-                found = split.get((id(texts), at))
+            def words(side, at):
+                found = split.get((side["key"], at))
                 if found is None:
-                    if len(split) >= 256:
+                    if len(split) >= 4096:
                         split.clear()
-                    found = split[id(texts), at] = texts[at].split()
+                    found = split[side["key"], at] = numbered(side["bag"][at])
                 return found
 
-            group = group.sort_values("n", kind="stable")
-            all_, x, y = (group[group.side == k] for k in (2, 0, 1))
-            for p, q, same in ((all_, all_, True), (x, y, False)):
-                if not len(p) or not len(q):
+            def near(x, i, y, j):
+                """Whether the words, without their order, may be near."""
+                n, m = int(x["n"][i]), int(y["n"][j])
+                most = max(n, m)
+                if most > WORD_BY_WORD:
+                    return True
+                shared = len(np.intersect1d(words(x, i), words(y, j), assume_unique=True))
+                return most - shared <= int((1 - similarity) * most + 1e-9)
+
+            order = np.argsort(group["n"], kind="stable")
+            sides = {}
+            for k in (0, 1, 2):
+                at = order[group["side"][order] == k]
+                if len(at):
+                    sides[k] = {c: v[at] for c, v in group.items()} | {"key": k}
+                    sides[k]["cells"] = np.stack([cells(b, n) for b, n in zip(sides[k]["bag"], sides[k]["n"], strict=True)])
+            for p, q in ((2, 2), (0, 1)):
+                if p not in sides or q not in sides:
                     continue
-                ours, theirs = p.text.to_numpy(), q.text.to_numpy()
-                labels, others = p.label.tolist(), q.label.tolist()
-                own, other_own = p.own.tolist(), q.own.tolist()
-                for left, right in candidates(p, q, same):
-                    for i, j in zip(left.tolist(), right.tolist(), strict=True):
-                        one, two = name(labels[i]), name(others[j])
-                        if one != two and _near(words(i, ours), words(j, theirs), similarity):
-                            above[max(one, two)] = min(one, two)
-                            yield min(own[i], other_own[j]), max(own[i], other_own[j])
+                x, y = sides[p], sides[q]
+                for i, j in similar(x, y, p == q):
+                    one, two = name(int(x["label"][i])), name(int(y["label"][j]))
+                    if one == two or not near(x, i, y, j):
+                        continue
+                    if spanning:
+                        above[max(one, two)] = min(one, two)
+                    a, b = int(x["id"][i]), int(y["id"][j])
+                    yield min(a, b), max(a, b)
 
         def groups():
             """Each group whole, though batches cut through them."""
-            held = []
+            held = None
             for rows in batches:
-                key = rows.grp.to_numpy()
-                cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(rows)]
+                if not len(rows):
+                    continue
+                columns = {c: rows[c].to_numpy() for c in ("grp", "side", "id", "label", "n", "bag")}
+                if held is not None:
+                    columns = {c: np.concatenate([held[c], v]) for c, v in columns.items()}
+                key = columns["grp"]
+                cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist()]
                 for i, j in zip(cuts, cuts[1:], strict=False):
-                    if held and i == 0 and held[0].grp.iloc[0] != key[0]:
-                        yield pd.concat(held)
-                        held = []
-                    held.append(rows.iloc[i:j])
-                    if j < len(rows):
-                        yield pd.concat(held) if len(held) > 1 else held[0]
-                        held = []
-            if held:
-                yield pd.concat(held)
+                    yield {c: v[i:j] for c, v in columns.items()}
+                held = {c: v[cuts[-1] :] for c, v in columns.items()}
+            if held is not None:
+                yield held
 
+        made: set = set()
         for group in groups():
-            labels = group.label.to_numpy()
-            if (labels != labels[0]).any():
-                made = list(links(group))
-                if made:
-                    yield pd.DataFrame(made, columns=["own_a", "own_b"])
+            if (group["label"] != group["label"][0]).any():
+                made.update(pairs(group))
+            if len(made) >= 10_000:
+                yield pd.DataFrame(sorted(made), columns=["a", "b"])
+                made.clear()
+        if made:
+            yield pd.DataFrame(sorted(made), columns=["a", "b"])
 
-    return find
+    return tidy(find)
 
 
 def _grouped(members: DataFrame, similarity: float, block: int) -> DataFrame:
@@ -271,7 +304,7 @@ def _aligned(similarity: float):
             near = [_near(x.split(), y.split(), similarity) for x, y in zip(rows.text_a, rows.text_b, strict=True)]
             yield rows.loc[pd.Series(near, index=rows.index, dtype=bool), ["a", "b", "own_a", "own_b"]]
 
-    return check
+    return tidy(check)
 
 
 def near_classes(
@@ -289,10 +322,11 @@ def near_classes(
 
     Texts with an equal sample share a bucket. Members of a bucket first meet one of them; those that stay apart from it meet
     one that remains. Then all members of a bucket meet that still are in different classes, however many they are, in one
-    task or several: lengths and bags of words in ``CELLS`` cells are compared, which passes over no pair that is near, then
-    words, and then the texts are aligned there, so that only links leave the task. So two texts that are near are found with
-    a chance of 0.9999 at J = 0.5, 0.99 at 0.3 and 0.99 at 0.2, which is a fifth of the words replaced at random, in a crowd
-    that shares a passage too.
+    task or several: lengths and bags of words in ``CELLS`` cells are compared there, then the words themselves, of texts of
+    up to ``WORD_BY_WORD``; that passes over no pair that is near, and few that are not get past it. Pairs that would join
+    classes are aligned first, then those whose classes are still apart. So two texts that are near are found with a chance
+    of 0.9999 at J = 0.5, 0.99 at 0.3 and 0.98 at 0.2, which is a fifth of the words replaced at random, in a crowd that
+    shares a passage too.
 
     Equal texts, and rows with the same doc_id, are in one class without alignment; every different text under a doc_id is
     sampled and compared. A null text is taken as empty; texts without words are near their equals only. A null doc_id stands
@@ -300,8 +334,8 @@ def near_classes(
 
     Scale: equal texts become one before samples are dealt. A group of n near copies costs n candidates and not n^2. A bucket
     of more than ``block`` members or ``BLOCK_WORDS`` words is compared in cells of that size by as many tasks as it takes.
-    Among n members that stay in different classes, all n^2 pairs of similar length have their bags compared, and no pair
-    is ever a row. There is no cap on buckets or partners.
+    Among n members that stay in different classes, all n^2 pairs of similar length have their bags compared, inside tasks.
+    There is no cap on buckets or partners.
     """
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -311,7 +345,7 @@ def near_classes(
     ).withColumn("own", F.coalesce(F.col("doc_id").cast("long"), "t1"))
     kind = dict(docs.dtypes)["doc_id"]
     sketched = materialize(
-        whole.mapInPandas(
+        whole.select("doc_id", "own", "t1", "t2", "text").mapInArrow(
             _sketcher(shingle, sketches, sample),
             f"doc_id {kind}, own bigint, t1 bigint, t2 bigint, n_words bigint, sketch array<bigint>, bag binary",
         ),
@@ -371,22 +405,25 @@ def near_classes(
             led = star.select("bucket", "a", F.col("id").alias("b")).join(near, ["a", "b"], "left_anti")
             apart = materialize(led.select("bucket", F.col("b").alias("id")), "apart")
             stored.append(apart)
-    labels = components(links)
-    placed = _labelled(crowd, labels, "own", "label")
-    mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_ = materialize(placed.join(mixed.select("bucket"), "bucket").select("bucket", "id", "label"), "open")
-    members_of = open_.join(texts.select("id", "n", "bag", "own", "text"), "id")
-    groups = _grouped(members_of, similarity, block).repartition(width, "grp").sortWithinPartitions("grp")
-    final = materialize(groups.mapInPandas(_linked(similarity), "own_a bigint, own_b bigint").distinct(), "links")
-    # the last links join whole classes: few links between their names
-    ends = _labelled(_labelled(owners(final), labels, "a", "la"), labels, "b", "lb")
-    joined = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
-    named = _labelled(members.select("doc_id", "own", "rep"), labels, "rep", "name")
-    classed = _labelled(named, joined, "name", "class_id")
+    labels, rows = components(links), crowd
+    points = texts.select("id", "n", "bag")
+    for spanning in (True, False):  # first pairs that would join classes, then all that still are in different ones
+        placed = _labelled(rows.select("bucket", "id", "own"), labels, "own", "label")
+        mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        rows = materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
+        met = _grouped(rows.select("bucket", "id", "label").join(points, "id"), similarity, block)
+        met = met.repartition(width, "grp").sortWithinPartitions("grp")
+        found = met.mapInPandas(_candidates(similarity, spanning), "a bigint, b bigint").distinct()
+        pairs = materialize(found.join(tried, ["a", "b"], "left_anti"), "pairs")
+        near = verified(pairs)
+        tried, links = tried.union(pairs), links.union(owners(near))
+        stored += [rows, pairs, near, labels]
+        labels = components(links)
+    classed = _labelled(members.select("doc_id", "own", "rep"), labels, "rep", "class_id")
     # the smallest doc_id of a class of equal texts names it, so a label is the smallest doc_id of all its members
     class_sizes = classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
     result = materialize(classed.select("doc_id", "class_id").join(class_sizes, "class_id"), "classes")
-    discard(*stored, open_, final, labels, joined)
+    discard(*stored, labels)
     return result.select("doc_id", "class_id", "class_size")
 
 

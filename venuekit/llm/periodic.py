@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuekit.llm.batches import slices
+from venuekit.llm.batches import slices, tidy
 
 WORD = r"[^\x20\x09-\x0D]+"
 MIN_LENGTH = 24
@@ -238,7 +238,7 @@ def _finder(keep: tuple[str, ...], min_length: int, min_exponent: int):
                     names=[*keep, "n_words", "runs", "collapsed"],
                 )
 
-    return find
+    return tidy(find)
 
 
 def periodic_runs(
