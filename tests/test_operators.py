@@ -2,6 +2,7 @@
 
 import random
 import statistics
+import struct
 
 import numpy as np
 import pytest
@@ -15,6 +16,7 @@ from venuekit.operators import hours as H
 from venuekit.operators import metrics as E
 from venuekit.operators import places as P
 from venuekit.operators import ranks as N
+from venuekit.operators import radix as D64
 from venuekit.operators import reviews as R
 from venuekit.operators import sampling as SM
 from venuekit.operators import success as U
@@ -337,27 +339,84 @@ def test_empty_input(spark):
     assert E.auc(none.withColumn("y", F.col("x")), "y", "x").first().auc is None
 
 
-@pytest.mark.parametrize("ranges", [2, 64])
-def test_box_stats_match_numpy(spark, ranges):
-    rng = random.Random(ranges)
+def test_box_stats_match_numpy(spark):
+    rng = random.Random(2)
     # one group holds most of the rows, another a single value
     data = [("big", rng.lognormvariate(0, 1.5)) for _ in range(900)] + [("small", float(i)) for i in range(7)]
-    data += [("one", 4.0), ("big", None), (None, 1.0)]
+    data += [("one", 4.0), ("big", None), (None, 1.0), ("big", float("nan")), ("none", None)]
     df = spark.createDataFrame(data, "g string, x double").repartition(5)
     got = {r.g: r for r in X.box_stats(df, "x", ["g"]).collect()}
     assert set(got) == {"big", "small", "one"}
     for group in got:
-        values = np.array([x for g, x in data if g == group and x is not None])
+        values = np.array([x for g, x in data if g == group and x is not None and x == x])
         q1, q2, q3 = np.percentile(values, [25, 50, 75])
         inside = values[(values >= q1 - 1.5 * (q3 - q1)) & (values <= q3 + 1.5 * (q3 - q1))]
         r = got[group]
         assert [r.q1, r.median, r.q3] == pytest.approx([q1, q2, q3])
         assert (r.n, r.outliers) == (len(values), len(values) - len(inside))
         assert (r.whisker_low, r.whisker_high) == (inside.min(), inside.max())
-    freq = N.value_counts(df, "x", ["g"])
-    exact = {r.g: r.p9 for r in N.exact_quantiles(freq, {"p9": 0.9}, ["g"], ranges).collect()}
-    big = [x for g, x in data if g == "big" and x is not None]
-    assert exact["big"] == pytest.approx(np.percentile(big, 90))
+    whole = X.box_stats(df, "x", []).first()
+    assert whole.n == 909 and whole.median == pytest.approx(np.median([x for _, x in data if x is not None and x == x]))
+    assert X.box_stats(df.where("false"), "x", ["g"]).count() == 0
+
+
+def bits_of(x):
+    """The number whose order is that of doubles, from their stored bits."""
+    n = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+    return -n if x < 0 else n
+
+
+def test_ordered_keys_are_the_bits_of_a_double(spark):
+    rng = random.Random(8)
+    values = [0.0, -0.0, 1.0, -1.0, 2.0**-1074, -(2.0**-1074), 2.0**-1022, 2.0**-1023, 1.7976931348623157e308, float("inf"), float("-inf")]
+    values += [rng.choice([-1, 1]) * rng.random() * 2.0 ** rng.randint(-1074, 1023) for _ in range(3000)]
+    for e in range(-1073, 1024):
+        near = 2.0**e
+        values += [near, np.nextafter(near, 0.0).item(), np.nextafter(near, np.inf).item()]
+    df = numbers(spark, [*values, None, float("nan")])
+    got = [(r.x, r.k) for r in df.select("x", D64.ordered_key(F.col("x")).alias("k")).collect()]
+    assert sum(k is None for _, k in got) == 2
+    assert all(k == bits_of(x) for x, k in got if k is not None)
+
+
+@pytest.mark.parametrize("spread", ["ties", "close", "wide", "ends"])
+def test_quantiles_match_numpy(spark, spread):
+    rng = random.Random(spread)
+    draw = {
+        "ties": lambda: rng.choice([0.0, -0.0, 1.0, 2.5]), "close": lambda: 1.0 + rng.randrange(50) * 2.0**-52,
+        "wide": lambda: rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300), "ends": lambda: rng.choice([-5e-324, 5e-324, -1e308, 3.0]),
+    }[spread]
+    data = [(rng.choice("aab"), draw()) for _ in range(501)]
+    keys = D64.keyed_values(spark.createDataFrame(data, "g string, x double").repartition(4), "x", ["g"])
+    parts = {"p0": 0.0, "p1": 0.37, "p5": 0.5, "p9": 0.9, "end": 1.0}
+    for r in D64.quantiles(keys, parts, ["g"]).collect():
+        values = sorted(x for g, x in data if g == r.g)
+        assert r.n == len(values)
+        for name, p in parts.items():
+            at = (len(values) - 1) * p
+            low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+            assert r[name] == pytest.approx(low if low == high else low + (high - low) * (at - int(at)), rel=1e-12)
+
+
+@pytest.mark.parametrize("rows", [0, 1, 700])
+def test_ranks_across_tasks(spark, rows):
+    rng = random.Random(rows)
+    data = [(rng.randrange(40), f"c{i:04d}") for i in range(rows)]
+    df = spark.createDataFrame(data, "n int, name string").repartition(5)
+    got = {r.name: r["rank"] for r in N.ranked(df, [F.col("n").desc(), F.col("name")]).collect()}
+    want = [name for _, name in sorted(data, key=lambda r: (-r[0], r[1]))]
+    assert got == {name: i for i, name in enumerate(want)}
+
+
+@pytest.mark.parametrize("points", [2, 30, 200])
+def test_density_of_many_values_and_of_outliers(spark, points):
+    rng = random.Random(points)
+    values = [rng.gauss(0, 1) for _ in range(300)] + [rng.choice([5.0, 6.0]) for _ in range(100)] + [400.0, -90.0]
+    got = X.density_curve(numbers(spark, values), "x", points).orderBy("point").collect()
+    h = len(values) ** -0.2 * statistics.stdev(values)
+    want = [sum(np.exp(-0.5 * ((x - np.array(values)) / h) ** 2)) / (len(values) * h * np.sqrt(2 * np.pi))
+            for x in np.linspace(-90.0, 400.0, points)]
+    assert np.abs(np.array([r.density for r in got]) - np.array(want)).max() < 1e-11 / h
 
 
 @pytest.mark.parametrize("ranges", [2, 8, 64])

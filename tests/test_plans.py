@@ -78,23 +78,25 @@ def test_same_rows_under_any_partitioning(spark, sf_dir):
     assert results[0] == results[1] == results[2]
 
 
-def test_values_meet_the_fences_by_range(spark, sf_dir):
-    """With no broadcast, only summed rows are brought together by the group alone."""
-    from venuekit.operators import distribution
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        lines = V.table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("grp"), "l_extendedprice")
-        plan = plan_of(distribution.box_stats(lines, "l_extendedprice", ["grp"]))
-        assert "SortMergeJoin [grp" in plan
-        joined = [line for line in plan.splitlines() if "SortMergeJoin" in line]
-        assert "_range" in joined[0]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_density_lays_out_no_row_for_each_value_and_point(spark, sf_dir):
-    assert "Generate" not in plan_of(QUERIES["kde_growth"](spark, sf_dir))
+def test_values_are_not_exchanged_for_their_order(spark, sf_dir):
+    """Each pass of the selection shuffles counts by bucket."""
+    from venuekit.operators import radix
+
+    lines = V.table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("grp"), "l_extendedprice")
+    keys = radix.keyed_values(lines, "l_extendedprice", ["grp"])
+    plan = plan_of(radix._counted(keys.withColumn("top", F.lit(0).cast("long")), ["grp"], 52))
+    assert plan.count("Exchange") == 1 and "Sort" not in plan
+    assert plan.index("Exchange") < plan.index("partial_count") < plan.index("Scan parquet")
+
+
+def test_density_lays_out_cells_and_no_values(spark, sf_dir):
+    plan = plan_of(QUERIES["kde_growth"](spark, sf_dir)).split("Subquery")[0]
+    assert plan.count("Generate") == 1 and plan.index("Generate") < plan.index("partial_sum(pow") if "partial_sum(pow" in plan else True
+
+
+def test_category_ranks_use_no_single_task(spark, sf_dir):
+    plan = plan_of(QUERIES["city_index"](spark, sf_dir))
+    assert "SinglePartition" not in plan and "Window" in plan
 
 
 def test_auc_reads_its_input_once(spark, sf_dir):

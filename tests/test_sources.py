@@ -268,6 +268,39 @@ def test_saved_model_scores_the_same(spark, tmp_path):
     assert a and a == {r.business_id: r.score for r in again.collect()}
 
 
+ODD = [
+    '{"business_id":"n1","stars":NaN}', '{"business_id":"n2","stars":-Infinity,"other":NaN}', '{"business_id":"n3","useful":NaN}',
+    '{"business_id":"n4","text":"says NaN, and: Infinity}"}', '{"business_id":5,"stars":"4.5"}', '{"business_id":"123","stars":4}',
+    '{"business_id":"true","text":"[1]"}', '{"business_id":{"a":1}}', '["business_id"]', '{"business_id":"x"} tail', "7", "", "{}",
+    '{"business_id":"t","text":null,"useful":1.5}',
+]
+
+
+def test_lenient_reader_keeps_bare_nan_and_odd_values(spark, tmp_path):
+    got = T.read_lenient(spark, write_lines(tmp_path, ODD), S.REVIEW).select("business_id", "stars", "text", "useful").collect()
+    by = {r.business_id: r for r in got}
+    assert {"n1", "n2", "n3", "n4", "123", "true", "t"} <= set(by)
+    assert by["n1"].stars != by["n1"].stars and by["n2"].stars == float("-inf") and by["n3"].useful is None
+    assert by["n4"].text == "says NaN, and: Infinity}" and by["true"].text == "[1]" and by["123"].stars == 4.0
+    # a number and an object in place of text are null, and their lines stay
+    assert sum(r.business_id is None for r in got) >= 3 and any(r.business_id is None and r.stars == 4.5 for r in got)
+
+
+def test_typed_and_untyped_parse_agree(spark):
+    """Every line judged as the value-by-value parse alone judges it."""
+    lines = spark.createDataFrame([(x,) for x in [*LINES, *ODD, None]], "value string")
+    required = ["business_id", "stars"]
+    fast = T.check_lines(lines, S.REVIEW, required, typed=["text"]).collect()
+    whole = T._parsed
+    try:
+        T._parsed = lambda *a: whole(*a).withColumn("_odd", F.lit(True)).withColumn("_v", F.from_json("_line", T._untyped(S.REVIEW)))
+        slow = T.check_lines(lines, S.REVIEW, required, typed=["text"]).collect()
+    finally:
+        T._parsed = whole
+    assert [repr(r) for r in fast] == [repr(r) for r in slow]
+    assert {r._reason for r in fast} >= {None, "parse_error", "missing_stars"}
+
+
 def test_lenient_rows_do_not_depend_on_the_selection(spark, tmp_path):
     lines = ['{"review_id":"r1","stars":4}', '{"review_id":"r2","stars":"many"}', '{"review_id":"r3","stars":"3"}', '{"review_id":']
     df = T.read_lenient(spark, write_lines(tmp_path, lines), S.REVIEW)

@@ -11,10 +11,11 @@ from venuekit.operators import activity as A
 from venuekit.operators import places as P
 from venuekit.operators import reviews as R
 from venuekit.plans import datasets as D
+from venuekit.schema import WEEKDAYS
 from venuekit.sinks.text import sentiment_line as to_line
 from venuekit.sources.tables import corrupt_counts, valid_records
 
-WEEK = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+WEEK = list(WEEKDAYS)
 
 # A second lexicon of words that are frequent in the supplied text.
 COMMON_POSITIVE = ["the", "and"]

@@ -14,6 +14,7 @@ from venuekit.operators import success as S
 from venuekit.operators.ranks import attach
 from venuekit.operators.sampling import split
 from venuekit.plans import datasets as D
+from venuekit.plans import forests as O
 from venuekit.plans import models as M
 from venuekit.session import materialize, new_path
 from venuekit.sinks.tables import save_model
@@ -42,6 +43,13 @@ def state_index(spark, d):
     return D.state_index(geo(spark, d).select("business_id", "state"))
 
 
+@query("city_index", """
+select city, cast(row_number() over (order by count(*) desc, city) - 1 as double) as city_idx
+from geo_v where city is not null group by city""", "geo_v")
+def city_index(spark, d):
+    return D.state_index(geo(spark, d).select("business_id", "city"), "city", "city_idx")
+
+
 @query("fallback_dataset", f"""
 select business_id, stars, review_count, is_open, city, state, success, wifi_share as has_wifi, takes_credit_cards,
        (select count(*) from review_v r where r.business_id = f.business_id) as reviews_seen,
@@ -90,6 +98,15 @@ def flip_labels(spark, d):
     return D.flip_labels(analysis(spark, d)).select("business_id", "success")
 
 
+@query("flip_exact", """
+select business_id,
+       case when row_number() over (order by md5('123:' || business_id)) <= floor(count(*) over () * 0.1)
+            then 1 - success else success end as success
+from analysis_v""", "analysis_v")
+def flip_exact(spark, d):
+    return D.flip_labels_exactly(analysis(spark, d)).select("business_id", "success")
+
+
 def _noise(column):
     radius = f"sqrt(-2.0 * ln(1.0 - {_U.format(seed=f'42/{column}/r', key='business_id')}))"
     angle = f"cos(2.0 * pi() * {_U.format(seed=f'42/{column}/a', key='business_id')})"
@@ -211,28 +228,29 @@ def linreg_one(spark, d):
     )
 
 
-def _weights(fit):
-    """What holds for the feature weights of any forest: one a feature, none negative, sum 1."""
-    return fit.ranking.agg(
-        F.count("feature").alias("n_features"), F.round(F.sum("importance"), 6).alias("importance_sum"),
-        (F.min("importance") >= 0).alias("none_negative"),
-    )
+_TEST = f"{_U.format(seed=42, key='business_id')} >= {{}}"
 
 
-def _forest_facts(fit, low, high):
-    """Test rows, those with a prediction in the label's range, and the facts about the weights."""
-    scored = fit.predictions.agg(
-        F.count(F.lit(1)).alias("n_test"),
-        F.count_if(F.col("prediction").between(low, high)).alias("n_in_range"),
+def _by_label(scored, label, in_train):
+    """Rows by label on the training and the test side, and the test rows with a prediction, a label that there is."""
+    return scored.groupBy(F.col(label).cast("double").alias("label")).agg(
+        F.count_if(in_train).alias("n_train"), F.count_if(~in_train).alias("n_test"),
+        F.count_if(~in_train & F.col("prediction").isNotNull()).alias("n_predicted"),
     )
-    return attach(scored, _weights(fit), ())
 
 
-def _forest_sql(view, features):
-    test = f"count(*) filter ({_U.format(seed=42, key='business_id')} >= 0.8)"
+def _by_label_sql(view, label, share):
+    test = f"count(*) filter ({_TEST.format(share)})"
     return f"""
-select {test} as n_test, {test} as n_in_range, cast({features} as bigint) as n_features, 1.0::double as importance_sum,
-       true as none_negative from {view}"""
+select cast({label} as double) as label, count(*) - {test} as n_train, {test} as n_test, {test} as n_predicted
+from {view} group by {label}"""
+
+
+def _fitted_by_label(fit, data, label):
+    """A fit keeps the predictions of the test side only."""
+    train = split(data, "business_id", M.TRAIN_SHARE, M.SEED)[0].select(label, F.lit(None).cast("double").alias("prediction"))
+    both = train.withColumn("is_train", F.lit(True)).union(fit.predictions.select(label, "prediction", F.lit(False)))
+    return _by_label(both, label, F.col("is_train"))
 
 
 _SPLIT = f"""count(*) filter ({_U.format(seed=42, key='business_id')} < 0.8) as n_train,
@@ -257,57 +275,112 @@ def linreg_stars(spark, d):
     return attach(trained, fit.predictions.agg(F.count(F.lit(1)).alias("n_test")), ())
 
 
-@query("rf_success", _forest_sql("analysis_v", len(M.ANALYSIS_FEATURES)), "analysis_v")
+@query("rf_success", _by_label_sql("analysis_v", "success", 0.8), "analysis_v")
 def rf_success(spark, d):
-    return _forest_facts(M.forest_success(materialize(analysis(spark, d), "analysis")), 0, 1)
+    data = materialize(analysis(spark, d), "analysis")
+    return _fitted_by_label(M.forest_success(data), data, "success")
 
 
-@query("rf_success_wide", _forest_sql("model_v", 7), "model_v")
+@query("rf_success_wide", _by_label_sql("model_v", "success", 0.8), "model_v")
 def rf_success_wide(spark, d):
-    return _forest_facts(M.forest_success_wide(stored_model_data(spark, d)), 0, 1)
+    data = stored_model_data(spark, d)
+    return _fitted_by_label(M.forest_success_wide(data), data, "success")
 
 
-@query("rf_stars", _forest_sql("model_v", 7), "model_v")
+@query("rf_stars", _by_label_sql("model_v", "stars", 0.8), "model_v")
 def rf_stars(spark, d):
-    return _forest_facts(M.forest_stars(stored_model_data(spark, d)), 0, 5)
+    data = stored_model_data(spark, d)
+    return _fitted_by_label(M.forest_stars(data), data, "stars")
+
 
+OPEN_FEATURES = ["stars", "review_count", "has_wifi", "state_idx", "avg_growth_rate", "avg_star_change", "years_with_data"]
 
-@query("logit_open", f"""
-select {_SPLIT}, 7::bigint as n_features,
-       round(avg(is_open) filter ({_U.format(seed=42, key='business_id')} < 0.8), 2) as mean_score from model_v""", "model_v")
+
+@query("logit_open", " union all ".join(
+    f"""select '{f}' as feature, {_SPLIT}, 0.0::double as gradient from model_v""" for f in OPEN_FEATURES), "model_v")
 def logit_open(spark, d):
-    # at the optimum, with an intercept that is not penalised, the mean score is the share of the label
+    # at the optimum each feature's gradient, in units of its spread and with the penalty, is 0
     data = stored_model_data(spark, d)
     fit = M.logistic_open(data)
-    scored = M.with_score(fit.model.transform(split(data, "business_id", M.TRAIN_SHARE, M.SEED)[0]))
-    trained = scored.agg(F.count(F.lit(1)).alias("n_train"), F.round(F.avg("score"), 2).alias("mean_score"))
+    last = fit.model.stages[-1]
+    train, _ = split(data, "business_id", M.TRAIN_SHARE, M.SEED)
+    scored = M.with_score(fit.model.transform(train))
+    spread = scored.agg(*[F.stddev(f).alias(f"sd_{f}") for f in fit.features])
+    miss = F.col("score") - F.col("is_open")
+    slopes = attach(scored, spread, ()).agg(
+        F.count(F.lit(1)).alias("n_train"),
+        *[F.avg(miss * F.coalesce(F.try_divide(f, f"sd_{f}"), F.lit(0.0))).alias(f) for f in fit.features],
+        *[F.max(f"sd_{f}").alias(f"sd_{f}") for f in fit.features],
+    )
+    penalty = last.getRegParam()
+    each = F.array(*[
+        F.struct(F.lit(f).alias("feature"), (F.col(f) + penalty * float(w) * F.col(f"sd_{f}")).alias("gradient"))
+        for f, w in zip(fit.features, last.coefficients, strict=True)
+    ])
     tested = fit.predictions.agg(F.count(F.lit(1)).alias("n_test"))
-    return attach(attach(trained, tested, ()), fit.ranking.agg(F.count("feature").alias("n_features")), ())
+    return attach(slopes, tested, ()).select("n_train", "n_test", F.inline(each)).select(
+        "feature", "n_train", "n_test", F.abs(F.round("gradient", 3)).alias("gradient")
+    )
 
 
-@query("rf_holdout", f"""
-select count(*) as n, count(*) filter ({_U.format(seed=42, key='business_id')} >= 0.7) as n_in_range,
-       7::bigint as n_features, 1.0::double as importance_sum, true as none_negative from model_v""", "model_v")
+@query("rf_holdout", _by_label_sql("model_v", "success", 0.7), "model_v")
 def rf_holdout(spark, d):
     fit = M.holdout_forest(stored_model_data(spark, d))
-    scored = fit.predictions.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isin(0, 1)).alias("n_in_range")
-    )
-    return attach(scored, _weights(fit), ())
+    return _by_label(fit.predictions, "success", F.col("is_train"))
 
 
-@query("feature_rank", """
-select feature, true as ranked from (values ('review_count'), ('is_open'), ('has_wifi'), ('state_idx'), ('avg_growth_rate'),
-  ('avg_star_change'), ('years_with_data')) as f(feature)
-union all select 'sum', true""")
+@query("feature_rank")
 def feature_rank(spark, d):
-    # each feature with whether its weight is a share, and whether all shares make 1
-    ranking = M.holdout_forest(stored_model_data(spark, d)).ranking
-    return ranking.select("feature", F.col("importance").between(0, 1).alias("ranked")).unionByName(
-        ranking.agg(F.lit("sum").alias("feature"), (F.round(F.sum("importance"), 6) == 1).alias("ranked"))
+    """Rank and importance of each feature of the dashboard's forest, from its table of nodes."""
+    fit = M.holdout_forest(stored_model_data(spark, d))
+    return O.with_ranks(O.importances(O.forest_nodes(fit.model, fit.features)), fit.features)
+
+
+@query("forest_routing", f"""
+select cast(success as double) as label, count(*) as n_test, count(*) as n_equal
+from model_v where {_TEST.format(0.7)} group by success""", "model_v")
+def forest_routing(spark, d):
+    # rows that the table of nodes predicts as the model does
+    fit = M.holdout_forest(stored_model_data(spark, d))
+    nodes = O.forest_nodes(fit.model, fit.features)
+    tested = fit.predictions.where("not is_train")
+    routed = O.route(tested, nodes, fit.features, classes=2, column="routed")
+    return routed.groupBy(F.col("success").alias("label")).agg(
+        F.count(F.lit(1)).alias("n_test"), F.count_if(F.col("routed") == F.col("prediction")).alias("n_equal")
     )
 
 
+def _fits(spark, d):
+    """The six models by name."""
+    first, wide = materialize(analysis(spark, d), "analysis"), stored_model_data(spark, d)
+    return {
+        "linear_stars": M.linear_stars(first), "forest_success": M.forest_success(first),
+        "forest_success_wide": M.forest_success_wide(wide), "forest_stars": M.forest_stars(wide),
+        "logistic_open": M.logistic_open(wide), "holdout_forest": M.holdout_forest(wide),
+    }
+
+
+@query("model_metrics")
+def model_metrics(spark, d):
+    """Every metric of every model, a row each."""
+    made = None
+    for name, fit in _fits(spark, d).items():
+        each = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in fit.metrics.columns])
+        part = fit.metrics.select(F.lit(name).alias("model"), F.inline(each))
+        made = part if made is None else made.unionByName(part)
+    return rounded(made)
+
+
+@query("model_rankings")
+def model_rankings(spark, d):
+    """Rank and weight of the features of every model."""
+    made = None
+    for name, fit in _fits(spark, d).items():
+        part = O.with_ranks(fit.ranking, fit.features).select(F.lit(name).alias("model"), "rank", "feature", "importance")
+        made = part if made is None else made.unionByName(part)
+    return rounded(made)
+
+
 @query("holdout_predictions", f"""
 select business_id, {_U.format(seed=42, key='business_id')} < 0.7 as is_train,
        {_U.format(seed=42, key='business_id')} >= 0.7 as has_prediction, success from model_v""", "model_v")

@@ -6,9 +6,11 @@ from venue_queries import views as V
 from venue_queries.io import geo
 from venue_queries.registry import query, r, rounded
 from venuekit.functions.hashing import unit_hash
+from venuekit.operators import clusters as Q
 from venuekit.operators import places as P
 from venuekit.operators import reviews as R
 from venuekit.operators import sampling as SM
+from venuekit.operators import selection as SE
 from venuekit.session import new_path
 from venuekit.sinks import tables as K
 
@@ -144,3 +146,29 @@ def hash_split(spark, d):
 select event_id, {r(_U.format(seed=7, key='event_id'))} as u from events""")
 def unit_hash_values(spark, d):
     return rounded(V.table(spark, d, "events").select("event_id", unit_hash(F.col("event_id"), 7).alias("u")))
+
+
+@query("sample_exact", """
+select business_id, state from (
+    select *, row_number() over (order by md5('42:' || business_id)) as place, count(*) over () as n from geo_v
+) where place <= floor(n * 0.25)""", "geo_v")
+def sample_exact(spark, d):
+    return SE.sample_exactly(geo(spark, d).select("business_id", "state"), "business_id", share=0.25)
+
+
+@query("map_clusters", f"""
+with p as (
+    select *, least(greatest(floor((longitude + 180.0) / 360.0 * 4096), 0), 4095)::bigint as x,
+           least(greatest(floor((latitude + 90.0) / 180.0 * 4096), 0), 4095)::bigint as y
+    from business_v where latitude is not null and longitude is not null
+), l as (
+    select *, level, [(x >> (12 - level)) >> i & 1 for i in range(12)] as xs, [(y >> (12 - level)) >> i & 1 for i in range(12)] as ys
+    from p, range(13) r(level)
+), c as (
+    select *, list_sum([(xs[i] << (2 * i - 2)) + (ys[i] << (2 * i - 1)) for i in range(1, 13)]) as cell from l
+)
+select cast(level as int) as level, cast(cell as bigint) as cell, count(*) as n, {r('avg(latitude)')} as center_lat,
+       {r('avg(longitude)')} as center_lon, {r('avg(stars)')} as avg_stars, count(*) filter (is_open = 1) as n_open
+from c group by level, cell""", "business_v")
+def map_clusters(spark, d):
+    return rounded(Q.map_clusters(V.businesses(spark, d)))

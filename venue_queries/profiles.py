@@ -1,12 +1,21 @@
 """Headline figures, success rates, ratings by state and opening hours."""
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from venue_queries import views as V
 from venue_queries.growth import metrics as growth_metrics
+from venue_queries.growth import timed
 from venue_queries.io import geo
 from venue_queries.registry import query, r, rounded
+from venuekit.operators import growth as G
 from venuekit.operators import hours as H
 from venuekit.operators import success as S
 from venuekit.plans import datasets as D
+from venuekit.plans import refresh as RF
+from venuekit.session import new_path
+from venuekit.sinks.tables import write_bucketed
 
 WEEK = list(V.CLOSED_EVERY)
 
@@ -23,6 +32,46 @@ def analysis_dataset(spark, d):
     return rounded(analysis(spark, d))
 
 
+def _bucketed(spark, d):
+    """Businesses and reviews in buckets by business_id, under names of their own."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"venuekit_{uuid.uuid4().hex}"
+    return (
+        write_bucketed(V.businesses(spark, d), f"{name}_business", "business_id", width),
+        write_bucketed(timed(spark, d), f"{name}_review", "business_id", width),
+    )
+
+
+@query("bucketed_analysis", f"""
+select business_id, stars, {r('avg_review_stars')} as avg_review_stars, {r('avg_useful')} as avg_useful, success,
+       {r('avg_growth_rate')} as avg_growth_rate, coalesce(years_with_data, 0) as years_with_data
+from analysis_v left join growth_v using (business_id)""", "analysis_v", "growth_v")
+def bucketed_analysis(spark, d):
+    # joins and summaries by business from tables that are stored by business
+    business, reviews = _bucketed(spark, d)
+    data = D.analysis_from(business, reviews).join(G.review_growth(reviews), "business_id", "left").select(
+        "business_id", "stars", "avg_review_stars", "avg_useful", "success", "avg_growth_rate",
+        F.coalesce("years_with_data", F.lit(0)).alias("years_with_data"),
+    )
+    return rounded(data)
+
+
+@query("refresh_equals_rebuild", f"""
+select business_id, count(*) as review_count, {r('avg(stars)')} as avg_review_stars, {r('avg(useful)')} as avg_useful,
+       {r('avg(funny)')} as avg_funny, {r('avg(cool)')} as avg_cool from review_v group by business_id""", "review_v")
+def refresh_equals_rebuild(spark, d):
+    # an old dump, which lacks some reviews of two years; then these years anew
+    reviews = timed(spark, d)
+    late = F.col("review_year").isin(1994, 1997)
+    path = new_path(spark, "states")
+    RF.refresh(reviews.where(~late | (F.col("review_id") % 3 > 0)), path)
+    RF.refresh(reviews, path, [1994, 1997])
+    summary = RF.merged(spark.read.parquet(path))
+    return rounded(summary.select(
+        "business_id", "review_count", "avg_review_stars", "avg_useful", "avg_funny", "avg_cool"
+    ))
+
+
 @query("kpis", f"""
 select count(*) as businesses, {r('avg(stars)')} as avg_rating,
        {r('avg(case when is_open = 1 then 1.0 else 0.0 end) * 100')} as open_pct, {r('avg(success) * 100')} as success_pct

@@ -122,8 +122,9 @@ def with_views(body: str, *names: str) -> str:
         add(name)
     views = ",\n".join(f"{name} as ({SQL[name].strip()}\n)" for name in ordered)
     body = body.strip()
-    joiner = ",\n" + body[5:] if body.lower().startswith("with ") else "\n" + body
-    return f"with {views}{joiner}"
+    start = "with recursive" if body.lower().startswith("with recursive ") else "with"
+    joiner = ",\n" + body[len(start) + 1 :] if body.lower().startswith("with ") else "\n" + body
+    return f"{start} {views}{joiner}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -8,14 +8,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuekit.operators.ranks import attach, attach_by_range, exact_quantiles, value_counts
+from venuekit.operators.radix import keyed_values, quantiles, small
+from venuekit.operators.ranks import attach
 from venuekit.operators.sampling import sample_rows
+from venuekit.session import discard, materialize
 
 
 # A value's place among the bins is rounded to this many digits of a bin: a mean that lies on an edge then falls in the
 # same bin whatever order its sum was formed in, and however small the range is.
 PLACE_DIGITS = 9
 
+# Moments of a cell of the density curve, and the bandwidths beyond which a cell has no part in a grid point.
+TERMS = 16
+REACH = 9
+
 
 def _known(df: DataFrame, column: str) -> DataFrame:
     v = F.col(column).cast("double")
@@ -56,10 +62,12 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 
 def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
-    """Gaussian density over [min, max] on a grid, bandwidth by Scott's rule.
+    """Gaussian density over [min, max] on a grid, bandwidth by Scott's rule, by the fast Gauss transform.
 
-    One aggregate with a sum for each grid point over the distinct values, combined before the shuffle; the grid is laid
-    out only afterwards. Without spread there is no bandwidth and the density is null.
+    Values are gathered into cells one bandwidth wide with their first ``TERMS`` moments about the cell's centre, one pass
+    with partial aggregation, and each grid point is evaluated from the moments of the cells within ``REACH`` bandwidths by a
+    Hermite series. The cost is rows x terms + cells x points, however many distinct values there are. A kernel is off by
+    less than 1e-11 of its peak: 5e-12 for the terms left out, half a cell from the centre, and 3e-18 for cells beyond reach. Without spread there is no bandwidth and the density is null.
     """
     values = _known(df, column)
     spread = values.agg(
@@ -68,47 +76,76 @@ def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
         F.min("v").alias("lo"),
         F.max("v").alias("hi"),
     ).withColumn("step", (F.col("hi") - F.col("lo")) / (points - 1))
-    weighed = attach(value_counts(values, "v"), spread, ())
-    # the grid in units of the bandwidth, counted from the smallest value
-    scaled = weighed.select(
-        "n", F.try_divide(F.col("v") - F.col("lo"), F.col("bandwidth")).alias("z"),
-        F.try_divide("step", "bandwidth").alias("dz"),
+    # in bandwidths from the smallest value; a cell's centre is half a bandwidth above its edge
+    placed = attach(values, spread, ()).select(
+        F.try_divide(F.col("v") - F.col("lo"), F.col("bandwidth")).alias("z"), F.try_divide("step", "bandwidth").alias("dz")
+    ).where(F.col("z").isNotNull()).withColumn("cell", F.floor("z"))
+    off = ((F.col("z") - F.col("cell") - 0.5) / math.sqrt(2)).alias("off")
+    powers = [F.lit(1.0)]
+    for _ in range(TERMS - 1):
+        powers.append(powers[-1] * F.col("off"))
+    cells = placed.select("cell", "dz", off).groupBy("cell", "dz").agg(
+        F.array(*[F.sum(x) / math.factorial(k) for k, x in enumerate(powers)]).alias("moments")
+    )
+    centre, dz = F.col("cell") + 0.5, F.col("dz")
+    near = F.sequence(
+        F.greatest(F.ceil((centre - REACH) / dz), F.lit(0)).cast("int"),
+        F.least(F.floor((centre + REACH) / dz), F.lit(points - 1)).cast("int"),
     )
-    sums = scaled.agg(
-        F.expr("array(" + ", ".join(
-            f"sum(n * exp(-0.5 * (z - {i} * dz) * (z - {i} * dz)))" for i in range(points)
-        ) + ")").alias("kernels")
+    met = cells.select(centre.alias("centre"), "dz", "moments", F.explode(near).alias("point")).withColumn(
+        "y", (F.col("point") * dz - F.col("centre")) / math.sqrt(2)
     )
+    sums = met.groupBy("point").agg(F.sum(_hermite_sum(F.col("moments"), F.col("y"))).alias("kernels"))
     scale = F.col("total") * F.col("bandwidth") * math.sqrt(2 * math.pi)
     grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
-    return attach(attach(grid, spread, ()), sums, ()).select(
+    # at most one row a grid point
+    return attach(grid.join(F.broadcast(sums), "point", "left"), spread, ()).select(
         "point", (F.col("lo") + F.col("step") * F.col("point")).alias("x"),
-        F.try_divide(F.get("kernels", F.col("point")), scale).alias("density"),
+        F.try_divide(F.coalesce("kernels", F.lit(0.0)), scale).alias("density"),
     ).where(F.col("x").isNotNull())
 
 
+def _hermite_sum(moments: Column, y: Column) -> Column:
+    """The sum over k of moment k times the Hermite function k at ``y``, by the recursion of these functions."""
+    state = F.struct(
+        F.lit(0.0).alias("before"), F.exp(-y * y).alias("here"), F.lit(0).alias("k"), F.lit(0.0).alias("sum")
+    )
+    step = lambda s, m: F.struct(
+        s["here"].alias("before"), (2 * y * s["here"] - 2 * s["k"] * s["before"]).alias("here"), (s["k"] + 1).alias("k"),
+        (s["sum"] + m * s["here"]).alias("sum"),
+    )
+    return F.aggregate(moments, state, step, lambda s: s["sum"])
+
+
 def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Quartiles, Tukey whiskers (furthest datum within 1.5 interquartile ranges) and outliers per group."""
+    """Quartiles, Tukey whiskers (furthest datum within 1.5 interquartile ranges) and outliers per group.
+
+    Quartiles by radix selection (see ``radix``), whiskers and outliers in one pass more; the values themselves are stored
+    once and never shuffled, unless there are more groups than a task can look up. The passes run before this returns.
+    """
     by = list(by)
-    freq = value_counts(df, value, by)
-    quartiles = exact_quantiles(freq, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+    keys = keyed_values(df, value, by)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fences = quartiles.withColumnRenamed("n", "total").withColumns(
-        {"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach}
+    quartiles = materialize(
+        quantiles(keys, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by).withColumns(
+            {"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach}
+        ),
+        "quartiles",
     )
     inside = F.col("v").between(F.col("low_fence"), F.col("high_fence"))
-    names = ["total", "q1", "median", "q3"]
-    return (
-        attach_by_range(freq, fences, by)
-        .groupBy(*by)
-        .agg(
+    names = ["n", "q1", "median", "q3"]
+    fenced = keys.join(small(quartiles), by) if by else attach(keys, quartiles, ())
+    made = materialize(
+        fenced.groupBy(*by).agg(
             *[F.max(c).alias(c) for c in names],
             F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
-        )
-        .withColumnRenamed("total", "n")
+            F.count_if(~inside).alias("outliers"),
+        ),
+        "boxes",
     )
+    discard(keys, quartiles)
+    return made
 
 
 def scatter_points(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from venuekit.functions.encode import RATING_BANDS_4, main_category, place_label, rating_band
 from venuekit.operators.sampling import sample_fraction, sample_rows
+from venuekit.sinks.text import escaped
 
 # Sizes of the top lists and of the map extracts.
 TOP_STATES = 10
@@ -35,10 +36,11 @@ def location_directory(business: DataFrame, categories: str = "category_array")
 
 
 def directory_line(directory: DataFrame) -> DataFrame:
-    """Directory rows as text: location and ``id|name|category|stars|reviews``."""
+    """Directory rows as text: location and ``id|name|category|stars|reviews``; signs that would break a field are escaped."""
     fields = ["business_id", "name", "main_category", "stars", "review_count"]
     return directory.select(
-        "location", "business_id", F.concat_ws("|", *[F.col(c).cast("string") for c in fields]).alias("line")
+        escaped(F.col("location")).alias("location"), "business_id",
+        F.concat_ws("|", *[escaped(F.col(c).cast("string")) for c in fields]).alias("line"),
     )
 
 

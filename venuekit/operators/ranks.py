@@ -1,4 +1,4 @@
-"""Running totals and exact quantiles over ordered values, without sorting a group in one task.
+"""Running totals and ranks over ordered values, without sorting a group in one task.
 
 Rows are first reduced to one per distinct value and group. The value axis is then cut into ranges of about equally
 many such rows, the same cuts for all groups. Each (group, range) is summed and sorted on its own, and a row's running
@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from venuekit.session import materialize
+
 # Ranges follow the session's shuffle width between these bounds: more would only lengthen the search expression.
 FEWEST_RANGES = 64
 MOST_RANGES = 1024
@@ -108,51 +110,18 @@ def running_totals(
     return _inside(ranged.join(_range_totals(ranged, weights, by), [*by, "_range"]), weights, by)
 
 
-def exact_quantiles(
-    freq: DataFrame, probabilities: dict[str, float], by: Sequence[str] = (), ranges: int | None = None
-) -> DataFrame:
-    """Linearly interpolated quantiles per group from ``value_counts`` rows, one column per name.
+def ranked(df: DataFrame, order: Sequence[Column | str], column: str = "rank") -> DataFrame:
+    """Each row's place, from 0, in the order given, which must be total.
 
-    Only the ranges that hold a wanted rank are sorted.
+    Rows are dealt to ranges of the order, stored, and numbered inside each range on top of the ranges before it; no task
+    sees more than about one range. The ranges, as many as a shuffle has partitions, are counted before this returns.
     """
-    by = list(by)
-    ranged = _ranged(freq, ["n"], ranges)
-    totals = _range_totals(ranged, ["n"], by)
-
-    def place(p: float) -> Column:
-        return (F.col("all_n") - 1) * F.lit(float(p))
-
-    wanted = F.lit(False)
-    for p in probabilities.values():
-        low, end = F.floor(place(p)), F.col("_upto_n") + F.col("_here_n")
-        wanted = wanted | ((F.col("_upto_n") <= low + 1) & (low < end))
-    ranked = _inside(ranged.join(totals.filter(wanted), [*by, "_range"]), ["n"], by)
-
-    def at(rank: Column) -> Column:
-        held = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
-        return F.max(F.when(held, F.col("v")))
-
-    parts = []
-    for name, p in probabilities.items():
-        low = F.floor(place(p))
-        high = F.least(low + 1, F.col("all_n") - 1)
-        parts += [at(low).alias(f"{name}_lo"), at(high).alias(f"{name}_hi"), F.max(place(p) - low).alias(f"{name}_f")]
-    found = ranked.groupBy(*by).agg(*parts, F.max("all_n").alias("n"))
-    return found.select(
-        *by,
-        "n",
-        *[
-            (F.col(f"{q}_lo") + (F.col(f"{q}_hi") - F.col(f"{q}_lo")) * F.col(f"{q}_f")).alias(q)
-            for q in probabilities
-        ],
-    )
-
-
-def attach_by_range(freq: DataFrame, summary: DataFrame, by: Sequence[str], ranges: int | None = None) -> DataFrame:
-    """``attach`` for few, large groups: the summary goes to each (group, range) first and meets the values there, so that
-    no task has to hold a whole group."""
-    if not by:
-        return attach(freq, summary, by)
-    ranged = _ranged(freq, ["n"], ranges)
-    spread = ranged.select(*by, "_range").distinct().join(summary, list(by))
-    return ranged.join(spread, [*by, "_range"]).drop("_range")
+    spark = df.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(df.repartitionByRange(width, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before, total = {}, 0
+    for row in sorted(placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()):
+        before[row["_range"]], total = total, total + row.n
+    start = F.get(F.lit([before.get(i, 0) for i in range(max(before, default=0) + 1)]), F.col("_range"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return placed.withColumn(column, (start + inside - 1).cast("long")).drop("_range")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType, StringType
 
@@ -19,9 +19,11 @@ from venuekit.functions.encode import (
     wifi_ordinal,
 )
 from venuekit.functions.hashing import normal_hash, unit_hash
-from venuekit.operators.ranks import attach
+from venuekit.operators.ranks import attach, ranked
 from venuekit.operators.reviews import review_summary, review_votes
+from venuekit.operators.selection import flag_smallest
 from venuekit.schema import ATTRIBUTES_TYPE, BUSINESS, HOURS_TYPE
+from venuekit.session import materialize
 from venuekit.sources.tables import optional_column
 
 # Defaults for missing analysis and growth figures.
@@ -142,11 +144,12 @@ def fallback_dataset(business: DataFrame, reviews: DataFrame) -> DataFrame:
 def state_index(df: DataFrame, column: str = "state", out: str = "state_idx") -> DataFrame:
     """(column, out): each category's place by descending frequency, ties alphabetical, from 0. Null is no category.
 
-    A frame, so nothing is fetched or run until the result is used; one row a category is ranked.
+    The categories are counted and dealt to ranges of that order before this returns; a column of as many categories as rows
+    is ranked too, with no task for all of them.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.orderBy(F.col("_n").desc(), column)
-    return counts.select(column, (F.row_number().over(order) - 1).cast("double").alias(out))
+    places = ranked(counts, [F.col("_n").desc(), F.col(column)], "_place")
+    return places.select(column, F.col("_place").cast("double").alias(out))
 
 
 def model_dataset(
@@ -171,11 +174,16 @@ def model_dataset(
 
 
 def numeric_complete(df: DataFrame, key: str = "business_id", keep_key: bool = False) -> DataFrame:
-    """Numeric columns that are not all null, rows with no null among them. Tests emptiness with one aggregate row."""
+    """Numeric columns that are not all null, rows with no null among them.
+
+    The input is computed once, into a stored copy of these columns, before this returns: one aggregate row over the copy tells
+    which are empty, and the result reads it.
+    """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name != key]
-    filled = df.agg(*[F.count(c).alias(c) for c in numeric]).first()
+    stored = materialize(df.select(*([key] if keep_key else []), *numeric), "numeric")
+    filled = stored.agg(F.count(F.lit(1)), *[F.count(c).alias(c) for c in numeric]).first()
     used = [c for c in numeric if filled[c] > 0]
-    return df.select(*([key] if keep_key else []), *used).dropna("any", subset=used)
+    return stored.select(*([key] if keep_key else []), *used).dropna("any", subset=used)
 
 
 def flip_labels(
@@ -186,6 +194,15 @@ def flip_labels(
     return df.withColumn(label, flipped)
 
 
+def flip_labels_exactly(
+    df: DataFrame, key: str = "business_id", label: str = "success", fraction: float = 0.1, seed: int | str = 123
+) -> DataFrame:
+    """Swap the 0/1 label on ``floor(fraction * rows)`` rows, those with the smallest digest of their key."""
+    chosen = flag_smallest(df, key, share=fraction, seed=seed, column="_flip")
+    flipped = F.when(F.col("_flip"), 1 - F.col(label)).otherwise(F.col(label))
+    return chosen.withColumn(label, flipped).select(*df.columns)
+
+
 def add_noise(
     df: DataFrame, columns: Sequence[str], key: str = "business_id", level: float = 0.1, seed: int | str = 42
 ) -> DataFrame:

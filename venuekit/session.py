@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Engine settings the operators rely on. Shuffle width is left to AQE coalescing: start wide, merge small partitions.
+# Engine settings the operators rely on. The shuffle width is the session's own: set it to the size of the input.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -33,10 +33,17 @@ def get_session(app_name: str = "venuekit", master: str | None = None, **conf: s
 def work_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, by one rule on every master.
 
-    ``spark.checkpoint.dir`` if it is set, else a folder in the warehouse, which the driver and the executors share too.
+    ``spark.checkpoint.dir`` if it is set, else a folder in the warehouse. A warehouse on a machine's own disk is shared with
+    executors only where these run on that machine; elsewhere the caller has to name a folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_venuekit"
+    if shared:
+        return shared
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    scheme = warehouse.split(":", 1)[0] if ":" in warehouse else "file"
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors reach: the warehouse {warehouse} is local")
+    return warehouse + "/_venuekit"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

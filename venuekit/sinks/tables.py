@@ -57,3 +57,14 @@ def save_model(model: MLWritable, *paths: str) -> str:
         except (Py4JJavaError, PySparkException) as error:
             failure = error
     raise failure or ValueError("no path given")
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+    """Save as a table in ``buckets`` buckets by ``key``, sorted in each, and return it.
+
+    Tables in equally many buckets by the same key are joined and aggregated by it without an exchange. Rows are dealt to
+    the buckets before writing, so a bucket is one file.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)

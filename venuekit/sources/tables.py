@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType, StructField, StructType, VariantType
 
 REASON = "_reason"
+CORRUPT = "_corrupt"
+# A text that stands for itself without quotes: a number, a flag, an array or an object.
+BARE = r"^(?:-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|[\[{](?s:.*))$"
 
 
 def read_json_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -41,17 +44,51 @@ def _typed(value: Column, kind: DataType) -> Column:
     return F.try_variant_get(value, "$", kind.simpleString())
 
 
+def _strings(kind: StructType, path: str) -> list[str]:
+    """Paths of the text values of a schema."""
+    found = []
+    for f in kind.fields:
+        if isinstance(f.dataType, StructType):
+            found += _strings(f.dataType, f"{path}.{f.name}")
+        elif isinstance(f.dataType, StringType):
+            found.append(f"{path}.{f.name}")
+    return found
+
+
 def _parsed(lines: DataFrame, schema: StructType, line: str) -> DataFrame:
-    return lines.select(F.col(line).alias("_line"), F.from_json(F.col(line), _untyped(schema)).alias("_r"))
+    """(_line, _t, _odd, _v): each line parsed once by the declared types, and once more, value by value, if it is odd.
+
+    A line is odd if the typed parse failed in part of it, if it is no object in braces, if a text reads like a number, a flag or
+    a nested value, which the typed parse takes as text even without quotes, or if it has the letters of a number that JSON
+    does not know. Only for odd lines is ``_v`` filled in.
+    """
+    typed = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
+    text = F.col("_line")
+    once = lines.select(F.col(line).alias("_line")).withColumn(
+        "_t", F.from_json(text, typed, {"columnNameOfCorruptRecord": CORRUPT})
+    )
+    odd = F.col(f"_t.{CORRUPT}").isNotNull() | F.col("_t").isNull() | ~text.rlike(r"^\s*\{(?s:.*)\}\s*$")
+    for word in ("NaN", "Infinity"):
+        odd = odd | text.contains(word)
+    for path in _strings(schema, "_t"):
+        odd = odd | F.coalesce(F.col(path).rlike(BARE), F.lit(False))
+    marked = once.withColumn("_odd", F.coalesce(odd, F.lit(True)))
+    return marked.withColumn("_v", F.when(F.col("_odd"), F.from_json(text, _untyped(schema))))
 
 
 def read_lenient(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Scan JSON lines and skip those that cannot be decoded; a value of the wrong type is null.
 
-    Which lines stay does not depend on the columns that are asked for.
+    Bare NaN and Infinity are read as numbers. Which lines stay does not depend on the columns that are asked for.
     """
-    parsed = _parsed(spark.read.text(path), schema, "value").filter(_decodes(F.col("_line")))
-    return parsed.select(*[_typed(F.col(f"_r.{f.name}"), f.dataType).alias(f.name) for f in schema.fields])
+    parsed = _parsed(spark.read.text(path), schema, "value")
+    strict = F.when(F.col("_odd"), _decodes(F.col("_line"))).otherwise(True)
+    named = F.regexp_replace("_line", r"([:\[,]\s*)-?(?:NaN|Infinity)(?=\s*[,}\]])", "$1null")
+    loose = F.when(strict, True).otherwise(_decodes(named))
+    kept = parsed.withColumn("_strict", strict).filter(loose)
+    typed = [F.when(F.col("_odd") & F.col("_strict"), _typed(F.col(f"_v.{f.name}"), f.dataType)).otherwise(F.col(f"_t.{f.name}"))
+             .alias(f.name) for f in schema.fields]
+    return kept.select(*typed)
 
 
 def check_lines(
@@ -62,8 +99,8 @@ def check_lines(
     A required name may be a path into a struct (``location.city``). A line is corrupt when it is no JSON object, when a
     required value has the wrong type (text that is not quoted, a number that is neither one nor written as one), or when
     one is missing. ``typed`` names values that may be missing but must have their type; any others of the wrong type are
-    null. To count and keep records in one pass over the text, store
-    the result with its reasons; ``valid_records`` and ``corrupt_counts`` then read that copy.
+    null. Records and reasons come from the same pass over the text: store the result, and ``valid_records`` and
+    ``corrupt_counts`` read that copy.
     """
     parsed = _parsed(lines, schema, line)
     wrong, missing = ~_decodes(F.col("_line")), []
@@ -72,17 +109,19 @@ def check_lines(
         kind: DataType = schema
         for part in name.split("."):
             kind = kind[part].dataType
-        raw = F.col(f"_r.{name}")
+        raw = F.col(f"_v.{name}")
         given = raw.isNotNull() & ~F.coalesce(F.is_variant_null(raw), F.lit(True))
         wrong = wrong | (given & _typed(raw, kind).isNull())
         if name in required:
-            missing.append((name, ~given))
-    reason = F.when(F.col("_line").isNull() | wrong, F.lit("parse_error"))
+            missing.append((name, F.when(F.col("_odd"), ~given).otherwise(F.col(f"_t.{name}").isNull())))
+    reason = F.when(F.col("_line").isNull() | F.when(F.col("_odd"), wrong).otherwise(False), F.lit("parse_error"))
     for name, absent in missing:
         reason = reason.when(absent, F.lit(f"missing_{name}"))
-    return parsed.select(
-        *[_typed(F.col(f"_r.{f.name}"), f.dataType).alias(f.name) for f in schema.fields], reason.alias(REASON)
-    )
+    values = [
+        F.when(F.col("_odd"), _typed(F.col(f"_v.{f.name}"), f.dataType)).otherwise(F.col(f"_t.{f.name}")).alias(f.name)
+        for f in schema.fields
+    ]
+    return parsed.select(*values, reason.alias(REASON))
 
 
 def read_checked(spark: SparkSession, path: str, schema: StructType, required: Iterable[str]) -> DataFrame:
