@@ -198,9 +198,9 @@ def page_parts(html: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
     and tables are its own text; only other elements can be template there. Elsewhere every element can. All elements are
     counted, wherever they are and whatever their size.
 
-    An element's hash is that of its content and of the path of elements from the root to it; for text elements also of the
-    place of each element of the path among its neighbours, so that a heading or a line that comes up now here, now there is
-    none of the template.
+    An element's hash is that of its content; for text elements also that of the path of elements from the root to it, with the
+    place of each among its neighbours, so that a heading or a line that comes up now here, now there is none of the
+    template. What a host's pages say in the same words at just the same place is taken for template.
     """
     import html as entities
 
@@ -238,20 +238,19 @@ def page_parts(html: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         content[id(node)] = xxhash.xxh3_64_intdigest("\x1f".join(c for c in inner if c))
         return content[id(node)]
 
-    def place(node, path: int, spots: int) -> None:
-        """Hashes of the elements below with their paths, without and with places."""
+    def place(node, path: int) -> None:
+        """Hashes of the elements below, those of text elements with their paths."""
         spot = 0
         for child in node[2]:
             if type(child) is list:
                 spot += 1
-                own = xxhash.xxh3_64_intdigest(f"{path}/{child[0]}")
-                exact = xxhash.xxh3_64_intdigest(f"{spots}/{child[0]}/{spot}")
-                at = exact if child[0] in FLOW else own
+                own = xxhash.xxh3_64_intdigest(f"{path}/{child[0]}/{spot}")
+                at = own if child[0] in FLOW else ""
                 known[id(child)] = xxhash.xxh3_64_intdigest(f"{at}:{content[id(child)]}") >> 1
-                place(child, own, exact)
+                place(child, own)
 
     digest(root)
-    place(root, 0, 0)
+    place(root, 0)
     blocks: list[list] = []
     open_text: list[str] = []
 
