@@ -1,6 +1,9 @@
+import math
 import random
 import zlib
 
+import pytest
+
 from venuekit.llm import toxicity as T
 
 CLEAN = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe") for b in ("ra", "so", "ti", "vu", "xa", "ze")]
@@ -70,3 +73,36 @@ def test_learned_exception_phrases(spark, docs_of):
     assert " blue gromble " in model["exceptions"] and any(p.startswith(" grom") for p in model["lexicon"])
     texts = spark.createDataFrame([(1, "kara blue gromble lovu"), (2, "kara gromble lovu")], "doc_id long, text string")
     assert [r.predicted for r in T.score_texts(texts, model).orderBy("doc_id").collect()] == [0, 1]
+
+
+def plain_burden(model, text):
+    """Weights summed word by word; a word counts with its heaviest pattern, and not inside an exception."""
+    words = T.folder()(text).split()
+    total = 0.0
+    for i, word in enumerate(words):
+        spoken = {f" {word} "} | {f" {word[:n]}" for n in range(1, len(word) + 1)}
+        weights = [w for p, w in model["lexicon"].items() if p in spoken]
+        pairs = {f" {' '.join(words[i - 1 : i + 1])} " if i else "", f" {' '.join(words[i : i + 2])} "}
+        if weights and not pairs & set(model["exceptions"]):
+            total += max(weights)
+    return total / math.log2(8 + len(words))
+
+
+def test_scores_equal_weights_summed_word_by_word(spark, docs_of):
+    rng = random.Random(11)
+    docs, labels = corpus(rng, 200)
+    docs = [(i, t + (" blue gromble" if i % 9 == 0 else "")) for i, t in docs] + [(500, ""), (501, None), (502, "Gr0mble! gromble")]
+    model = T.train(*frames(spark, docs_of, docs, labels)) | {"exceptions": [" blue gromble "]}
+    got = {r.doc_id: r for r in T.score_texts(docs_of(docs), model).collect()}
+    for i, text in docs:
+        want = plain_burden(model, text or "")
+        assert got[i].burden == pytest.approx(want)
+        assert got[i].score == pytest.approx(want / (want + model["cut"]))
+        assert got[i].predicted == int(want >= model["cut"])
+
+
+def test_texts_that_share_a_passage_are_not_one_family():
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [passage + " " + " ".join(f"o{k}_{i}" for i in range(40)) for k in range(60)] + [passage] * 3
+    families = next(iter(T._family([T.pd.DataFrame({"text": texts})]))).family.tolist()
+    assert len(set(families[:60])) > 45 and len(set(families[60:])) == 1
