@@ -5,7 +5,7 @@ import pytest
 
 from tests.llm.test_alignment import plain
 from venuekit.llm import order_minhash as M
-from venuekit.llm.graph import components
+from venuekit.llm.graph import components, thinned, with_links
 
 
 def planted(rng, groups=12, copies=5):
@@ -217,3 +217,25 @@ def test_components_of_long_chains(spark):
     got = {r.id: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 100 for i in range(100, 161)} | {5: 2, 9: 2, 2: 2, 7: 7}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_random_links(spark):
+    rng = random.Random(12)
+    for n, size in ((300, 150), (900, 60), (40, 200)):
+        links = [(rng.randrange(size), rng.randrange(size)) for _ in range(n)]
+        frame = spark.createDataFrame(links, "a long, b long")
+        got = {r.id: r.label for r in components(frame).collect()}
+        want = classes_of(links, range(size))
+        assert got == {i: want[i] for i in {x for pair in links for x in pair}}
+        assert thinned(frame).count() <= len(set(links)) + size
+    hub = [(a, 100 + b) for a in range(5) for b in range(400)]
+    assert thinned(spark.createDataFrame(hub, "a long, b long")).count() == 405
+
+
+def test_later_links_join_whole_components(spark):
+    rng = random.Random(13)
+    first, more = ([(rng.randrange(80), rng.randrange(80)) for _ in range(n)] for n in (40, 25))
+    of = lambda links: spark.createDataFrame(links, "a long, b long")
+    got = {r.id: r.label for r in with_links(components(of(first)), of(more)).collect()}
+    want = classes_of(first + more, range(80))
+    assert all(got.get(i, i) == want[i] for i in range(80))

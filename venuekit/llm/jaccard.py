@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venuekit.llm.batches import tidy
-from venuekit.llm.graph import components
-from venuekit.llm.order_minhash import _grouped, _labelled
+from venuekit.llm.graph import components, labelled, with_links
+from venuekit.llm.order_minhash import _grouped
 from venuekit.llm.rtree import LEAF, CountTree, meeting, overlapping
 from venuekit.session import discard, materialize
 
@@ -395,7 +393,7 @@ def jaccard_components(
 
     def mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
         """The buckets whose members are not all joined yet."""
-        placed = _labelled(rows.select("bucket", "id", "own", "slack"), labels, "own", "label")
+        placed = labelled(rows.select("bucket", "id", "own", "slack"), labels, "own", "label")
         open_ = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         made = materialize(placed.join(open_.select("bucket"), "bucket"), "open")
         stored.append(made)
@@ -403,17 +401,17 @@ def jaccard_components(
 
     first = crowd.where(F.col("nth") < FIRST).withColumn("label", F.col("own"))
     tried = candidates(first, True, None)
-    links = [same, verified(tried)]
-    labels, rows = components(reduce(DataFrame.union, links)), crowd
-    stored += [tried, links[1]]
+    found = verified(tried)
+    labels, rows = components(same.union(found)), crowd
+    stored += [tried, found]
     for spanning in (True, False):
         rows = mixed(rows, labels)
         pairs = candidates(rows, spanning, tried)
         found = verified(pairs)
-        tried, links = tried.union(pairs), [*links, found]
+        tried = tried.union(pairs)
         stored += [pairs, found, labels]
-        labels = components(reduce(DataFrame.union, links))
-    named = _labelled(members, labels, "rep", "component_id").groupBy("own").agg(F.min("component_id").alias("component_id"))
+        labels = with_links(labels, found)
+    named = labelled(members, labels, "rep", "component_id").groupBy("own").agg(F.min("component_id").alias("component_id"))
     left = sketched.select("doc_id", "own", F.col("n").alias("n_shingles"))
     result = materialize(
         left.join(named, "own", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "own").alias("component_id")),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from venuekit.llm.alignment import within
 from venuekit.llm.batches import slices, tidy
-from venuekit.llm.graph import components
+from venuekit.llm.graph import components, labelled, with_links
 from venuekit.session import discard, materialize
 
 SHINGLE = 5
@@ -408,7 +408,7 @@ def near_classes(
     labels, rows = components(links), crowd
     points = texts.select("id", "n", "bag")
     for spanning in (True, False):  # first pairs that would join classes, then all that still are in different ones
-        placed = _labelled(rows.select("bucket", "id", "own"), labels, "own", "label")
+        placed = labelled(rows.select("bucket", "id", "own"), labels, "own", "label")
         mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         rows = materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
         met = _grouped(rows.select("bucket", "id", "label").join(points, "id"), similarity, block)
@@ -416,10 +416,10 @@ def near_classes(
         found = met.mapInPandas(_candidates(similarity, spanning), "a bigint, b bigint").distinct()
         pairs = materialize(found.join(tried, ["a", "b"], "left_anti"), "pairs")
         near = verified(pairs)
-        tried, links = tried.union(pairs), links.union(owners(near))
+        tried = tried.union(pairs)
         stored += [rows, pairs, near, labels]
-        labels = components(links)
-    classed = _labelled(members.select("doc_id", "own", "rep"), labels, "rep", "class_id")
+        labels = with_links(labels, owners(near))
+    classed = labelled(members.select("doc_id", "own", "rep"), labels, "rep", "class_id")
     # the smallest doc_id of a class of equal texts names it, so a label is the smallest doc_id of all its members
     class_sizes = classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
     result = materialize(classed.select("doc_id", "class_id").join(class_sizes, "class_id"), "classes")
@@ -427,12 +427,6 @@ def near_classes(
     return result.select("doc_id", "class_id", "class_size")
 
 
-def _labelled(rows: DataFrame, labels: DataFrame, key: str, name: str) -> DataFrame:
-    """Rows with the label of the id in ``key``; an id without a link is its own label."""
-    found = rows.join(labels.select(F.col("id").alias("_id"), F.col("label").alias("_label")), F.col(key) == F.col("_id"), "left")
-    return found.withColumn(name, F.coalesce("_label", key)).drop("_id", "_label")
-
-
 def near_representatives(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each class: the row with the class's own doc_id. Columns as in ``docs``.
 
