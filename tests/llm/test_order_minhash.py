@@ -136,6 +136,22 @@ def test_candidates_pass_over_no_near_pair(monkeypatch, long):
     assert {(i, j) for i, j in near if (i + j) % 2} <= found([halves], False) <= got
 
 
+def test_a_group_makes_no_square_of_pairs(spark):
+    """Texts of the same words in other orders, and long ones with the same repeated tail, are told apart inside the task."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(60)]
+    tail = ["is", "onhe"] * 200
+    texts = [" ".join(rng.sample(words, len(words))) for _ in range(40)]
+    texts += [" ".join([f"o{i}_{j}" for j in range(250)] + tail) for i in range(40)]
+    near = " ".join(replaced(rng, texts[0].split(), 5))
+    frame = M.pd.DataFrame({"doc_id": range(81), "own": range(81), "t1": 0, "t2": 0, "text": [*texts, near]})
+    made = next(M._sketcher(5, 4, 2)([pa.RecordBatch.from_pandas(frame)])).to_pandas()
+    rows = M.pd.DataFrame({"grp": 1, "side": 2, "id": made.own, "label": made.own, "n": made.n_words, "bag": made.bag})
+    for spanning in (True, False):
+        got = {(r.a, r.b) for part in M._candidates(0.8, spanning)([rows]) for r in part.itertuples()}
+        assert got == {(0, 80)}
+
+
 def replaced(rng, words, n):
     """The words with ``n`` of them replaced at random places by words of no other text."""
     text = list(words)

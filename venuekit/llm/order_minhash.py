@@ -23,8 +23,9 @@ SINGLES = 18
 #: texts of at most so many words are sampled by shingles of so many words as well
 SHORT_TEXT, SHORT_SHINGLE = 24, 2
 STAR_ROUNDS = 2
-#: cells of a text's bag of words; texts of at most so many words are compared word by word instead
-CELLS, WORD_BY_WORD = 256, 512
+#: cells in which bags of words are compared, first these, then those; texts of at most so many words are then aligned as
+#: numbers of 16 bits
+CELLS, FINE_CELLS, WORD_BY_WORD = 256, 2048, 1 << 16
 #: members of a bucket, and their words, that meet in one go
 BLOCK = 1024
 BLOCK_WORDS = 1 << 20
@@ -71,12 +72,12 @@ def _sketcher(shingle: int, sketches: int, sample: int):
             return out
 
         def bag(ids):
-            """The words as sorted numbers of 16 bits, or, for long texts, how many of these fall into each cell, 255 at most:
-            never further from another text's than the words are."""
+            """The words as numbers of 16 bits in text order, or, for very long texts, how often each number comes: never
+            further from another text's than the words are."""
             short = (ids >> np.uint64(32)).astype(np.uint16)
             if len(ids) <= WORD_BY_WORD:
-                return np.sort(short).tobytes()
-            return np.minimum(np.bincount(short % CELLS, minlength=CELLS), 255).astype(np.uint8).tobytes()
+                return short.tobytes()
+            return np.minimum(np.bincount(short, minlength=1 << 16), 65535).astype(np.uint16).tobytes()
 
         def mixed(chosen, seed):
             """A number for each row of hashes, in their order."""
@@ -139,26 +140,42 @@ def _near(a: list, b: list, similarity: float) -> bool:
 
 
 def _candidates(similarity: float, spanning: bool):
-    """Pairs (a, b) of the members of a group that have different labels, similar lengths and similar words.
+    """Pairs (a, b) of the members of a group that have different labels and are near by their words as numbers of 16 bits.
 
     Rows come sorted by group. Those of side 2 meet each other, those of side 0 meet those of side 1. ``spanning`` leaves
-    out pairs whose labels the pairs before them would already join.
+    out pairs whose labels the pairs before them join already, so a group makes fewer pairs than it has members. Numbers are
+    aligned here; of texts longer than ``WORD_BY_WORD`` only the bags are compared.
     """
 
     def find(batches):
         import numpy as np
 
         def cells(bag: bytes, n: int):
+            words = np.frombuffer(bag, np.uint16)
             if n > WORD_BY_WORD:
-                return np.frombuffer(bag, np.uint8)
-            return np.minimum(np.bincount(np.frombuffer(bag, np.uint16) % CELLS, minlength=CELLS), 255).astype(np.uint8)
+                found = words.reshape(-1, FINE_CELLS).sum(axis=0, dtype=np.int64)
+            else:
+                found = np.bincount(words % FINE_CELLS, minlength=FINE_CELLS)
+            return [np.minimum(x, 255).astype(np.uint8) for x in (found.reshape(-1, CELLS).sum(axis=0), found)]
+
+        def counted(bag: bytes, n: int):
+            """How often each number comes in a text."""
+            words = np.frombuffer(bag, np.uint16)
+            found = words if n > WORD_BY_WORD else np.minimum(np.bincount(words, minlength=1 << 16), 65535)
+            return found.astype(np.int32)
 
         def numbered(bag: bytes):
-            """The words of a short text, equal ones told apart by their count so far."""
-            words = np.frombuffer(bag, np.uint16).astype(np.int64)
+            """The words of a text, equal ones told apart by their count so far."""
+            words = np.sort(np.frombuffer(bag, np.uint16)).astype(np.int64)
             first = np.searchsorted(words, words)
             return words * (WORD_BY_WORD + 1) + np.arange(len(words)) - first
 
+        known: dict = {}
+
+        def apart(x, p, y, q):
+            u, v = x[p], y[q]
+            return (np.maximum(u, v) - np.minimum(u, v)).sum(axis=1, dtype=np.uint32)
+
         def similar(x, y, same):
             """Places in ``x`` and ``y``, which are sorted by length, with similar lengths and cells."""
             n_x, n_y = x["n"], y["n"]
@@ -176,14 +193,16 @@ def _candidates(similarity: float, spanning: bool):
                 spare = (2 * limit - 2 * most + n[:, None] + m)[left, right]
                 for j in range(0, len(left), 8192):
                     p, q = i + left[j : j + 8192], low + right[j : j + 8192]
-                    u, v = x["cells"][p], y["cells"][q]
-                    apart = (np.maximum(u, v) - np.minimum(u, v)).sum(axis=1, dtype=np.uint32)
-                    keep = np.flatnonzero(apart <= spare[j : j + 8192])
-                    yield from zip(p[keep].tolist(), q[keep].tolist(), strict=True)
+                    keep = np.flatnonzero(apart(x["cells"], p, y["cells"], q) <= spare[j : j + 8192])
+                    for k in range(0, len(keep), 1024):
+                        some = keep[k : k + 1024]
+                        some = some[apart(x["fine"], p[some], y["fine"], q[some]) <= spare[j + some]]
+                        yield from zip(p[some].tolist(), q[some].tolist(), strict=True)
 
         def pairs(group):
             above: dict = {}
             split: dict = {}
+            held_words = 0
 
             def name(k):
                 while k in above:
@@ -193,19 +212,38 @@ def _candidates(similarity: float, spanning: bool):
             def words(side, at):
                 found = split.get((side["key"], at))
                 if found is None:
-                    if len(split) >= 4096:
+                    nonlocal held_words
+                    held_words += int(side["n"][at])
+                    if held_words > BLOCK_WORDS:
                         split.clear()
+                        held_words = int(side["n"][at])
                     found = split[side["key"], at] = numbered(side["bag"][at])
                 return found
 
-            def near(x, i, y, j):
-                """Whether the words, without their order, may be near."""
+            def close(x, i, y, j):
+                """Whether the numbers are near: first without their order, then by alignment."""
                 n, m = int(x["n"][i]), int(y["n"][j])
                 most = max(n, m)
+                limit = int((1 - similarity) * most + 1e-9)
                 if most > WORD_BY_WORD:
-                    return True
+                    moved = np.abs(counted(x["bag"][i], n) - counted(y["bag"][j], m)).sum(dtype=np.int64)
+                    return moved <= 2 * limit - abs(n - m)
                 shared = len(np.intersect1d(words(x, i), words(y, j), assume_unique=True))
-                return most - shared <= int((1 - similarity) * most + 1e-9)
+                if most - shared > limit:
+                    return False
+                one, two = (np.frombuffer(bag, np.uint16).tolist() for bag in (x["bag"][i], y["bag"][j]))
+                return within(one, two, limit) <= limit
+
+            def near(x, i, y, j):
+                """The same, remembered: most pairs meet in several groups."""
+                a, b = int(x["id"][i]), int(y["id"][j])
+                pair = (a, b) if a < b else (b, a)
+                found = known.get(pair)
+                if found is None:
+                    if len(known) >= 100_000:
+                        known.clear()
+                    found = known[pair] = close(x, i, y, j)
+                return found
 
             order = np.argsort(group["n"], kind="stable")
             sides = {}
@@ -213,7 +251,8 @@ def _candidates(similarity: float, spanning: bool):
                 at = order[group["side"][order] == k]
                 if len(at):
                     sides[k] = {c: v[at] for c, v in group.items()} | {"key": k}
-                    sides[k]["cells"] = np.stack([cells(b, n) for b, n in zip(sides[k]["bag"], sides[k]["n"], strict=True)])
+                    both = [cells(b, n) for b, n in zip(sides[k]["bag"], sides[k]["n"], strict=True)]
+                    sides[k] |= {c: np.stack(v) for c, v in zip(("cells", "fine"), zip(*both, strict=True), strict=True)}
             for p, q in ((2, 2), (0, 1)):
                 if p not in sides or q not in sides:
                     continue
@@ -322,11 +361,12 @@ def near_classes(
 
     Texts with an equal sample share a bucket. Members of a bucket first meet one of them; those that stay apart from it meet
     one that remains. Then all members of a bucket meet that still are in different classes, however many they are, in one
-    task or several: lengths and bags of words in ``CELLS`` cells are compared there, then the words themselves, of texts of
-    up to ``WORD_BY_WORD``; that passes over no pair that is near, and few that are not get past it. Pairs that would join
-    classes are aligned first, then those whose classes are still apart. So two texts that are near are found with a chance
-    of 0.9999 at J = 0.5, 0.99 at 0.3 and 0.98 at 0.2, which is a fifth of the words replaced at random, in a crowd that
-    shares a passage too.
+    task or several: lengths and bags of words in ``CELLS`` cells are compared there, then the words themselves as numbers of
+    16 bits, also in order for texts of up to ``WORD_BY_WORD``. That passes over no pair that is near, and one that is not
+    gets past it only if words share a number. The pairs that join classes there are aligned by their texts; should one be
+    not near after all, all pairs of its buckets follow whose classes are still apart. So two texts that are near are found
+    with a chance of 0.9999 at J = 0.5, 0.99 at 0.3 and 0.98 at 0.2, which is a fifth of the words replaced at random, in a
+    crowd that shares a passage too.
 
     Equal texts, and rows with the same doc_id, are in one class without alignment; every different text under a doc_id is
     sampled and compared. A null text is taken as empty; texts without words are near their equals only. A null doc_id stands
@@ -334,8 +374,8 @@ def near_classes(
 
     Scale: equal texts become one before samples are dealt. A group of n near copies costs n candidates and not n^2. A bucket
     of more than ``block`` members or ``BLOCK_WORDS`` words is compared in cells of that size by as many tasks as it takes.
-    Among n members that stay in different classes, all n^2 pairs of similar length have their bags compared, inside tasks.
-    There is no cap on buckets or partners.
+    Among n members that stay in different classes, all n^2 pairs of similar length have their bags compared, inside tasks;
+    these make n - 1 rows of pairs at most. There is no cap on buckets or partners.
     """
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -407,18 +447,24 @@ def near_classes(
             stored.append(apart)
     labels, rows = components(links), crowd
     points = texts.select("id", "n", "bag")
-    for spanning in (True, False):  # first pairs that would join classes, then all that still are in different ones
+    for spanning in (True, False):  # first pairs that join classes, then all where one of those was not near
         placed = labelled(rows.select("bucket", "id", "own"), labels, "own", "label")
         mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         rows = materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
         met = _grouped(rows.select("bucket", "id", "label").join(points, "id"), similarity, block)
         met = met.repartition(width, "grp").sortWithinPartitions("grp")
-        found = met.mapInPandas(_candidates(similarity, spanning), "a bigint, b bigint").distinct()
+        found = materialize(met.mapInPandas(_candidates(similarity, spanning), "a bigint, b bigint").distinct(), "found")
         pairs = materialize(found.join(tried, ["a", "b"], "left_anti"), "pairs")
         near = verified(pairs)
         tried = tried.union(pairs)
-        stored += [rows, pairs, near, labels]
+        stored += [rows, found, pairs, near, labels]
         labels = with_links(labels, owners(near))
+        wrong = found.join(near, ["a", "b"], "left_anti")
+        if not spanning or wrong.isEmpty():
+            break
+        one, two = (rows.select("bucket", F.col("id").alias(x)) for x in "ab")
+        again = one.join(wrong, "a").join(two, ["bucket", "b"]).select("bucket").distinct()
+        rows = rows.join(again, "bucket", "left_semi")
     classed = labelled(members.select("doc_id", "own", "rep"), labels, "rep", "class_id")
     # the smallest doc_id of a class of equal texts names it, so a label is the smallest doc_id of all its members
     class_sizes = classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
