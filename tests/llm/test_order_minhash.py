@@ -136,6 +136,27 @@ def test_candidates_pass_over_no_near_pair(monkeypatch, long):
     assert {(i, j) for i, j in near if (i + j) % 2} <= found([halves], False) <= got
 
 
+def test_a_large_bucket_grows_with_its_members(spark):
+    """Texts that share a passage meet by rare words: every near pair still, in rows that double with the members."""
+    made = []
+    for n in (300, 600):
+        rng = random.Random(5)
+        passage = [f"p{i}" for i in range(20)]
+        texts = [passage + [f"o{i}_{j}" for j in range(10 + i % 7)] for i in range(n)]
+        texts += [replaced(rng, texts[i], 3) for i in range(0, n, 20)]
+        frame = spark.createDataFrame([(i, i, len(t), " ".join(t)) for i, t in enumerate(texts)], "id long, own long, n long, text string")
+        rows = spark.createDataFrame([(1, i, i) for i in range(len(texts))], "bucket long, id long, own long")
+        words = M._by_rare_words(rows, frame, 0.8, 20)
+        at = {}
+        for r in words.collect():
+            at.setdefault(r.bucket, set()).add(r.id)
+        assert all(any({i // 20 + n, i} <= ids for ids in at.values()) for i in range(0, n, 20))
+        members = words.join(frame.select("id", "n"), "id").selectExpr("bucket", "id", "id label", "n", "binary('') bag")
+        made.append(M._grouped(members, 0.8, 20).count())
+        assert M._by_rare_words(rows, frame, 0.8, 10_000) is rows
+    assert made[1] < 2.2 * made[0]
+
+
 def test_a_group_makes_no_square_of_pairs(spark):
     """Texts of the same words in other orders, and long ones with the same repeated tail, are told apart inside the task."""
     rng = random.Random(7)

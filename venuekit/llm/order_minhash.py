@@ -29,6 +29,8 @@ CELLS, FINE_CELLS, WORD_BY_WORD = 256, 2048, 1 << 16
 #: members of a bucket, and their words, that meet in one go
 BLOCK = 1024
 BLOCK_WORDS = 1 << 20
+#: one text of a large bucket in so many, but about so many texts, is looked at for frequent words; so many words are kept at most
+WORD_SHARE, WORD_SAMPLE, FREQUENT = 64, 512, 1 << 17
 
 
 def _sketcher(shingle: int, sketches: int, sample: int):
@@ -335,6 +337,65 @@ def _grouped(members: DataFrame, similarity: float, block: int) -> DataFrame:
     return met.select("at.grp", "at.side", *[x for x in members.columns if x not in ("bucket", "c")])
 
 
+def _numbered(text: str) -> list[int]:
+    """The words of a text as numbers, equal ones told apart by their count so far."""
+    import xxhash
+
+    seen: Counter = Counter()
+    out = []
+    for word in text.split():
+        seen[word] += 1
+        out.append(xxhash.xxh3_64_intdigest(word, seed=seen[word]) - (1 << 63))
+    return out
+
+
+def _word_counts(batches):
+    """(word, texts) of a batch of texts."""
+    for rows in batches:
+        found = Counter(word for text in rows.text for word in _numbered(text))
+        yield pd.DataFrame({"word": list(found), "texts": list(found.values())}, dtype="int64")
+
+
+def _rarest(similarity: float, frequent: list[int]):
+    """(bucket, id, own): the rarest words of each text, one more than may differ between near texts."""
+
+    def rarest(batches):
+        # the list begins with the most frequent
+        place = {word: len(frequent) - i for i, word in enumerate(frequent)}
+        for rows in batches:
+            made = []
+            for key, own, text in zip(rows.id, rows.own, rows.text, strict=True):
+                words = sorted(_numbered(text), key=lambda w: (place.get(w, 0), w))
+                made += [(w, key, own) for w in words[: int((1 - similarity) * len(words) + 1e-9) + 1]]
+            yield pd.DataFrame(made, columns=["bucket", "id", "own"], dtype="int64")
+
+    return tidy(rarest)
+
+
+def _by_rare_words(rows: DataFrame, texts: DataFrame, similarity: float, block: int) -> DataFrame:
+    """``rows`` (bucket, id, own) with large buckets replaced by buckets of rare words, in which their near members meet too.
+
+    Of the words of the longer of two near texts all but a share 1 - ``similarity`` are in both. So, in whatever order of
+    words, one word is among the first of both, if one more than may differ is taken of each. Frequent words come last in
+    the order; the list of them affects only the order.
+    """
+    load = F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_WORDS)
+    large = rows.join(texts.select("id", "n"), "id").groupBy("bucket").agg(load.alias("load")).where("load > 1").select("bucket")
+    large = materialize(large, "large")
+    if large.isEmpty():
+        discard(large)
+        return rows
+    members = materialize(rows.join(large, "bucket", "left_semi").select("id").distinct().join(texts, "id").select("id", "own", "text"), "members")
+    share = max(1, min(WORD_SHARE, members.count() // WORD_SAMPLE))
+    sample = members.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).select("text")
+    counts = sample.mapInPandas(tidy(_word_counts), "word bigint, texts bigint").groupBy("word").agg(F.sum("texts").alias("texts"))
+    frequent = [r.word for r in counts.where("texts > 1").orderBy(F.desc("texts"), "word").limit(FREQUENT).collect()]
+    words = members.mapInPandas(_rarest(similarity, frequent), "bucket bigint, id bigint, own bigint")
+    made = materialize(rows.join(large, "bucket", "left_anti").select("bucket", "id", "own").unionByName(words), "buckets")
+    discard(large, members)
+    return made
+
+
 def _aligned(similarity: float):
     """Keep (a, b, own_a, own_b) of pairs whose word lists are near by alignment."""
 
@@ -373,9 +434,11 @@ def near_classes(
     for a document of its own that is named by a hash of its text. No rows: no rows.
 
     Scale: equal texts become one before samples are dealt. A group of n near copies costs n candidates and not n^2. A bucket
-    of more than ``block`` members or ``BLOCK_WORDS`` words is compared in cells of that size by as many tasks as it takes.
-    Among n members that stay in different classes, all n^2 pairs of similar length have their bags compared, inside tasks;
-    these make n - 1 rows of pairs at most. There is no cap on buckets or partners.
+    of more than ``block`` members or ``BLOCK_WORDS`` words is replaced by buckets of the rarest words of its members, 1 and a
+    fifth of the words of each, in which every near pair of it meets; so its rows grow with its members. Only where such a
+    word is in as many texts again, its bucket is compared in cells of that size by as many tasks as it takes. Among n
+    members of a bucket that stay in different classes, all n^2 pairs of similar length have their bags compared, inside
+    tasks; these make n - 1 rows of pairs at most. There is no cap on buckets or partners.
     """
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -445,12 +508,19 @@ def near_classes(
             led = star.select("bucket", "a", F.col("id").alias("b")).join(near, ["a", "b"], "left_anti")
             apart = materialize(led.select("bucket", F.col("b").alias("id")), "apart")
             stored.append(apart)
-    labels, rows = components(links), crowd
-    points = texts.select("id", "n", "bag")
-    for spanning in (True, False):  # first pairs that join classes, then all where one of those was not near
+    labels, points = components(links), texts.select("id", "n", "bag")
+
+    def unsettled(rows: DataFrame) -> DataFrame:
+        """The rows, with their labels, of buckets that are not in one class."""
         placed = labelled(rows.select("bucket", "id", "own"), labels, "own", "label")
         mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        rows = materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
+        return materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
+
+    first = unsettled(crowd)
+    rows = _by_rare_words(first.select("bucket", "id", "own"), texts, similarity, block)
+    stored += [first, rows]
+    for spanning in (True, False):  # first pairs that join classes, then all where one of those was not near
+        rows = unsettled(rows)
         met = _grouped(rows.select("bucket", "id", "label").join(points, "id"), similarity, block)
         met = met.repartition(width, "grp").sortWithinPartitions("grp")
         found = materialize(met.mapInPandas(_candidates(similarity, spanning), "a bigint, b bigint").distinct(), "found")
