@@ -157,6 +157,24 @@ def test_a_large_bucket_grows_with_its_members(spark):
     assert made[1] < 2.2 * made[0]
 
 
+def test_long_texts_of_a_large_bucket_are_not_copied_by_their_words(spark):
+    """Texts of 1,500 words meet in a few cells and not in buckets of 301 rare words each; short ones still do by words."""
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(1000)]
+    texts = [passage + [f"o{i}_{j}" for j in range(500)] for i in range(30)]
+    texts += [replaced(rng, texts[i], 150) for i in range(0, 30, 5)]
+    frame = spark.createDataFrame([(i, i, len(t), " ".join(t)) for i, t in enumerate(texts)], "id long, own long, n long, text string")
+    rows = spark.createDataFrame([(1, i, i) for i in range(len(texts))], "bucket long, id long, own long")
+    members = M._by_rare_words(rows, frame, 0.8, 8).join(frame.select("id", "n"), "id")
+    members = members.selectExpr("bucket", "id", "id label", "n", "binary('') bag")
+    sides = {}
+    for r in M._grouped(members, 0.8, 8).collect():
+        sides.setdefault((r.grp, r.side), set()).add(r.id)
+    assert sum(len(texts[i]) for ids in sides.values() for i in ids) < 20 * sum(len(t) for t in texts)
+    meet = {(i, j) for (grp, side), ids in sides.items() for i in ids for j in sides.get((grp, side if side == 2 else 1 - side), ())}
+    assert all((i, 30 + i // 5) in meet for i in range(0, 30, 5))
+
+
 def test_a_group_makes_no_square_of_pairs(spark):
     """Texts of the same words in other orders, and long ones with the same repeated tail, are told apart inside the task."""
     rng = random.Random(7)

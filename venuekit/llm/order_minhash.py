@@ -26,9 +26,12 @@ STAR_ROUNDS = 2
 #: cells in which bags of words are compared, first these, then those; texts of at most so many words are then aligned as
 #: numbers of 16 bits
 CELLS, FINE_CELLS, WORD_BY_WORD = 256, 2048, 1 << 16
-#: members of a bucket, and their words, that meet in one go
-BLOCK = 1024
-BLOCK_WORDS = 1 << 20
+#: members of a bucket, and their words, that meet in one go; words that a task keeps told apart meanwhile; what a row costs
+#: besides its words, in words
+BLOCK = 8192
+BLOCK_WORDS = 1 << 23
+HELD_WORDS = 1 << 20
+ROW_WORDS = 32
 #: one text of a large bucket in so many, but about so many texts, is looked at for frequent words; so many words are kept at most
 WORD_SHARE, WORD_SAMPLE, FREQUENT = 64, 512, 1 << 17
 
@@ -216,7 +219,7 @@ def _candidates(similarity: float, spanning: bool):
                 if found is None:
                     nonlocal held_words
                     held_words += int(side["n"][at])
-                    if held_words > BLOCK_WORDS:
+                    if held_words > HELD_WORDS:
                         split.clear()
                         held_words = int(side["n"][at])
                     found = split[side["key"], at] = numbered(side["bag"][at])
@@ -298,6 +301,27 @@ def _candidates(similarity: float, spanning: bool):
     return tidy(find)
 
 
+def _cells(members: DataFrame, similarity: float, block: int) -> tuple[Column, DataFrame]:
+    """The class of length of a member, and (bucket, cells, by_cells, by_words) of the buckets that are too large for one group:
+    the number of cells of each class, and the words that all rows have if the bucket's members meet by cells, or by rare words.
+
+    Classes are a little wider than the lengths may differ, so near texts are never two classes apart.
+    """
+    width = math.log(1 / max(similarity, 0.01) * (1 + 1e-6))
+    c = F.floor(F.log(F.col("n").cast("double")) / width).cast("int")
+    size = (F.col("n") + ROW_WORDS).cast("double")
+    counts = members.select("bucket", "n", c.alias("c")).groupBy("bucket", "c").agg(
+        F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_WORDS).alias("load"), F.sum(size).alias("size"),
+        F.sum(size * (F.floor((1 - similarity) * F.col("n") + 1e-9) + 1)).alias("by_words"),
+    )
+    each = F.collect_list(F.struct("c", F.ceil("load").cast("int").alias("k"), "size"))
+    large = counts.groupBy("bucket").agg(F.sum("load").alias("all"), F.sum("by_words").alias("by_words"), each.alias("each")).where("all > 1")
+    cells = F.map_from_entries(F.transform("each", lambda x: F.struct(x.c, x.k)))
+    of = lambda k: F.coalesce(F.element_at("cells", k), F.lit(0))
+    met = F.aggregate("each", F.lit(0.0), lambda total, x: total + x.size * (of(x.c - 1) + of(x.c) + of(x.c + 1)))
+    return c, large.withColumn("cells", cells).select("bucket", "cells", met.alias("by_cells"), "by_words")
+
+
 def _grouped(members: DataFrame, similarity: float, block: int) -> DataFrame:
     """(grp, side) and the columns of ``members`` but bucket, which has bucket, id, n (its length) and others: every two members
     of a bucket whose lengths are similar meet in one group.
@@ -305,16 +329,8 @@ def _grouped(members: DataFrame, similarity: float, block: int) -> DataFrame:
     A bucket of up to ``block`` members and ``BLOCK_WORDS`` words is one group. A larger one is cut into classes of length and
     these, by a hash, into cells of about that size; two cells of the same or of neighbouring classes are a group.
     """
-    # classes a little wider than the lengths may differ: near texts are never two classes apart
-    width = math.log(1 / max(similarity, 0.01) * (1 + 1e-6))
-    members = members.withColumn("c", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
-    load = F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_WORDS)
-    counts = members.groupBy("bucket", "c").agg(load.alias("load"))
-    hot = (
-        counts.groupBy("bucket")
-        .agg(F.sum("load").alias("all"), F.collect_list(F.struct("c", F.ceil("load").cast("int"))).alias("cells"))
-        .where(F.col("all") > 1).select("bucket", F.map_from_entries("cells").alias("cells"))
-    )
+    length, large = _cells(members, similarity, block)
+    hot, members = large.select("bucket", "cells"), members.withColumn("c", length)
     c, own = F.col("c"), F.col("own_cell")
     cells_of = lambda k: F.coalesce(F.element_at("cells", k), F.lit(0))
     none = F.array().cast("array<struct<grp:bigint,side:int>>")
@@ -373,15 +389,16 @@ def _rarest(similarity: float, frequent: list[int]):
 
 
 def _by_rare_words(rows: DataFrame, texts: DataFrame, similarity: float, block: int) -> DataFrame:
-    """``rows`` (bucket, id, own) with large buckets replaced by buckets of rare words, in which their near members meet too.
+    """``rows`` (bucket, id, own) with large buckets replaced by buckets of rare words, in which their near members meet too,
+    where that makes less to shuffle than the bucket's cells: cells are as many as its blocks, rare words as many as a share
+    of each text's words, so long texts meet by cells unless their bucket is very large.
 
     Of the words of the longer of two near texts all but a share 1 - ``similarity`` are in both. So, in whatever order of
     words, one word is among the first of both, if one more than may differ is taken of each. Frequent words come last in
     the order; the list of them affects only the order.
     """
-    load = F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_WORDS)
-    large = rows.join(texts.select("id", "n"), "id").groupBy("bucket").agg(load.alias("load")).where("load > 1").select("bucket")
-    large = materialize(large, "large")
+    _, large = _cells(rows.join(texts.select("id", "n"), "id"), similarity, block)
+    large = materialize(large.where("by_words < by_cells").select("bucket"), "large")
     if large.isEmpty():
         discard(large)
         return rows
@@ -491,7 +508,8 @@ def near_classes(
     def owners(links: DataFrame) -> DataFrame:
         return links.select(F.least("own_a", "own_b").alias("a"), F.greatest("own_a", "own_b").alias("b"))
 
-    stored = [sketched, members, reps, crowd, texts]
+    discard(sketched, reps)
+    stored = [members, crowd, texts]
     links, tried, apart = same, None, crowd.select("bucket", "id")
     for round_ in range(STAR_ROUNDS):
         leaders = apart.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -517,10 +535,11 @@ def near_classes(
         return materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
 
     first = unsettled(crowd)
-    rows = _by_rare_words(first.select("bucket", "id", "own"), texts, similarity, block)
-    stored += [first, rows]
+    plain = first.select("bucket", "id", "own")
+    by_words = _by_rare_words(plain, texts, similarity, block)
+    rows = first if by_words is plain else unsettled(by_words)
+    stored += [first, by_words]
     for spanning in (True, False):  # first pairs that join classes, then all where one of those was not near
-        rows = unsettled(rows)
         met = _grouped(rows.select("bucket", "id", "label").join(points, "id"), similarity, block)
         met = met.repartition(width, "grp").sortWithinPartitions("grp")
         found = materialize(met.mapInPandas(_candidates(similarity, spanning), "a bigint, b bigint").distinct(), "found")
@@ -534,7 +553,7 @@ def near_classes(
             break
         one, two = (rows.select("bucket", F.col("id").alias(x)) for x in "ab")
         again = one.join(wrong, "a").join(two, ["bucket", "b"]).select("bucket").distinct()
-        rows = rows.join(again, "bucket", "left_semi")
+        rows = unsettled(rows.join(again, "bucket", "left_semi").select("bucket", "id", "own"))
     classed = labelled(members.select("doc_id", "own", "rep"), labels, "rep", "class_id")
     # the smallest doc_id of a class of equal texts names it, so a label is the smallest doc_id of all its members
     class_sizes = classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
