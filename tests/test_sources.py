@@ -1,6 +1,8 @@
 """Readers, writers, datasets and models."""
 
 import json
+import re
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,7 +12,7 @@ from venuekit import schema as S
 from venuekit.functions.encode import wifi_ordinal
 from venuekit.plans import datasets as D
 from venuekit.plans import models as M
-from venuekit.session import materialize, new_path, work_dir
+from venuekit.session import SHUFFLE_CLEANUP, materialize, new_path, work_dir
 from venuekit.sinks import tables as K
 from venuekit.sinks.text import sentiment_line
 from venuekit.sources import geojson as GJ
@@ -151,6 +153,22 @@ def test_materialize(spark):
     assert sorted(materialize(df).collect()) == sorted(df.collect())
 
 
+def test_materialize_leaves_no_shuffle_files(spark):
+    def shuffles():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return set(re.findall(r"shuffle_\d+", manager.getAllFiles().mkString(" ")))
+
+    before = shuffles()
+    stored = materialize(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 10).alias("k")).count())
+    for _ in range(50):  # they go in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert stored.count() == 10 and spark.conf.get(SHUFFLE_CLEANUP, None) in (None, "false")
+
+
+
 # ---- model input and models -------------------------------------------------------------------------------------
 
 def analysis_frame(spark, n=800):

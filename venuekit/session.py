@@ -17,6 +17,9 @@ DEFAULTS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+#: whether the shuffle files of a query go when it ends
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def get_session(app_name: str = "venuekit", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the library's settings; keyword keys use ``__`` for a dot."""
@@ -54,11 +57,20 @@ def new_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write once and read back: reused results survive the loss of executors, unlike cached blocks.
 
+    The shuffle files of the write go when it ends: else they stay until the driver happens to collect its garbage.
     ``discard`` removes the files when nothing derived from the frame will run again.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_path = path
     return stored
