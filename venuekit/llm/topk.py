@@ -11,6 +11,8 @@ from venuekit.session import materialize
 SHARD_ROWS = 2048
 BLOCK_QUERIES = 512
 LEAF = 64
+#: trees that a task holds at a time
+GROUP_TREES = 32
 
 
 def quantized(vector: Column) -> Column:
@@ -70,7 +72,7 @@ def _search(tree, query_ids, queries, floors, k: int):
 
     matrix, ids, begin, end, child = (tree[x] for x in ("matrix", "ids", "begin", "end", "child"))
     bounds = np.maximum(queries, 0) @ tree["high"].T + np.minimum(queries, 0) @ tree["low"].T
-    found = []
+    found, repeats = [], len(set(ids.tolist())) < len(ids)
     for position, (own, query, floor, bound) in enumerate(zip(query_ids, queries, floors, bounds, strict=True)):
         best: list = []  # a heap of (score, -id): its first is the one to beat
         if bound[0] < floor:
@@ -89,14 +91,18 @@ def _search(tree, query_ids, queries, floors, k: int):
             b, e = begin[node], end[node]
             scores = matrix[b:e] @ query
             at = np.flatnonzero(scores >= floor)
-            if len(at) > 4 * k:  # of many, those beyond the k-th score (and its ties) cannot come in
+            if len(at) > 4 * k and not repeats:  # of many, those beyond the k-th score (and its ties) cannot come in
                 least = np.partition(scores[at], len(at) - k - 1)[len(at) - k - 1]
                 at = at[scores[at] >= least]
             for i in at:
                 if ids[b + i] == own:
                     continue
                 item = (scores[i], -int(ids[b + i]))
-                if len(best) < k:
+                if repeats and (held := next((x for x in best if x[1] == item[1]), None)):  # one id, one candidate
+                    if item > held:
+                        best[best.index(held)] = item
+                        heapq.heapify(best)
+                elif len(best) < k:
                     heapq.heappush(best, item)
                 elif item > best[0]:
                     heapq.heapreplace(best, item)
@@ -116,6 +122,31 @@ def _numbers(column):
     return matrix.astype(np.float64) if exact else matrix.astype(object)
 
 
+def _small(matrix):
+    """The same numbers in as few bytes as hold them."""
+    import numpy as np
+
+    if matrix.dtype != object and matrix.size:
+        for kind in (np.int8, np.int16, np.int32):
+            if np.iinfo(kind).min <= matrix.min() and matrix.max() <= np.iinfo(kind).max:
+                return matrix.astype(kind)
+    return matrix
+
+
+def _unpacked(tree):
+    import numpy as np
+
+    return {x: y.astype(np.float64) if x in ("matrix", "low", "high") and y.dtype != object else y for x, y in tree.items()}
+
+
+def _alike(tree, query_ids, queries):
+    """Both in doubles or both in Python integers."""
+    if tree["matrix"].dtype != queries.dtype:
+        queries = queries.astype(object)
+        tree = {x: y.astype(object) if x in ("matrix", "low", "high") else y for x, y in tree.items()}
+    return tree, query_ids, queries
+
+
 def _build(k: int, leaf: int):
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         import pickle
@@ -124,12 +155,14 @@ def _build(k: int, leaf: int):
 
         matrix, ids = _numbers(rows.vector), rows.vec_id.to_numpy(np.int64)
         tree = _tree(matrix, ids, leaf)
-        asked = np.flatnonzero(rows.asks.to_numpy(bool))
+        once = ~rows.vec_id.duplicated(keep=False).to_numpy(bool)  # of several vectors of an id, another one may ask
+        asked = np.flatnonzero(rows.asks.to_numpy(bool) & once)
         home: dict = {int(i): [] for i in ids[asked]}
         none = [float("-inf")] * len(asked)
         for position, _, score in _search(tree, ids[asked], matrix[asked], none, k):
             home[int(ids[asked[position]])].append(score)
         floors = [(q, int(min(s))) for q, s in home.items() if len(s) == k]
+        tree = {x: _small(y) if x in ("matrix", "low", "high") else y for x, y in tree.items()}
         return pd.DataFrame({
             "dim": [int(rows.dim.iloc[0])], "shard": [int(rows.shard.iloc[0])], "tree": [pickle.dumps(tree)],
             "queries": [[q for q, _ in floors]], "floors": [[s for _, s in floors]],
@@ -143,37 +176,43 @@ def _pack(rows: pd.DataFrame) -> pd.DataFrame:
 
     rows = rows.sort_values("query_id")
     floors = [float("-inf") if x is None or x != x else int(x) for x in rows.floor.astype(object)]
-    block = pickle.dumps((rows.query_id.to_numpy("int64"), _numbers(rows.vector), floors))
+    block = pickle.dumps((rows.query_id.to_numpy("int64"), _small(_numbers(rows.vector)), floors))
     return pd.DataFrame({"dim": [int(rows.dim.iloc[0])], "block": [int(rows.block.iloc[0])], "asked": [block]})
 
 
 def _probe(k: int):
+    """Rows come sorted by group, the trees of a group before the blocks of queries that meet them."""
+
     def probe(batches):
         import heapq
         import pickle
 
         import numpy as np
 
-        current, best = None, {}
+        current, trees = None, []
         for rows in batches:
             out = []
-            for dim, block, asked, tree in zip(rows.dim, rows.block, rows.asked, rows.tree, strict=True):
-                query_ids, queries, floors = pickle.loads(asked)
-                if (dim, block) != current:  # the k-th scores go on to the block's next shard in this task
-                    current, best = (dim, block), {}
-                seen = [best.get(i, []) for i in range(len(query_ids))]
-                passed = [max(f, s[0]) if len(s) == k else f for f, s in zip(floors, seen, strict=True)]
-                tree = pickle.loads(tree)
-                if tree["matrix"].dtype != queries.dtype:
-                    queries = queries.astype(object)
-                    tree = {x: y.astype(object) if x in ("matrix", "low", "high") else y for x, y in tree.items()}
-                for position, vec_id, score in _search(tree, query_ids, queries, passed, k):
-                    held = best.setdefault(position, [])
-                    if len(held) < k:
-                        heapq.heappush(held, score)
-                    else:
-                        heapq.heappushpop(held, score)
-                    out.append((int(query_ids[position]), vec_id, max(-(2**63), min(2**63 - 1, int(score)))))
+            for group, block, packed in zip(rows.grp, rows.block, rows.packed, strict=True):
+                if group != current:
+                    current, trees = group, []
+                if block < 0:
+                    trees.append(_unpacked(pickle.loads(packed)))
+                    continue
+                query_ids, queries, floors = pickle.loads(packed)
+                queries, best = queries if queries.dtype == object else queries.astype(np.float64), {}
+                for tree in trees:  # the k-th scores go on to the group's next tree
+                    seen = [best.get(i, []) for i in range(len(query_ids))]
+                    passed = [max(f, s[0][0]) if len(s) == k else f for f, s in zip(floors, seen, strict=True)]
+                    for position, vec_id, score in _search(*_alike(tree, query_ids, queries), passed, k):
+                        held, item = best.setdefault(position, []), (score, -vec_id)
+                        if len(held) < k:
+                            heapq.heappush(held, item)
+                        else:
+                            heapq.heappushpop(held, item)
+                out += [
+                    (int(query_ids[position]), -i, max(-(2**63), min(2**63 - 1, int(score))))
+                    for position, held in best.items() for score, i in held
+                ]
             yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(np.int64)
 
     return probe
@@ -187,15 +226,16 @@ def top_k(
 
     Rows go to shards of about ``shard_rows`` rows by a hash of vec_id, so equal or close vectors that make up a third of
     the table spread evenly. Each shard gets one KD-tree. A query is first searched in its own shard, whose k-th score is a
-    floor for all others; blocks of queries then meet every shard, and a task that holds several shards of a block
-    passes the rising k-th score from one to the next. The result is exact.
+    floor for all others; shards are dealt to groups, and blocks of queries then meet every group, whose trees pass the rising
+    k-th score from one to the next. The result is exact.
 
     Null vec_ids and null or empty vectors take no part. Rows that repeat a vec_id and its vector count once; different
     vectors under one vec_id are one candidate with the best of their scores, and as a query the first of them in array order
     asks. Only vectors of the same length are compared. Scores beyond 64 bits stop at the largest long.
 
-    Scale: every query meets every shard by design, in blocks: tables of blocks x shards rows, each a block of
-    ``block_queries`` vectors; nothing is broadcast, and no task holds more than one tree and one block.
+    Scale: every query meets every shard by design. A tree is shuffled once; a block of ``block_queries`` vectors goes once to
+    each group of up to ``GROUP_TREES`` trees, fewer where there are too few shards for the cores. At most ``k`` rows of a
+    query leave a group. Nothing is broadcast, and no task holds more than the trees of one group and one batch of blocks.
     """
     rows = vectors.select("vec_id", "vector", is_query.alias("asks")).where(
         F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0)
@@ -222,12 +262,15 @@ def top_k(
         "block", F.pmod(F.xxhash64("query_id", F.lit(3)), F.lit(blocks)).cast("int")
     )
     packed = asked.groupBy("dim", "block").applyInPandas(_pack, "dim int, block int, asked binary")
-    spread = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = spread.join(trees.select("dim", "shard", "tree"), ["dim", "shard"])
+    # groups of trees: a few for each core, so that a block goes to few of them
     lanes = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = max(1, min(GROUP_TREES, shards // (4 * vectors.sparkSession.sparkContext.defaultParallelism)))
+    groups = -(-shards // held)
+    kept = trees.select("dim", F.floor(F.col("shard") / held).cast("int").alias("part"), F.lit(-1).alias("block"), F.col("tree").alias("packed"))
+    spread = packed.select("dim", F.explode(F.expr(f"sequence(0, {groups - 1})")).alias("part"), "block", F.col("asked").alias("packed"))
     met = (
-        pairs.withColumn("lane", F.floor(F.col("shard") / 4)).repartition(lanes, "dim", "block", "lane")
-        .sortWithinPartitions("dim", "block", "shard").select("dim", "block", "asked", "tree")
+        kept.unionByName(spread).repartition(max(lanes, 2 * groups), "dim", "part").withColumn("grp", F.xxhash64("dim", "part"))
+        .sortWithinPartitions("grp", "block").select("grp", "block", "packed")
         .mapInPandas(_probe(k), "query_id bigint, vec_id bigint, score bigint")
     )
     best = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
